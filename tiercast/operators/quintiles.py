@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tiercast.config import AUTO, BUCKETS, SMALL_PLAN_BYTES, WINDOW
-from tiercast.operators.ranked_keys import (
-    SORT_ROWS,
-    TIE_TYPE,
-    VALUE_TYPE,
-    keys_at_ranks,
-)
-from tiercast.operators.scratch import Scratch, plan_bytes
+from tiercast.operators.ranked_keys import LEVELS, SORT_ROWS, keys_at_ranks
+from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
 
 
 class Score(NamedTuple):
@@ -31,9 +29,11 @@ SCORES = (
     Score("m_score", "monetary_value"),
 )
 
-CUT_TYPE = f"array<struct<nulls:int,v:{VALUE_TYPE},t:{TIE_TYPE}>>"
-# Sorts a missing customer id before every bigint.
-NO_CUSTOMER = str(-(10**19))
+# The summed money has up to 28 digits. Split here, both parts fit a bigint and order alike.
+MONEY_SPLIT = 10**10
+MONEY_PARTS = ("money_major", "money_minor")
+
+CUTS_TYPE = pa.list_(pa.struct([(level, pa.int64()) for level in LEVELS]))
 
 
 def add_scores(
@@ -54,10 +54,12 @@ def add_scores(
     if strategy == WINDOW:
         scored = _by_window(base)
     else:
-        staged = (scratch or Scratch(base.sparkSession)).stage(base, "metrics")
-        scored = _by_cuts(staged, sort_rows)
-    total = sum((F.col(score.name) for score in SCORES[1:]), F.col(SCORES[0].name))
-    return scored.withColumn("rfm_score", total)
+        scored = _by_cuts(stage_with_keys(base, scratch), sort_rows)
+    return scored.withColumn("rfm_score", sum_of(F.col(score.name) for score in SCORES))
+
+
+def sum_of(columns) -> Column:
+    return reduce(Column.__add__, columns)
 
 
 def _by_window(base: DataFrame) -> DataFrame:
@@ -76,18 +78,39 @@ def _by_window(base: DataFrame) -> DataFrame:
     )
 
 
-def _key(score: Score) -> list[Column]:
-    metric = F.col(score.metric)
-    value = (-metric if score.descending else metric).cast(VALUE_TYPE)
-    return [
-        (metric.isNull() != F.lit(score.descending)).cast("int").alias("nulls"),
-        F.coalesce(value, F.lit(0).cast(VALUE_TYPE)).alias("v"),
-    ]
-
-
-def _tie() -> Column:
-    missing = F.lit(NO_CUSTOMER).cast(TIE_TYPE)
-    return F.coalesce(F.col("customer_id").cast(TIE_TYPE), missing).alias("t")
+def stage_with_keys(base: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """The staged metrics with the money also as two bigints, so that passes avoid decimals."""
+    money, split = F.col("monetary_value"), F.lit(MONEY_SPLIT).cast("decimal(11,0)")
+    major, minor = MONEY_PARTS
+    keyed = base.withColumns(
+        {
+            major: F.floor((money - money % split) / split).cast("bigint"),
+            minor: ((money % split) * 100).cast("bigint"),
+        }
+    )
+    return (scratch or Scratch(base.sparkSession)).stage(keyed, "metrics")
+
+
+def value_parts(metric: str) -> tuple[Column, Column]:
+    if metric == "monetary_value":
+        return tuple(F.col(part) for part in MONEY_PARTS)
+    return F.lit(0).cast("bigint"), F.col(metric).cast("bigint")
+
+
+def _key(score: Score) -> dict[str, Column]:
+    sign = -1 if score.descending else 1
+    absent = F.lit(0).cast("bigint")
+    major, minor = (F.coalesce(part * sign, absent) for part in value_parts(score.metric))
+    missing = F.col(score.metric).isNull()
+    customer = F.col("customer_id")
+    levels = (
+        missing != F.lit(score.descending),
+        major,
+        minor,
+        customer.isNotNull(),
+        F.coalesce(customer, absent),
+    )
+    return {name: level.cast("bigint") for name, level in zip(LEVELS, levels)}
 
 
 def bucket_ends(n_rows: int) -> list[int]:
@@ -96,44 +119,49 @@ def bucket_ends(n_rows: int) -> list[int]:
     return [bucket * size + min(bucket, larger) for bucket in range(1, BUCKETS)]
 
 
-def score_entries(base: DataFrame) -> DataFrame:
+def score_entries(staged: DataFrame) -> DataFrame:
     """One row per customer and metric, in the form ``keys_at_ranks`` orders."""
-    per_metric = F.array(
-        *[
-            F.struct(F.lit(number).alias("metric"), *_key(score))
-            for number, score in enumerate(SCORES)
-        ]
-    )
-    return base.select("run_date", _tie(), F.inline(per_metric))
+    per_metric = [
+        staged.select(
+            "run_date",
+            F.lit(number).cast("bigint").alias("metric"),
+            *[level.alias(name) for name, level in _key(score).items()],
+        )
+        for number, score in enumerate(SCORES)
+    ]
+    return reduce(DataFrame.unionAll, per_metric)
 
 
 def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
     """Compare every row with the four bucket ends of each metric: no sort, no shuffle."""
     keys, totals = keys_at_ranks(score_entries(staged), bucket_ends, sort_rows)
-    at = {(key.run_date, key.metric, key.rank): tuple(key[3:]) for key in keys}
+    if not totals:
+        return _by_window(staged).drop(*MONEY_PARTS)
+    at = {(k.run_date, k.metric, k.rank): dict(zip(LEVELS, k.key)) for k in keys}
     columns = [f"{score.name}_cuts" for score in SCORES]
-    rows = [
-        (
-            run_date,
-            *[
-                [at[run_date, number, end] for end in bucket_ends(totals[run_date, number])]
-                for number in range(len(SCORES))
-            ],
-        )
-        for run_date in sorted({run_date for run_date, _ in totals})
-    ]
-    cuts = staged.sparkSession.createDataFrame(
-        rows, ", ".join(["run_date date", *[f"{column} {CUT_TYPE}" for column in columns]])
-    ).coalesce(1)
+
+    def cuts_of(run_date: dt.date, number: int) -> list[dict]:
+        return [at[run_date, number, end] for end in bucket_ends(totals[run_date, number])]
+
+    run_dates = sorted({run_date for run_date, _ in totals})
+    cuts = plan_table(
+        staged.sparkSession,
+        [
+            {"run_date": day, **{c: cuts_of(day, number) for number, c in enumerate(columns)}}
+            for day in run_dates
+        ],
+        # Structs compare field by field, so the order of the levels must be given.
+        pa.schema([("run_date", pa.date32()), *[(column, CUTS_TYPE) for column in columns]]),
+    )
 
     def bucket(score: Score, column: str) -> Column:
-        key = F.struct(*_key(score), _tie())
-        passed = [(key > F.col(column)[i]).cast("int") for i in range(BUCKETS - 1)]
-        return sum(passed, F.lit(1))
+        key = F.struct(*[level.alias(name) for name, level in _key(score).items()])
+        passed = ((key > F.col(column)[i]).cast("int") for i in range(BUCKETS - 1))
+        return sum_of([F.lit(1), *passed])
 
     # One row per run date, so the broadcast does not grow with the customers.
     return (
         staged.join(F.broadcast(cuts), "run_date")
         .withColumns({s.name: bucket(s, c) for s, c in zip(SCORES, columns)})
-        .drop(*columns)
+        .drop(*columns, *MONEY_PARTS)
     )

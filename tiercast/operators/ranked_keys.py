@@ -6,63 +6,66 @@ still holds a wanted rank and keeps the slot the rank falls into; map-side count
 small whatever the distribution. When few rows are left around a rank, those are sorted. Ties are
 narrowed by the tie-breaker in the same way, so one value held by most rows is no obstacle.
 
-Entries are ordered by ``(nulls, v, t)`` within ``(run_date, metric)``; ``nulls`` places missing
-values before or after the others. The driver holds one row per wanted rank, never data.
+Entries are ordered by the bigint columns ``LEVELS`` within ``(run_date, metric)``. The driver
+holds one row per wanted rank, never data.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
-from decimal import Decimal
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-VALUE_TYPE = "decimal(28,2)"
-TIE_TYPE = "decimal(20,0)"
+from tiercast.operators.scratch import plan_table
+
+# Most significant first: place of missing values, the value in two parts, whether there is a
+# customer id, the customer id.
+LEVELS = ("nulls", "major", "minor", "known", "id")
+Key = tuple[int, int, int, int, int]
 
 # Rows around one rank that a single task may sort.
 SORT_ROWS = 200_000
 # Slots per bracket, fewer where many run dates share a pass.
 MAX_SLOTS, MIN_SLOTS, SLOTS_PER_PASS = 4096, 64, 1 << 17
+# Up to here bracket bounds are also given to Catalyst as literals.
+LITERAL_BRACKETS = 24
 
-GROUP = ["run_date", "metric", "nulls"]
-LIMITS = ["v_lo", "v_hi", "t_lo", "t_hi"]
-BRACKET_TYPE = (
-    f"run_date date, metric int, nulls int, v_lo {VALUE_TYPE}, v_hi {VALUE_TYPE}, "
-    f"t_lo {TIE_TYPE}, t_hi {TIE_TYPE}, before bigint, n_rows bigint, ranks array<bigint>"
-)
+GROUP = ["run_date", "metric"]
+LOWS = [f"{level}_lo" for level in LEVELS]
+HIGHS = [f"{level}_hi" for level in LEVELS]
 
 
 class RankedKey(NamedTuple):
     run_date: dt.date
     metric: int
     rank: int
-    nulls: int
-    v: Decimal
-    t: Decimal
+    key: Key
 
 
 class Bracket(NamedTuple):
-    """A key range known to hold ``ranks``; ``before`` rows of the whole order precede it."""
+    """A key range known to hold ``ranks``; ``before`` rows of the whole order precede it.
+
+    Up to the first level where the bounds differ all rows are equal.
+    """
 
     run_date: dt.date
     metric: int
-    nulls: int
-    v_lo: Decimal
-    v_hi: Decimal
-    t_lo: Decimal
-    t_hi: Decimal
+    low: Key
+    high: Key
     before: int
     n_rows: int
     ranks: list[int]
 
     @property
-    def is_point(self) -> bool:
-        return self.v_lo == self.v_hi and self.t_lo == self.t_hi
+    def open_level(self) -> int:
+        differ = (i for i, (low, high) in enumerate(zip(self.low, self.high)) if low != high)
+        return next(differ, len(LEVELS))
 
 
 def keys_at_ranks(
@@ -75,77 +78,93 @@ def keys_at_ranks(
     """
     points: list[Bracket] = []
     short: list[Bracket] = []
-    brackets, totals = _whole_ranges(entries, ranks_for)
+    brackets = _whole_ranges(entries, ranks_for)
+    totals = {(b.run_date, b.metric): b.n_rows for b in brackets}
     first_pass = True
     while brackets:
-        points += [b for b in brackets if b.is_point]
-        rest = [b for b in brackets if not b.is_point]
+        points += [b for b in brackets if b.open_level == len(LEVELS)]
+        rest = [b for b in brackets if b.open_level < len(LEVELS)]
         short += [b for b in rest if b.n_rows <= sort_rows]
         long = [b for b in rest if b.n_rows > sort_rows]
         brackets = _narrow(entries, long, log_spaced=first_pass) if long else []
         first_pass = False
-    found = [
-        RankedKey(b.run_date, b.metric, rank, b.nulls, b.v_lo, b.t_lo)
-        for b in points
-        for rank in b.ranks
-    ]
+    found = [RankedKey(b.run_date, b.metric, r, b.low) for b in points for r in b.ranks]
     return found + (_sorted_out(entries, short) if short else []), totals
 
 
-def _range_summary() -> list[Column]:
+def _summary() -> list[Column]:
     return [
-        F.min("v").alias("v_lo"),
-        F.max("v").alias("v_hi"),
-        F.min("t").alias("t_lo"),
-        F.max("t").alias("t_hi"),
+        *[F.min(level).alias(low) for level, low in zip(LEVELS, LOWS)],
+        *[F.max(level).alias(high) for level, high in zip(LEVELS, HIGHS)],
         F.count(F.lit(1)).alias("n_rows"),
     ]
 
 
-def _whole_ranges(
-    entries: DataFrame, ranks_for: Callable[[int], list[int]]
-) -> tuple[list[Bracket], dict[tuple[dt.date, int], int]]:
-    classes = entries.groupBy(*GROUP).agg(*_range_summary()).collect()
-    totals: dict[tuple[dt.date, int], int] = {}
-    for row in classes:
-        group = (row.run_date, row.metric)
-        totals[group] = totals.get(group, 0) + row.n_rows
-    passed = dict.fromkeys(totals, 0)
+def _bounds(row) -> tuple[Key, Key]:
+    return tuple(row[low] for low in LOWS), tuple(row[high] for high in HIGHS)
+
+
+def _whole_ranges(entries: DataFrame, ranks_for: Callable[[int], list[int]]) -> list[Bracket]:
+    groups = entries.groupBy(*GROUP).agg(*_summary()).collect()
     brackets = []
-    for row in sorted(classes, key=lambda row: row.nulls):
-        group = (row.run_date, row.metric)
-        before = passed[group]
-        passed[group] = through = before + row.n_rows
-        wanted = {rank for rank in ranks_for(totals[group]) if before < rank <= through}
-        if wanted:
-            limits = [row[name] for name in LIMITS]
-            brackets.append(
-                Bracket(*group, row.nulls, *limits, before, row.n_rows, sorted(wanted))
-            )
-    return brackets, totals
-
-
-def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, DataFrame]:
+    for row in groups:
+        ranks = sorted(set(ranks_for(row.n_rows)))
+        brackets.append(Bracket(row.run_date, row.metric, *_bounds(row), 0, row.n_rows, ranks))
+    return brackets
+
+
+def _any_of(tests: list[Column]) -> Column:
+    return reduce(Column.__or__, tests)
+
+
+def _holds(bracket: Bracket) -> Column:
+    """Whether an entry can be in the bracket, as a test on literals."""
+    within = [F.col("metric") == bracket.metric]
+    for level, low, high in zip(LEVELS[: bracket.open_level + 1], bracket.low, bracket.high):
+        within.append(F.col(level).between(low, high))
+    return reduce(Column.__and__, within)
+
+
+def _inside(
+    entries: DataFrame, brackets: list[Bracket], log_spaced: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """The numbered brackets, and the entries that fall into them."""
-    spark = entries.sparkSession
-    table = spark.createDataFrame(
-        [(number, *bracket) for number, bracket in enumerate(brackets)],
-        f"bracket int, {BRACKET_TYPE}",
-    ).coalesce(1)
-    inside = entries.join(F.broadcast(table.drop("n_rows")), GROUP).where(
-        F.col("v").between(F.col("v_lo"), F.col("v_hi"))
-        & F.col("t").between(F.col("t_lo"), F.col("t_hi"))
-    )
-    return table, inside
+    rows = []
+    for number, bracket in enumerate(brackets):
+        span = bracket.high[bracket.open_level] - bracket.low[bracket.open_level]
+        rows.append(
+            {
+                "bracket": number,
+                "run_date": bracket.run_date,
+                "metric": bracket.metric,
+                "open_level": bracket.open_level,
+                "span": math.log1p(span) if log_spaced else float(span),
+                # A difference beyond bigint has to be taken in doubles.
+                "vast": span >= 2**63,
+                "before": bracket.before,
+                "ranks": bracket.ranks,
+                **dict(zip(LOWS, bracket.low)),
+                **dict(zip(HIGHS, bracket.high)),
+            }
+        )
+    table = plan_table(entries.sparkSession, rows)
+    if len(brackets) <= LITERAL_BRACKETS:
+        # Drops most entries, and whole metrics, before the join sees them.
+        entries = entries.where(_any_of([_holds(bracket) for bracket in brackets]))
+    within = [
+        F.col(level).between(F.col(low), F.col(high))
+        for level, low, high in zip(LEVELS, LOWS, HIGHS)
+    ]
+    # One row per wanted rank, so the broadcast does not grow with the entries.
+    return table, entries.join(F.broadcast(table), GROUP).where(reduce(Column.__and__, within))
 
 
-def _slot(key: str, slots: int, log_spaced: bool) -> Column:
+def _slot(level: str, slots: int, log_spaced: bool) -> Column:
     """Slot number, non-decreasing in the key; the ends of the range never share a slot."""
-    offset = (F.col(key) - F.col(f"{key}_lo")).cast("double")
-    span = (F.col(f"{key}_hi") - F.col(f"{key}_lo")).cast("double")
-    if log_spaced:
-        offset, span = F.log1p(offset), F.log1p(span)
-    share = offset / F.nullif(span, F.lit(0.0))
+    here, low = F.col(level), F.col(f"{level}_lo")
+    rough = here.cast("double") - low.cast("double")
+    offset = F.when(F.col("vast"), rough).otherwise((here - low).cast("double"))
+    share = (F.log1p(offset) if log_spaced else offset) / F.col("span")
     return F.least(F.floor(share * slots).cast("int"), F.lit(slots - 1))
 
 
@@ -156,39 +175,48 @@ def _narrow(entries: DataFrame, brackets: list[Bracket], log_spaced: bool) -> li
     slot. Within the narrow ranges after it, equal widths separate better.
     """
     slots = max(MIN_SLOTS, min(MAX_SLOTS, SLOTS_PER_PASS // len(brackets)))
-    table, inside = _inside(entries, brackets)
-    slot = F.when(
-        F.col("v_lo") < F.col("v_hi"), _slot("v", slots, log_spaced)
-    ).otherwise(_slot("t", slots, log_spaced=False))
-    counted = inside.groupBy("bracket", slot.alias("slot")).agg(*_range_summary())
+    table, inside = _inside(entries, brackets, log_spaced)
+    slot = reduce(
+        lambda cases, i: cases.when(
+            F.col("open_level") == i, _slot(LEVELS[i], slots, log_spaced)
+        ),
+        sorted({b.open_level for b in brackets}),
+        F,
+    )
+    counted = inside.groupBy("bracket", slot.alias("slot")).agg(*_summary())
 
     earlier = (
         Window.partitionBy("bracket")
         .orderBy("slot")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.col("base") + F.coalesce(F.sum("n_rows").over(earlier), F.lit(0))
+    before = F.col("before") + F.coalesce(F.sum("n_rows").over(earlier), F.lit(0))
     wanted = F.filter(
         "ranks",
         lambda rank: (rank > F.col("before")) & (rank <= F.col("before") + F.col("n_rows")),
     )
-    owners = table.select("bracket", *GROUP, F.col("before").alias("base"), "ranks")
+    owners = table.select("bracket", *GROUP, "before", "ranks")
     kept = (
         counted.join(F.broadcast(owners), "bracket")
         .withColumn("before", before)
         .withColumn("ranks", wanted)
         .where(F.size("ranks") > 0)
-        .select(*Bracket._fields)
     )
-    return [Bracket(*row) for row in kept.collect()]
+    return [
+        Bracket(row.run_date, row.metric, *_bounds(row), row.before, row.n_rows, row.ranks)
+        for row in kept.collect()
+    ]
 
 
 def _sorted_out(entries: DataFrame, brackets: list[Bracket]) -> list[RankedKey]:
     _, inside = _inside(entries, brackets)
-    order = Window.partitionBy("bracket").orderBy("v", "t")
+    order = Window.partitionBy("bracket").orderBy(*LEVELS)
     ranked = (
         inside.withColumn("rank", F.col("before") + F.row_number().over(order))
         .where(F.array_contains("ranks", F.col("rank")))
-        .select(*RankedKey._fields)
+        .select(*GROUP, "rank", *LEVELS)
     )
-    return [RankedKey(*row) for row in ranked.collect()]
+    return [
+        RankedKey(row.run_date, row.metric, row.rank, tuple(row[level] for level in LEVELS))
+        for row in ranked.collect()
+    ]

@@ -1,10 +1,11 @@
-"""Intermediate tables in the folder shared by all executors."""
+"""Intermediate tables: staged in the folder shared by all executors, or held in the plan."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +51,10 @@ def plan_bytes(frame: DataFrame) -> int:
     """Catalyst's size estimate, the figure Spark itself uses to choose broadcast joins."""
     stats = frame._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes()))
+
+
+def plan_table(
+    spark: SparkSession, rows: list[dict], schema: pa.Schema | None = None
+) -> DataFrame:
+    """A few driver-made rows as a local relation, whose exact size Catalyst knows."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

@@ -6,13 +6,16 @@ Input is the metrics table of one run date. Missing values are skipped, pairwise
 from __future__ import annotations
 
 import math
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.config import AUTO, SMALL_PLAN_BYTES, WINDOW
-from tiercast.operators.ranked_keys import SORT_ROWS, TIE_TYPE, VALUE_TYPE, keys_at_ranks
-from tiercast.operators.scratch import Scratch, plan_bytes
+from tiercast.operators.quintiles import MONEY_SPLIT, stage_with_keys, value_parts
+from tiercast.operators.ranked_keys import LEVELS, SORT_ROWS, Key, keys_at_ranks
+from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
 
 METRICS = ("recency_days", "frequency_orders", "monetary_value")
 PAIRS = tuple((x, y) for i, x in enumerate(METRICS) for y in METRICS[i + 1 :])
@@ -133,6 +136,13 @@ def _per_metric(metrics: DataFrame, measures: dict) -> DataFrame:
 EXTENT = {"n": F.count, "lo": F.min, "hi": F.max}
 
 
+def _value_of(metric: str, key: Key) -> float:
+    _, major, minor, _, _ = key
+    if metric == "monetary_value":
+        return float(major * MONEY_SPLIT + Decimal(minor) / 100)
+    return float(minor)
+
+
 def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
     """Exact interpolated quartiles from the values at the neighbouring ranks."""
     shares = (0.25, 0.75)
@@ -143,33 +153,35 @@ def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
     def ranks(n: int) -> list[int]:
         return [rank + 1 for p in positions(n) for rank in (math.floor(p), math.ceil(p))]
 
-    rows = F.array(
-        *[
-            F.struct(F.lit(i).alias("metric"), F.col(m).cast(VALUE_TYPE).alias("v"))
-            for i, m in enumerate(METRICS)
-        ]
-    )
     # Equal values are interchangeable here, so they need no tie-breaker.
-    entries = (
-        staged.select("run_date", F.inline(rows))
-        .where(F.col("v").isNotNull())
-        .withColumns({"nulls": F.lit(0), "t": F.lit(0).cast(TIE_TYPE)})
+    none = F.lit(0).cast("bigint")
+    entries = reduce(
+        DataFrame.unionAll,
+        [
+            staged.where(F.col(m).isNotNull()).select(
+                "run_date",
+                F.lit(i).cast("bigint").alias("metric"),
+                *[
+                    part.alias(level)
+                    for level, part in zip(LEVELS, (none, *value_parts(m), none, none))
+                ],
+            )
+            for i, m in enumerate(METRICS)
+        ],
     )
     keys, totals = keys_at_ranks(entries, ranks, sort_rows)
-    at = {(key.metric, key.rank): float(key.v) for key in keys}
+    at = {(k.metric, k.rank): _value_of(METRICS[k.metric], k.key) for k in keys}
 
     def quartile(metric: int, position: float) -> float:
         below, above = math.floor(position), math.ceil(position)
         low, high = at[metric, below + 1], at[metric, above + 1]
         return low + (high - low) * (position - below)
 
-    return staged.sparkSession.createDataFrame(
-        [
-            (METRICS[metric], *[quartile(metric, p) for p in positions(n)])
-            for (_, metric), n in totals.items()
-        ],
-        "metric string, q1 double, q3 double",
-    ).coalesce(1)
+    rows = []
+    for (_, metric), n in totals.items():
+        q1, q3 = (quartile(metric, position) for position in positions(n))
+        rows.append({"metric": METRICS[metric], "q1": q1, "q3": q3})
+    return plan_table(staged.sparkSession, rows)
 
 
 def metric_histogram(
@@ -196,7 +208,7 @@ def metric_histogram(
             },
         )
     else:
-        metrics = (scratch or Scratch(metrics.sparkSession)).stage(metrics, "metrics")
+        metrics = stage_with_keys(metrics, scratch)
         extent = _per_metric(metrics, EXTENT).join(
             F.broadcast(_quartiles_by_rank(metrics, sort_rows)), "metric"
         )

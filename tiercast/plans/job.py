@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tiercast.config import DailyConfig
-from tiercast.operators.scratch import Scratch
+from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.daily import rfm_daily, rfm_daily_detailed
 
-SUMMARY_TYPE = "run_date date, records bigint"
-
 
 def run(
     orders: DataFrame, target: str, config: DailyConfig = DailyConfig(), detailed: bool = False
@@ -25,4 +23,4 @@ def run(
             batch = rfm_daily(orders, config, scratch)
         rule = DETAILED if detailed else CORE
         records = upsert(batch, target, [config.run_date], rule, config.run_ts)
-    return spark.createDataFrame([(config.run_date, records)], SUMMARY_TYPE)
+    return plan_table(spark, [{"run_date": config.run_date, "records": records}])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ("run_date", "customer_id")
@@ -36,5 +37,6 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA]
+        return spark.range(0).select(*nothing)
     return stored.select(*SNAPSHOT_SCHEMA.fieldNames())
