@@ -1,0 +1,87 @@
+"""Truth tables over all 125 score combinations."""
+
+import itertools
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiercast.functions.labels import core_behaviour, detailed_behaviour, score_tier
+
+# Cells per label; a label without a cell is hidden by the ones before it.
+CORE = {
+    "Champions": 8,
+    "Loyal High Spenders": 12,
+    "Loyal Budget Spenders": 30,
+    "At Risk": 30,
+    "Others": 45,
+}
+DETAILED = {
+    "Champions": 8,
+    "Loyal High Spenders": 12,
+    "Loyal Budget Spenders": 30,
+    "Big Spenders": 18,
+    "New Customers": 4,
+    "Potential Loyalists": 2,
+    "Promising Customers": 1,
+    "Big Spenders At Risk": 12,
+    "About to Churn": 4,
+    "Hibernating": 4,
+    "One-time Buyers": 4,
+    "Bargain Hunters": 5,
+    "Low Value Customers": 2,
+    "Others": 19,
+}
+TIERS = {
+    "Loyal Customers": 53,
+    "Potential Loyalists": 37,
+    "Promising Customers": 25,
+    "At Risk": 9,
+    "Hibernating": 1,
+}
+
+
+@pytest.fixture(scope="module")
+def cells(spark):
+    rows = [(*cell, sum(cell)) for cell in itertools.product(range(1, 6), repeat=3)]
+    return spark.createDataFrame(rows, "r_score int, f_score int, m_score int, rfm_score int")
+
+
+@pytest.mark.parametrize(
+    ("label", "expected"),
+    [(core_behaviour, CORE), (detailed_behaviour, DETAILED), (score_tier, TIERS)],
+)
+def test_cells_per_label(cells, label, expected):
+    counted = cells.groupBy(label().alias("label")).count().collect()
+    assert {row.label: row["count"] for row in counted} == expected
+
+
+@pytest.mark.parametrize(
+    ("cell", "core", "detailed"),
+    [
+        ((5, 5, 5), "Champions", "Champions"),
+        ((2, 4, 4), "Loyal High Spenders", "Loyal High Spenders"),
+        ((1, 4, 1), "Loyal Budget Spenders", "Loyal Budget Spenders"),
+        ((5, 1, 5), "Others", "Big Spenders"),
+        ((5, 2, 1), "Others", "New Customers"),
+        ((4, 3, 3), "Others", "Potential Loyalists"),
+        ((4, 2, 2), "Others", "Promising Customers"),
+        ((1, 3, 4), "At Risk", "Big Spenders At Risk"),
+        ((2, 1, 1), "At Risk", "About to Churn"),
+        ((1, 2, 2), "At Risk", "Hibernating"),
+        ((3, 1, 2), "Others", "One-time Buyers"),
+        ((5, 3, 1), "Others", "Bargain Hunters"),
+        ((3, 2, 2), "Others", "Low Value Customers"),
+        ((3, 3, 3), "Others", "Others"),
+    ],
+)
+def test_single_cells(cells, cell, core, detailed):
+    r, f, m = cell
+    here = (F.col("r_score") == r) & (F.col("f_score") == f) & (F.col("m_score") == m)
+    row = cells.where(here).select(core_behaviour(), detailed_behaviour()).first()
+    assert tuple(row) == (core, detailed)
+
+
+def test_sum_outside_the_scale(spark):
+    rows = spark.createDataFrame([(2,), (16,)], "rfm_score int").select(score_tier())
+    assert Counter(row[0] for row in rows.collect()) == {"Others": 2}

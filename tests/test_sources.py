@@ -1,0 +1,117 @@
+"""Order sources and the plans they lead to."""
+
+import datetime as dt
+import re
+from contextlib import redirect_stdout
+from io import StringIO
+
+import pytest
+
+from tiercast.__main__ import parse
+from tiercast.config import DISTRIBUTED, SMALL_PLAN_BYTES, DailyConfig
+from tiercast.operators.scratch import Scratch, plan_bytes, shared_root
+from tiercast.plans.daily import rfm_base, rfm_daily
+from tiercast.plans.registry import ORDERS, ORDERS_DAY, queries
+from tiercast.sources.orders import ORDERS_SCHEMA, jdbc_options, read_orders
+
+
+def plan_of(frame) -> str:
+    text = StringIO()
+    with redirect_stdout(text):
+        frame.explain("formatted")
+    return text.getvalue()
+
+
+@pytest.fixture(scope="module")
+def orders(spark, check_dir):
+    return read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
+
+
+def test_schema(orders):
+    assert [(f.name, f.dataType) for f in orders.schema] == [
+        (f.name, f.dataType) for f in ORDERS_SCHEMA
+    ]
+
+
+def test_other_formats(spark, orders):
+    folder = Scratch(spark).path
+    orders.write.option("header", True).csv(f"{folder}/csv")
+    orders.write.orc(f"{folder}/orc")
+    csv = read_orders(spark, f"{folder}/csv", fmt="csv", options={"header": "true"})
+    expected = rfm_daily(orders, ORDERS_DAY)
+    for other in (csv, read_orders(spark, f"{folder}/orc", fmt="orc")):
+        assert rfm_daily(other, ORDERS_DAY).exceptAll(expected).isEmpty()
+
+
+def test_status_and_columns_reach_the_scan(orders):
+    plan = plan_of(rfm_daily(orders, ORDERS_DAY))
+    assert "IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in plan
+    assert "o_orderpriority" not in plan
+    assert "partial_max" in plan
+    assert "Python" not in plan
+
+
+def test_backfill_bound_reaches_the_scan(spark, check_dir):
+    plan = plan_of(queries()["rfm_backfill"](spark, check_dir))
+    assert "LessThan(o_orderdate,2001-08-03T00:00)" in plan
+    assert "Join" not in plan
+
+
+def test_distributed_scoring_neither_sorts_nor_shuffles(orders):
+    config = DailyConfig(dt.date(2001, 8, 2), excluded_status="P", strategy=DISTRIBUTED)
+    plan = plan_of(rfm_daily(orders, config))
+    assert "BroadcastHashJoin" in plan
+    assert not re.search(r"\bSort\b|\bWindow\b|SinglePartition|hashpartitioning", plan)
+
+
+def test_no_plan_uses_a_cross_join(spark, small_dir):
+    for query in queries().values():
+        plan = plan_of(query(spark, small_dir))
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_size_estimate_chooses_the_strategy(spark, orders):
+    assert plan_bytes(rfm_base(orders, ORDERS_DAY)) <= SMALL_PLAN_BYTES
+    assert plan_bytes(spark.range(10**8)) > SMALL_PLAN_BYTES
+
+
+def test_staged_tables_go_to_the_checkpoint_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+    assert Scratch(spark).path.startswith(shared_root(spark))
+
+
+def test_scratch_is_removed(spark, orders):
+    with Scratch(spark) as scratch:
+        staged = scratch.stage(orders, "orders")
+        assert staged.count() == orders.count()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch.path)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        assert files.exists(path)
+    assert not files.exists(path)
+
+
+def test_jdbc_options():
+    assert jdbc_options("jdbc:postgresql://host/db", "ecom.orders", "me", "secret") == {
+        "url": "jdbc:postgresql://host/db",
+        "dbtable": "ecom.orders",
+        "fetchsize": "10000",
+        "user": "me",
+        "password": "secret",
+    }
+    split = jdbc_options(
+        "url", "orders", partition_column="order_id", bounds=(1, 900), num_partitions=9
+    )
+    assert split["partitionColumn"] == "order_id"
+    assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("1", "900", "9")
+    with pytest.raises(ValueError):
+        jdbc_options("url", "orders", partition_column="order_id")
+
+
+def test_command_line():
+    options = parse(
+        ["--orders", "in", "--target", "out", "--run-date", "2024-01-10", "--customer-id", "buyer"]
+    )
+    assert options.run_date == dt.date(2024, 1, 10)
+    assert (options.customer_id, options.order_id) == ("buyer", "order_id")
+    assert (options.detailed, options.recency_mode, options.statistics) == (False, None, None)

@@ -1,0 +1,146 @@
+"""Statistics against known numbers and independent computations."""
+
+import datetime as dt
+import math
+
+import numpy as np
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from tiercast.config import DISTRIBUTED, WINDOW
+from tiercast.operators import statistics
+from tiercast.plans.daily import rfm_base
+from tiercast.plans.registry import ORDERS, ORDERS_DAY
+from tiercast.sources.orders import read_orders
+
+DAY = dt.date(2024, 1, 1)
+BASE = (
+    "run_date date, customer_id bigint, recency_days int, frequency_orders bigint, "
+    "monetary_value decimal(28,2)"
+)
+
+GOLDEN = {
+    ("recency_days", "frequency_orders"): (-0.378717, -0.002846, 7.633218, 0.143426),
+    ("recency_days", "monetary_value"): (-0.331546, -708.299322, 1911853.660088, 0.109923),
+    ("frequency_orders", "monetary_value"): (0.875212, 248793.436434, 12691.599068, 0.765996),
+}
+
+
+@pytest.fixture(scope="module")
+def metrics(spark, check_dir):
+    orders = read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
+    return rfm_base(orders, ORDERS_DAY).cache()
+
+
+def synthetic(spark, n):
+    """Loosely related metrics with some missing values."""
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 100
+    return spark.range(n).select(
+        F.lit(DAY).alias("run_date"),
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 17 == 3, None).otherwise(F.col("id") % 7).cast("int").alias("recency_days"),
+        (F.col("id") % 11 + F.floor(noise)).alias("frequency_orders"),
+        F.when(F.col("id") % 13 == 5, None)
+        .otherwise((F.col("id") % 7) * 0.4 + noise)
+        .cast("decimal(28,2)")
+        .alias("monetary_value"),
+    )
+
+
+def by_pair(frame, *columns):
+    return {(row.x, row.y): tuple(row[c] for c in columns) for row in frame.collect()}
+
+
+def test_golden_pairs(metrics):
+    correlation = by_pair(statistics.metric_correlation(metrics), "r")
+    regression = by_pair(statistics.metric_regression(metrics), "slope", "intercept", "r2")
+    assert {p: correlation[p] + regression[p] for p in GOLDEN} == GOLDEN
+
+
+def test_label_has_two_decimals(metrics):
+    labels = by_pair(statistics.metric_correlation(metrics), "label")
+    assert labels["frequency_orders", "monetary_value"] == ("r = 0.88",)
+
+
+@pytest.mark.parametrize("n", [5, 12, 40, 600])
+def test_significance_equals_the_slope_test(spark, n):
+    base = synthetic(spark, n)
+    found = by_pair(statistics.metric_significance(base), "p_value", "n")
+    for x, y in statistics.PAIRS:
+        complete = base.select(
+            *[F.col(c).cast("double").alias(c) for c in (x, y)]
+        ).dropna()
+        features = VectorAssembler(inputCols=[x], outputCol="features").transform(complete)
+        fit = LinearRegression(labelCol=y, solver="normal").fit(features)
+        p_value, count = found[x, y]
+        assert count == complete.count()
+        assert p_value == pytest.approx(fit.summary.pValues[0], abs=2e-6)
+
+
+def test_significance_of_an_exact_line(spark):
+    rows = [(DAY, i, i, 2 * i, None) for i in range(9)]
+    found = by_pair(statistics.metric_significance(spark.createDataFrame(rows, BASE)), "p_value")
+    assert found["recency_days", "frequency_orders"] == (0.0,)
+
+
+def test_quartiles_and_bins(metrics):
+    table = statistics.metric_histogram(metrics)
+    bins = {row.metric: row.bins for row in table.groupBy("metric").agg(F.max("bin").alias("bins")).collect()}
+    assert bins == {"recency_days": 33, "frequency_orders": 30, "monetary_value": 26}
+    assert table.count() == 74
+
+
+@pytest.mark.parametrize("strategy", [WINDOW, DISTRIBUTED])
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 3000])
+def test_histogram_equals_numpy(spark, strategy, n):
+    base = synthetic(spark, n)
+    table = statistics.metric_histogram(base, strategy, sort_rows=7).collect()
+    for metric in statistics.METRICS:
+        values = [float(row[0]) for row in base.select(metric).dropna().collect()]
+        found = {row.bin: (row.n_rows, row.density) for row in table if row.metric == metric}
+        lo, hi = min(values), max(values)
+        if lo == hi:
+            assert found == {0: (len(values), None)}
+            continue
+        q1, q3 = np.percentile(values, [25, 75])
+        step = 2 * (q3 - q1) / len(values) ** (1 / 3)
+        wanted = math.floor(math.sqrt(len(values))) if step == 0 else math.ceil((hi - lo) / step)
+        counts, edges = np.histogram(values, max(1, min(50, wanted)))
+        width = edges[1] - edges[0]
+        assert sum(rows for rows, _ in found.values()) == len(values)
+        assert max(found) == len(counts) - 1
+        area = sum(density * width for _, density in found.values())
+        assert area == pytest.approx(1, abs=1e-6)
+
+
+def test_missing_metric_has_no_rows(spark):
+    rows = [(DAY, i, None, i, None) for i in range(9)]
+    base = spark.createDataFrame(rows, BASE)
+    for strategy in (WINDOW, DISTRIBUTED):
+        table = statistics.metric_histogram(base, strategy)
+        assert {row.metric for row in table.collect()} == {"frequency_orders"}
+    assert {r.metric for r in statistics.metric_density(base).collect()} == {"frequency_orders"}
+
+
+def test_density_equals_the_full_kernel_sum(metrics):
+    curve = statistics.metric_density(metrics).collect()
+    for metric in statistics.METRICS:
+        values = np.array([float(row[0]) for row in metrics.select(metric).collect()])
+        h = values.std(ddof=1) * len(values) ** -0.2
+        grid = np.linspace(values.min() - 3 * h, values.max() + 3 * h, 100)
+        z = (grid[:, None] - values[None, :]) / h
+        expected = np.exp(-0.5 * z**2).sum(axis=1) / (len(values) * h * math.sqrt(2 * math.pi))
+        points = sorted((row.point, row.density) for row in curve if row.metric == metric)
+        assert [density for _, density in points] == pytest.approx(expected, abs=2e-12)
+        assert np.trapezoid(expected, grid) == pytest.approx(1, abs=1e-3)
+
+
+def test_density_covers_gaps(spark):
+    # Far beyond the kernel's reach of either end there is nothing, and the curve says so.
+    rows = [(DAY, i, i % 2, 1_000_000 if i == 0 else i % 3, None) for i in range(4000)]
+    curve = statistics.metric_density(spark.createDataFrame(rows, BASE))
+    points = curve.where("metric = 'frequency_orders'").orderBy("point").collect()
+    assert len(points) == 100
+    assert points[50].density == 0.0

@@ -36,24 +36,26 @@ class OrderColumns:
 
 @dataclass(frozen=True)
 class DailyConfig:
-    """What to compute. ``run_date`` and ``run_ts`` default to the clock at call time."""
+    """What to compute. ``run_date`` and ``run_ts`` default to the clock at call time,
+    ``recency_mode`` to that of the variant: calendar, or elapsed for the detailed one."""
 
     run_date: dt.date | None = None
     run_ts: dt.datetime | None = None
     excluded_status: str = "cancelled"
-    recency_mode: str = CALENDAR
+    recency_mode: str | None = None
     strategy: str = AUTO
 
     def __post_init__(self) -> None:
-        if self.recency_mode not in RECENCY_MODES:
+        if self.recency_mode not in (None, *RECENCY_MODES):
             raise ValueError(f"recency_mode must be one of {RECENCY_MODES}")
         if self.strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
 
-    def resolved(self) -> DailyConfig:
-        """The same settings with both clock values filled in."""
+    def resolved(self, recency_mode: str = CALENDAR) -> DailyConfig:
+        """The same settings with the open ones filled in."""
         return replace(
             self,
             run_date=self.run_date or dt.date.today(),
             run_ts=self.run_ts or dt.datetime.now(),
+            recency_mode=self.recency_mode or recency_mode,
         )

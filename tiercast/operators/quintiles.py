@@ -79,7 +79,12 @@ def _by_window(base: DataFrame) -> DataFrame:
 
 
 def stage_with_keys(base: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """The staged metrics with the money also as two bigints, so that passes avoid decimals."""
+    """The staged metrics with the money also as two bigints, so that passes avoid decimals.
+
+    A table that was staged here before is returned as it is.
+    """
+    if set(MONEY_PARTS) <= set(base.columns):
+        return base
     money, split = F.col("monetary_value"), F.lit(MONEY_SPLIT).cast("decimal(11,0)")
     major, minor = MONEY_PARTS
     keyed = base.withColumns(

@@ -61,12 +61,23 @@ class Bracket(NamedTuple):
     before: int
     n_rows: int
     ranks: list[int]
+    # The level split last, if any.
+    split_level: int | None = None
 
     @property
     def open_level(self) -> int:
         differ = (i for i, (low, high) in enumerate(zip(self.low, self.high)) if low != high)
         return next(differ, len(LEVELS))
 
+    @property
+    def log_spaced(self) -> bool:
+        """Whether to split into slots of growing width.
+
+        A few huge values would push all others into one slot of equal width, so the first split
+        of a level is log-spaced. In the narrow ranges after it, equal widths separate better.
+        """
+        return self.split_level != self.open_level
+
 
 def keys_at_ranks(
     entries: DataFrame, ranks_for: Callable[[int], list[int]], sort_rows: int = SORT_ROWS
@@ -80,14 +91,12 @@ def keys_at_ranks(
     short: list[Bracket] = []
     brackets = _whole_ranges(entries, ranks_for)
     totals = {(b.run_date, b.metric): b.n_rows for b in brackets}
-    first_pass = True
     while brackets:
         points += [b for b in brackets if b.open_level == len(LEVELS)]
         rest = [b for b in brackets if b.open_level < len(LEVELS)]
         short += [b for b in rest if b.n_rows <= sort_rows]
         long = [b for b in rest if b.n_rows > sort_rows]
-        brackets = _narrow(entries, long, log_spaced=first_pass) if long else []
-        first_pass = False
+        brackets = _narrow(entries, long) if long else []
     found = [RankedKey(b.run_date, b.metric, r, b.low) for b in points for r in b.ranks]
     return found + (_sorted_out(entries, short) if short else []), totals
 
@@ -125,9 +134,7 @@ def _holds(bracket: Bracket) -> Column:
     return reduce(Column.__and__, within)
 
 
-def _inside(
-    entries: DataFrame, brackets: list[Bracket], log_spaced: bool = False
-) -> tuple[DataFrame, DataFrame]:
+def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, DataFrame]:
     """The numbered brackets, and the entries that fall into them."""
     rows = []
     for number, bracket in enumerate(brackets):
@@ -138,7 +145,8 @@ def _inside(
                 "run_date": bracket.run_date,
                 "metric": bracket.metric,
                 "open_level": bracket.open_level,
-                "span": math.log1p(span) if log_spaced else float(span),
+                "log_spaced": bracket.log_spaced,
+                "span": math.log1p(span) if bracket.log_spaced else float(span),
                 # A difference beyond bigint has to be taken in doubles.
                 "vast": span >= 2**63,
                 "before": bracket.before,
@@ -159,27 +167,22 @@ def _inside(
     return table, entries.join(F.broadcast(table), GROUP).where(reduce(Column.__and__, within))
 
 
-def _slot(level: str, slots: int, log_spaced: bool) -> Column:
+def _slot(level: str, slots: int) -> Column:
     """Slot number, non-decreasing in the key; the ends of the range never share a slot."""
     here, low = F.col(level), F.col(f"{level}_lo")
     rough = here.cast("double") - low.cast("double")
     offset = F.when(F.col("vast"), rough).otherwise((here - low).cast("double"))
-    share = (F.log1p(offset) if log_spaced else offset) / F.col("span")
+    distance = F.when(F.col("log_spaced"), F.log1p(offset)).otherwise(offset)
+    share = distance / F.col("span")
     return F.least(F.floor(share * slots).cast("int"), F.lit(slots - 1))
 
 
-def _narrow(entries: DataFrame, brackets: list[Bracket], log_spaced: bool) -> list[Bracket]:
-    """Replace each bracket by the slots that hold its ranks.
-
-    The first pass is log-spaced: a few huge values would otherwise push all the others into one
-    slot. Within the narrow ranges after it, equal widths separate better.
-    """
+def _narrow(entries: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
+    """Replace each bracket by the slots that hold its ranks."""
     slots = max(MIN_SLOTS, min(MAX_SLOTS, SLOTS_PER_PASS // len(brackets)))
-    table, inside = _inside(entries, brackets, log_spaced)
+    table, inside = _inside(entries, brackets)
     slot = reduce(
-        lambda cases, i: cases.when(
-            F.col("open_level") == i, _slot(LEVELS[i], slots, log_spaced)
-        ),
+        lambda cases, i: cases.when(F.col("open_level") == i, _slot(LEVELS[i], slots)),
         sorted({b.open_level for b in brackets}),
         F,
     )
@@ -195,7 +198,7 @@ def _narrow(entries: DataFrame, brackets: list[Bracket], log_spaced: bool) -> li
         "ranks",
         lambda rank: (rank > F.col("before")) & (rank <= F.col("before") + F.col("n_rows")),
     )
-    owners = table.select("bracket", *GROUP, "before", "ranks")
+    owners = table.select("bracket", *GROUP, "open_level", "before", "ranks")
     kept = (
         counted.join(F.broadcast(owners), "bracket")
         .withColumn("before", before)
@@ -203,7 +206,15 @@ def _narrow(entries: DataFrame, brackets: list[Bracket], log_spaced: bool) -> li
         .where(F.size("ranks") > 0)
     )
     return [
-        Bracket(row.run_date, row.metric, *_bounds(row), row.before, row.n_rows, row.ranks)
+        Bracket(
+            row.run_date,
+            row.metric,
+            *_bounds(row),
+            row.before,
+            row.n_rows,
+            row.ranks,
+            row.open_level,
+        )
         for row in kept.collect()
     ]
 

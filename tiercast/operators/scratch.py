@@ -26,20 +26,24 @@ class Scratch:
 
     A staged table is written once and read back, so that every later pass sees the same rows
     without repeating the aggregation, also after executors were lost. As a context manager the
-    folder is removed at the end; otherwise it stays for as long as a lazy result may need it.
+    folder is removed at the end; otherwise it stays until the application ends, for as long as a
+    lazy result may need it.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self.path = f"{shared_root(spark)}/tiercast-{uuid.uuid4().hex}"
+        context = spark.sparkContext
+        self._folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._files = self._folder.getFileSystem(context._jsc.hadoopConfiguration())
+        self._files.mkdirs(self._folder)
+        self._files.deleteOnExit(self._folder)
 
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
-        context = self._spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self._files.delete(self._folder, True)
 
     def stage(self, frame: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}"

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiercast.config import AUTO, SMALL_PLAN_BYTES, WINDOW
+from tiercast.config import AUTO, DISTRIBUTED, SMALL_PLAN_BYTES, WINDOW
 from tiercast.operators.quintiles import MONEY_SPLIT, stage_with_keys, value_parts
 from tiercast.operators.ranked_keys import LEVELS, SORT_ROWS, Key, keys_at_ranks
 from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
@@ -86,13 +86,14 @@ def _tail(from_z: Column, freedom: Column) -> Column:
 
 def metric_significance(metrics: DataFrame) -> DataFrame:
     """Two-sided p-value of each pair's r against no correlation, from r and the row count."""
-    measured = _per_pair(metrics, {"r": F.corr, "n": _pair_count})
-    freedom = F.col("n").cast("double") - 2
-    share = _tail(F.atanh(F.abs("r")), freedom) / _tail(F.lit(0.0), freedom)
+    measured = _per_pair(metrics, {"r": F.corr, "n": _pair_count}).withColumns(
+        {"z": F.atanh(F.abs("r")), "freedom": F.col("n").cast("double") - 2}
+    )
+    share = _tail(F.col("z"), F.col("freedom")) / _tail(F.lit(0.0), F.col("freedom"))
     # Two rows always lie on a line; an exact line has no tail.
     p = F.when(F.col("n") == 2, 1.0).when(F.abs("r") >= 1, 0.0).otherwise(share)
-    return measured.select(
-        "x", "y", "n", F.round("r", 6).alias("r"), F.round(p, 6).alias("p_value")
+    return measured.withColumn("p_value", F.round(p, 6)).select(
+        "x", "y", "n", F.round("r", 6).alias("r"), "p_value"
     )
 
 
@@ -133,6 +134,10 @@ def _per_metric(metrics: DataFrame, measures: dict) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _is_small(metrics: DataFrame) -> bool:
+    return plan_bytes(metrics) <= SMALL_PLAN_BYTES
+
+
 EXTENT = {"n": F.count, "lo": F.min, "hi": F.max}
 
 
@@ -195,8 +200,8 @@ def metric_histogram(
     The bin width follows Freedman and Diaconis; without spread between the quartiles there are
     as many bins as the root of the row count.
     """
-    if strategy == AUTO and plan_bytes(metrics) <= SMALL_PLAN_BYTES:
-        strategy = WINDOW
+    if strategy == AUTO:
+        strategy = WINDOW if _is_small(metrics) else DISTRIBUTED
     if strategy == WINDOW:
         # percentile() gathers all distinct values of a metric in one task.
         extent = _per_metric(
@@ -247,13 +252,16 @@ def metric_histogram(
     )
 
 
-def metric_density(metrics: DataFrame) -> DataFrame:
+def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Gaussian density curve of each metric with Scott's bandwidth, on an even grid.
 
     A value contributes to the grid points its kernel reaches, which are few for large inputs
     because the bandwidth shrinks with the row count. All contributions of a task combine into at
     most one row per grid point before the shuffle.
     """
+    if not _is_small(metrics):
+        # Read twice below.
+        metrics = stage_with_keys(metrics, scratch)
     measures = {**EXTENT, "spread": F.stddev_samp}
     scale = F.col("spread") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     layout = (

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.config import DailyConfig
-from tiercast.functions.labels import core_behaviour
 from tiercast.operators.metrics import accepted_orders, customer_metrics_as_of
 from tiercast.operators.quintiles import add_scores
 from tiercast.operators.scratch import Scratch
-from tiercast.plans.daily import DAILY_COLUMNS, labelled, with_recency
+from tiercast.plans.daily import with_core_labels, with_recency
 
 
 def rfm_backfill(
@@ -26,9 +25,10 @@ def rfm_backfill(
     n_dates = (last - first).days + 1
     if n_dates < 1:
         raise ValueError("first must not be after last")
+    config = config.resolved()
     accepted = accepted_orders(orders, config.excluded_status)
     base = with_recency(
         customer_metrics_as_of(accepted, first, last), F.col("run_date"), config.recency_mode
     )
     scores = add_scores(base, config.strategy, fanout=n_dates, scratch=scratch)
-    return labelled(scores, {"rfm_segment": core_behaviour()}, DAILY_COLUMNS)
+    return with_core_labels(scores)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiercast.config import DailyConfig
+from tiercast.config import ELAPSED, DailyConfig
 from tiercast.functions.labels import core_behaviour, detailed_behaviour, score_tier
 from tiercast.functions.recency import recency_days
 from tiercast.operators.metrics import accepted_orders, customer_metrics
@@ -46,10 +46,8 @@ def rfm_base(orders: DataFrame, config: DailyConfig) -> DataFrame:
     )
 
 
-def scored(
-    orders: DataFrame, config: DailyConfig, scratch: Scratch | None = None
-) -> DataFrame:
-    return add_scores(rfm_base(orders, config), config.strategy, scratch=scratch)
+def scored(base: DataFrame, config: DailyConfig, scratch: Scratch | None = None) -> DataFrame:
+    return add_scores(base, config.strategy, scratch=scratch)
 
 
 def labelled(scores: DataFrame, labels: dict[str, Column], columns: tuple[str, ...]) -> DataFrame:
@@ -57,21 +55,27 @@ def labelled(scores: DataFrame, labels: dict[str, Column], columns: tuple[str, .
     return scores.withColumns({**labels, "monetary_value": money}).select(*columns)
 
 
+def with_core_labels(scores: DataFrame) -> DataFrame:
+    return labelled(scores, {"rfm_segment": core_behaviour()}, DAILY_COLUMNS)
+
+
+def with_detailed_labels(scores: DataFrame) -> DataFrame:
+    labels = {"rfm_segment": score_tier(), "comments": detailed_behaviour()}
+    return labelled(scores, labels, DETAILED_COLUMNS)
+
+
 def rfm_daily(
     orders: DataFrame, config: DailyConfig, scratch: Scratch | None = None
 ) -> DataFrame:
     """Ten columns; ``rfm_segment`` holds one of six behaviour labels."""
-    labels = {"rfm_segment": core_behaviour()}
-    return labelled(scored(orders, config, scratch), labels, DAILY_COLUMNS)
+    return with_core_labels(scored(rfm_base(orders, config), config, scratch))
 
 
 def rfm_daily_detailed(
-    orders: DataFrame,
-    config: DailyConfig,
-    ordered: bool = True,
-    scratch: Scratch | None = None,
+    orders: DataFrame, config: DailyConfig, scratch: Scratch | None = None
 ) -> DataFrame:
-    """Eleven columns; ``rfm_segment`` holds a score tier, ``comments`` one of sixteen labels."""
-    labels = {"rfm_segment": score_tier(), "comments": detailed_behaviour()}
-    result = labelled(scored(orders, config, scratch), labels, DETAILED_COLUMNS)
-    return result.orderBy(F.col("customer_id").asc_nulls_last()) if ordered else result
+    """Eleven columns in customer order; ``rfm_segment`` holds one of six score tiers,
+    ``comments`` one of sixteen behaviour labels."""
+    base = rfm_base(orders, config.resolved(ELAPSED))
+    result = with_detailed_labels(scored(base, config, scratch))
+    return result.orderBy(F.col("customer_id").asc_nulls_last())

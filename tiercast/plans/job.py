@@ -1,26 +1,50 @@
-"""One scheduled run: score, upsert, report."""
+"""One scheduled run: score, describe, upsert, report."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tiercast.config import DailyConfig
+from tiercast.config import CALENDAR, ELAPSED, DailyConfig
+from tiercast.operators import statistics
+from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
-from tiercast.plans.daily import rfm_daily, rfm_daily_detailed
+from tiercast.plans.daily import rfm_base, scored, with_core_labels, with_detailed_labels
+
+STATISTICS = (
+    statistics.metric_correlation,
+    statistics.metric_significance,
+    statistics.metric_regression,
+    statistics.metric_histogram,
+    statistics.metric_density,
+)
 
 
 def run(
-    orders: DataFrame, target: str, config: DailyConfig = DailyConfig(), detailed: bool = False
+    orders: DataFrame,
+    target: str,
+    config: DailyConfig = DailyConfig(),
+    detailed: bool = False,
+    statistics_path: str | None = None,
 ) -> DataFrame:
-    """Write the run date's snapshot and return one row: the date and the records processed."""
+    """Write the run date's snapshot and return one row: the date and the records processed.
+
+    With ``statistics_path`` the statistics tables are written there too, one folder each. The
+    orders are then aggregated once, into a staged table that everything else reads.
+    """
     spark = orders.sparkSession
-    config = config.resolved()
+    config = config.resolved(ELAPSED if detailed else CALENDAR)
     with Scratch(spark) as scratch:
+        base = rfm_base(orders, config)
+        if statistics_path is not None:
+            base = stage_with_keys(base, scratch)
+            for measure in STATISTICS:
+                table = measure(base).coalesce(1)
+                table.write.mode("overwrite").parquet(f"{statistics_path}/{measure.__name__}")
+        scores = scored(base, config, scratch)
         if detailed:
-            batch = with_logs(rfm_daily_detailed(orders, config, ordered=False, scratch=scratch))
+            batch, rule = with_logs(with_detailed_labels(scores)), DETAILED
         else:
-            batch = rfm_daily(orders, config, scratch)
-        rule = DETAILED if detailed else CORE
+            batch, rule = with_core_labels(scores), CORE
         records = upsert(batch, target, [config.run_date], rule, config.run_ts)
     return plan_table(spark, [{"run_date": config.run_date, "records": records}])

@@ -16,7 +16,15 @@ from tiercast.operators.metrics import accepted_orders, customer_metrics
 from tiercast.operators.scratch import Scratch
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.backfill import rfm_backfill
-from tiercast.plans.daily import labelled, rfm_base, rfm_daily, rfm_daily_detailed, scored
+from tiercast.plans.daily import (
+    labelled,
+    rfm_base,
+    rfm_daily,
+    rfm_daily_detailed,
+    scored,
+    with_core_labels,
+    with_detailed_labels,
+)
 from tiercast.plans.job import run
 from tiercast.sources.orders import read_orders
 from tiercast.sources.snapshot import read_snapshot
@@ -74,19 +82,19 @@ def _recency(config: DailyConfig) -> Query:
 
 def _scores(config: DailyConfig) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return scored(_orders(spark, sf_dir), config).select(*SCORE_COLUMNS)
+        return scored(rfm_base(_orders(spark, sf_dir), config), config).select(*SCORE_COLUMNS)
 
     return query
 
 
 def scores_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _events(spark, sf_dir, EVENT_TYPES)
-    return scored(orders, EVENTS_DAY).select(*SCORE_COLUMNS)
+    return scored(rfm_base(orders, EVENTS_DAY), EVENTS_DAY).select(*SCORE_COLUMNS)
 
 
 def _label(name: str, column: Callable) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        scores = scored(_orders(spark, sf_dir), ORDERS_DAY)
+        scores = scored(rfm_base(_orders(spark, sf_dir), ORDERS_DAY), ORDERS_DAY)
         return labelled(scores, {name: column()}, (*SCORE_COLUMNS, name))
 
     return query
@@ -111,11 +119,12 @@ def _two_batches(spark: SparkSession, sf_dir: str, detailed: bool) -> DataFrame:
         (orders.where(F.col("created_at") < split), FIRST_RUN),
         (orders.where(F.col("created_at") >= split), SECOND_RUN),
     ):
+        scores = scored(rfm_base(part, ORDERS_DAY), ORDERS_DAY)
         if detailed:
-            batch = with_logs(rfm_daily_detailed(part, ORDERS_DAY, ordered=False))
+            batch, rule = with_logs(with_detailed_labels(scores)), DETAILED
         else:
-            batch = rfm_daily(part, ORDERS_DAY)
-        upsert(batch, target, [ORDERS_DAY.run_date], DETAILED if detailed else CORE, run_ts)
+            batch, rule = with_core_labels(scores), CORE
+        upsert(batch, target, [ORDERS_DAY.run_date], rule, run_ts)
     return read_snapshot(spark, target)
 
 
