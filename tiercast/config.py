@@ -20,7 +20,7 @@ STRATEGIES = (AUTO, WINDOW, DISTRIBUTED)
 
 # Below this plan size (Catalyst's own estimate, bytes) "auto" ranks with a plain window,
 # which needs one task per run date. Unknown sizes count as large.
-SMALL_PLAN_BYTES = 16 << 20
+SMALL_PLAN_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import reduce
 from typing import NamedTuple
 
@@ -128,8 +127,8 @@ def score_entries(staged: DataFrame) -> DataFrame:
     """One row per customer and metric, in the form ``keys_at_ranks`` orders."""
     per_metric = [
         staged.select(
-            "run_date",
-            F.lit(number).cast("bigint").alias("metric"),
+            F.unix_date("run_date").alias("day"),
+            F.lit(number).alias("metric"),
             *[level.alias(name) for name, level in _key(score).items()],
         )
         for number, score in enumerate(SCORES)
@@ -142,21 +141,20 @@ def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
     keys, totals = keys_at_ranks(score_entries(staged), bucket_ends, sort_rows)
     if not totals:
         return _by_window(staged).drop(*MONEY_PARTS)
-    at = {(k.run_date, k.metric, k.rank): dict(zip(LEVELS, k.key)) for k in keys}
+    at = {(k.day, k.metric, k.rank): dict(zip(LEVELS, k.key)) for k in keys}
     columns = [f"{score.name}_cuts" for score in SCORES]
 
-    def cuts_of(run_date: dt.date, number: int) -> list[dict]:
-        return [at[run_date, number, end] for end in bucket_ends(totals[run_date, number])]
+    def cuts_of(day: int, number: int) -> list[dict]:
+        return [at[day, number, end] for end in bucket_ends(totals[day, number])]
 
-    run_dates = sorted({run_date for run_date, _ in totals})
     cuts = plan_table(
         staged.sparkSession,
         [
-            {"run_date": day, **{c: cuts_of(day, number) for number, c in enumerate(columns)}}
-            for day in run_dates
+            {"day": day, **{c: cuts_of(day, number) for number, c in enumerate(columns)}}
+            for day in sorted({day for day, _ in totals})
         ],
         # Structs compare field by field, so the order of the levels must be given.
-        pa.schema([("run_date", pa.date32()), *[(column, CUTS_TYPE) for column in columns]]),
+        pa.schema([("day", pa.int32()), *[(column, CUTS_TYPE) for column in columns]]),
     )
 
     def bucket(score: Score, column: str) -> Column:
@@ -166,7 +164,8 @@ def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
 
     # One row per run date, so the broadcast does not grow with the customers.
     return (
-        staged.join(F.broadcast(cuts), "run_date")
+        staged.withColumn("day", F.unix_date("run_date"))
+        .join(F.broadcast(cuts), "day")
         .withColumns({s.name: bucket(s, c) for s, c in zip(SCORES, columns)})
-        .drop(*columns, *MONEY_PARTS)
+        .drop("day", *columns, *MONEY_PARTS)
     )

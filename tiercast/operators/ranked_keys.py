@@ -6,13 +6,12 @@ still holds a wanted rank and keeps the slot the rank falls into; map-side count
 small whatever the distribution. When few rows are left around a rank, those are sorted. Ties are
 narrowed by the tie-breaker in the same way, so one value held by most rows is no obstacle.
 
-Entries are ordered by the bigint columns ``LEVELS`` within ``(run_date, metric)``. The driver
-holds one row per wanted rank, never data.
+Entries are ordered by the bigint columns ``LEVELS`` within the int columns ``(day, metric)``,
+which Spark packs into one long join key. The driver holds one row per wanted rank, never data.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 from collections.abc import Callable
 from functools import reduce
@@ -36,13 +35,13 @@ MAX_SLOTS, MIN_SLOTS, SLOTS_PER_PASS = 4096, 64, 1 << 17
 # Up to here bracket bounds are also given to Catalyst as literals.
 LITERAL_BRACKETS = 24
 
-GROUP = ["run_date", "metric"]
+GROUP = ["day", "metric"]
 LOWS = [f"{level}_lo" for level in LEVELS]
 HIGHS = [f"{level}_hi" for level in LEVELS]
 
 
 class RankedKey(NamedTuple):
-    run_date: dt.date
+    day: int
     metric: int
     rank: int
     key: Key
@@ -54,7 +53,7 @@ class Bracket(NamedTuple):
     Up to the first level where the bounds differ all rows are equal.
     """
 
-    run_date: dt.date
+    day: int
     metric: int
     low: Key
     high: Key
@@ -81,8 +80,8 @@ class Bracket(NamedTuple):
 
 def keys_at_ranks(
     entries: DataFrame, ranks_for: Callable[[int], list[int]], sort_rows: int = SORT_ROWS
-) -> tuple[list[RankedKey], dict[tuple[dt.date, int], int]]:
-    """The keys at the 1-based ranks that ``ranks_for(row count)`` asks for, per date and metric,
+) -> tuple[list[RankedKey], dict[tuple[int, int], int]]:
+    """The keys at the 1-based ranks that ``ranks_for(row count)`` asks for, per day and metric,
     and those row counts.
 
     ``entries`` is read once per pass and has to be stable: read it from a staged table.
@@ -90,14 +89,14 @@ def keys_at_ranks(
     points: list[Bracket] = []
     short: list[Bracket] = []
     brackets = _whole_ranges(entries, ranks_for)
-    totals = {(b.run_date, b.metric): b.n_rows for b in brackets}
+    totals = {(b.day, b.metric): b.n_rows for b in brackets}
     while brackets:
         points += [b for b in brackets if b.open_level == len(LEVELS)]
         rest = [b for b in brackets if b.open_level < len(LEVELS)]
         short += [b for b in rest if b.n_rows <= sort_rows]
         long = [b for b in rest if b.n_rows > sort_rows]
         brackets = _narrow(entries, long) if long else []
-    found = [RankedKey(b.run_date, b.metric, r, b.low) for b in points for r in b.ranks]
+    found = [RankedKey(b.day, b.metric, r, b.low) for b in points for r in b.ranks]
     return found + (_sorted_out(entries, short) if short else []), totals
 
 
@@ -118,7 +117,7 @@ def _whole_ranges(entries: DataFrame, ranks_for: Callable[[int], list[int]]) ->
     brackets = []
     for row in groups:
         ranks = sorted(set(ranks_for(row.n_rows)))
-        brackets.append(Bracket(row.run_date, row.metric, *_bounds(row), 0, row.n_rows, ranks))
+        brackets.append(Bracket(row.day, row.metric, *_bounds(row), 0, row.n_rows, ranks))
     return brackets
 
 
@@ -142,7 +141,7 @@ def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, Dat
         rows.append(
             {
                 "bracket": number,
-                "run_date": bracket.run_date,
+                "day": bracket.day,
                 "metric": bracket.metric,
                 "open_level": bracket.open_level,
                 "log_spaced": bracket.log_spaced,
@@ -155,7 +154,9 @@ def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, Dat
                 **dict(zip(HIGHS, bracket.high)),
             }
         )
-    table = plan_table(entries.sparkSession, rows)
+    table = plan_table(entries.sparkSession, rows).withColumns(
+        {name: F.col(name).cast("int") for name in ("bracket", "open_level", *GROUP)}
+    )
     if len(brackets) <= LITERAL_BRACKETS:
         # Drops most entries, and whole metrics, before the join sees them.
         entries = entries.where(_any_of([_holds(bracket) for bracket in brackets]))
@@ -207,7 +208,7 @@ def _narrow(entries: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
     )
     return [
         Bracket(
-            row.run_date,
+            row.day,
             row.metric,
             *_bounds(row),
             row.before,
@@ -228,6 +229,6 @@ def _sorted_out(entries: DataFrame, brackets: list[Bracket]) -> list[RankedKey]:
         .select(*GROUP, "rank", *LEVELS)
     )
     return [
-        RankedKey(row.run_date, row.metric, row.rank, tuple(row[level] for level in LEVELS))
+        RankedKey(row.day, row.metric, row.rank, tuple(row[level] for level in LEVELS))
         for row in ranked.collect()
     ]

@@ -164,8 +164,8 @@ def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
         DataFrame.unionAll,
         [
             staged.where(F.col(m).isNotNull()).select(
-                "run_date",
-                F.lit(i).cast("bigint").alias("metric"),
+                F.lit(0).alias("day"),
+                F.lit(i).alias("metric"),
                 *[
                     part.alias(level)
                     for level, part in zip(LEVELS, (none, *value_parts(m), none, none))
