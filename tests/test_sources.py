@@ -9,16 +9,18 @@ import pytest
 
 from tiercast.__main__ import parse
 from tiercast.config import DISTRIBUTED, SMALL_PLAN_BYTES, DailyConfig
+from tiercast.functions.timestamps import wall_clock
 from tiercast.operators.scratch import Scratch, plan_bytes, shared_root
-from tiercast.plans.daily import rfm_base, rfm_daily
+from tiercast.operators.upsert import DETAILED, inserted, with_logs
+from tiercast.plans.daily import rfm_base, rfm_daily, rfm_daily_detailed
 from tiercast.plans.registry import ORDERS, ORDERS_DAY, queries
 from tiercast.sources.orders import ORDERS_SCHEMA, jdbc_options, read_orders
 
 
-def plan_of(frame) -> str:
+def plan_of(frame, mode: str = "formatted") -> str:
     text = StringIO()
     with redirect_stdout(text):
-        frame.explain("formatted")
+        frame.explain(mode)
     return text.getvalue()
 
 
@@ -64,6 +66,19 @@ def test_distributed_scoring_neither_sorts_nor_shuffles(orders):
     assert not re.search(r"\bSort\b|\bWindow\b|SinglePartition|hashpartitioning", plan)
 
 
+def test_generated_methods_stay_compilable(spark, orders):
+    # The JVM interprets methods above 8000 bytes, which made this plan 15 times slower.
+    config = DailyConfig(ORDERS_DAY.run_date, excluded_status="P", strategy=DISTRIBUTED)
+    batch = with_logs(rfm_daily_detailed(orders, config))
+    rows = inserted(batch, DETAILED, wall_clock(dt.datetime(2024, 1, 1)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", plan_of(rows, "codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(map(int, sizes)) < 8000
+
+
 def test_no_plan_uses_a_cross_join(spark, small_dir):
     for query in queries().values():
         plan = plan_of(query(spark, small_dir))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ANY = (1, 5)
+from tiercast.config import BUCKETS
+
+ANY = (1, BUCKETS)
 
 
 class Behaviour(NamedTuple):
@@ -64,22 +66,33 @@ TIERS = (
 OTHERWISE = "Others"
 
 
-def _first_match(rows: list[tuple[Column, str]]) -> Column:
-    chain = reduce(lambda acc, row: acc.when(*row), rows[1:], F.when(*rows[0]))
-    return chain.otherwise(OTHERWISE)
+SCALE = range(1, BUCKETS + 1)
+HIGHEST_SUM = 3 * BUCKETS
+
+
+def _first_label(table: tuple, matches: Callable[[NamedTuple], bool]) -> str:
+    return next((row.label for row in table if matches(row)), OTHERWISE)
+
+
+def _within(value: int, bounds: tuple[int, int]) -> bool:
+    return bounds[0] <= value <= bounds[1]
 
 
-def _within(score: str, bounds: tuple[int, int]) -> Column:
-    return F.col(score).between(*bounds)
+def _looked_up(labels: list[str], position: Column) -> Column:
+    """The label at a position. One array access per row: a long chain of conditions would grow
+    the generated method beyond what the JVM compiles."""
+    return F.coalesce(F.get(F.lit(labels), position), F.lit(OTHERWISE))
 
 
 def _behaviour(table: tuple[Behaviour, ...]) -> Column:
-    def matches(row: Behaviour) -> Column:
-        limits = {"r_score": row.r, "f_score": row.f, "m_score": row.m}
-        tests = [_within(score, b) for score, b in limits.items() if b != ANY]
-        return reduce(Column.__and__, tests)
+    def label(r: int, f: int, m: int) -> str:
+        return _first_label(
+            table, lambda row: _within(r, row.r) and _within(f, row.f) and _within(m, row.m)
+        )
 
-    return _first_match([(matches(row), row.label) for row in table])
+    cells = [label(r, f, m) for r in SCALE for f in SCALE for m in SCALE]
+    r, f, m = (F.col(score) - 1 for score in ("r_score", "f_score", "m_score"))
+    return _looked_up(cells, (r * BUCKETS + f) * BUCKETS + m)
 
 
 def core_behaviour() -> Column:
@@ -94,4 +107,8 @@ def detailed_behaviour() -> Column:
 
 def score_tier() -> Column:
     """Six labels from the score sum."""
-    return _first_match([(_within("rfm_score", row.total), row.label) for row in TIERS])
+    sums = [
+        _first_label(TIERS, lambda row: _within(total, row.total))
+        for total in range(HIGHEST_SUM + 1)
+    ]
+    return _looked_up(sums, F.col("rfm_score"))

@@ -21,6 +21,13 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path in any file system Spark reaches, and that file system."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 class Scratch:
     """A private subfolder for staged tables.
 
@@ -33,9 +40,7 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self.path = f"{shared_root(spark)}/tiercast-{uuid.uuid4().hex}"
-        context = spark.sparkContext
-        self._folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        self._files = self._folder.getFileSystem(context._jsc.hadoopConfiguration())
+        self._folder, self._files = hadoop_path(spark, self.path)
         self._files.mkdirs(self._folder)
         self._files.deleteOnExit(self._folder)
 

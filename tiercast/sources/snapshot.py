@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiercast.operators.scratch import hadoop_path
+
 KEYS = ("run_date", "customer_id")
 
 SNAPSHOT_SCHEMA = T.StructType(
@@ -31,12 +32,9 @@ SNAPSHOT_SCHEMA = T.StructType(
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The stored snapshot, empty if nothing has been written yet."""
-    try:
-        # The explicit schema keeps run_date a date instead of an inferred type.
-        stored = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    location, files = hadoop_path(spark, path)
+    if not files.exists(location):
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA]
         return spark.range(0).select(*nothing)
-    return stored.select(*SNAPSHOT_SCHEMA.fieldNames())
+    # The explicit schema keeps run_date a date instead of an inferred type.
+    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).select(*SNAPSHOT_SCHEMA.fieldNames())
