@@ -157,7 +157,8 @@ def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, Dat
     table = plan_table(entries.sparkSession, rows).withColumns(
         {name: F.col(name).cast("int") for name in ("bracket", "open_level", *GROUP)}
     )
-    if len(brackets) <= LITERAL_BRACKETS:
+    narrowed = any(bracket.split_level is not None for bracket in brackets)
+    if narrowed and len(brackets) <= LITERAL_BRACKETS:
         # Drops most entries, and whole metrics, before the join sees them.
         entries = entries.where(_any_of([_holds(bracket) for bracket in brackets]))
     within = [
