@@ -84,6 +84,34 @@ def test_elapsed_days(awkward):
     }
 
 
+@pytest.mark.parametrize(
+    ("setting", "value"),
+    [
+        ("spark.sql.session.timeZone", "America/New_York"),
+        ("spark.sql.session.timeZone", "Asia/Tokyo"),
+        ("spark.sql.ansi.enabled", "false"),
+    ],
+)
+def test_session_settings_do_not_matter(spark, awkward, setting, value):
+    config = DailyConfig(RUN_DATE, strategy=DISTRIBUTED)
+    days = (dt.date(2024, 1, 8), dt.date(2024, 1, 12))
+
+    def results():
+        frames = (
+            rfm_daily(awkward, config),
+            rfm_daily_detailed(awkward, config),
+            rfm_backfill(awkward, *days, config),
+        )
+        return [sorted(map(repr, frame.collect())) for frame in frames]
+
+    expected, before = results(), spark.conf.get(setting)
+    spark.conf.set(setting, value)
+    try:
+        assert results() == expected
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_each_variant_has_its_recency(awkward):
     config = DailyConfig(RUN_DATE)
     core = {row.customer_id: row.recency_days for row in rfm_daily(awkward, config).collect()}

@@ -107,9 +107,9 @@ def test_scratch_is_removed(spark, orders):
 
 
 def test_jdbc_options():
-    assert jdbc_options("jdbc:postgresql://host/db", "ecom.orders", "me", "secret") == {
+    assert jdbc_options("jdbc:postgresql://host/db", "shop.orders", "me", "secret") == {
         "url": "jdbc:postgresql://host/db",
-        "dbtable": "ecom.orders",
+        "dbtable": "shop.orders",
         "fetchsize": "10000",
         "user": "me",
         "password": "secret",
