@@ -7,7 +7,7 @@ from io import StringIO
 
 import pytest
 
-from tiercast.__main__ import parse
+from tiercast.__main__ import main, parse
 from tiercast.config import DISTRIBUTED, SMALL_PLAN_BYTES, DailyConfig
 from tiercast.functions.timestamps import wall_clock
 from tiercast.operators.scratch import Scratch, plan_bytes, shared_root
@@ -15,6 +15,7 @@ from tiercast.operators.upsert import DETAILED, inserted, with_logs
 from tiercast.plans.daily import rfm_base, rfm_daily, rfm_daily_detailed
 from tiercast.plans.registry import ORDERS, ORDERS_DAY, queries
 from tiercast.sources.orders import ORDERS_SCHEMA, jdbc_options, read_orders
+from tiercast.sources.snapshot import read_snapshot
 
 
 def plan_of(frame, mode: str = "formatted") -> str:
@@ -111,6 +112,7 @@ def test_jdbc_options():
         "url": "jdbc:postgresql://host/db",
         "dbtable": "shop.orders",
         "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
         "user": "me",
         "password": "secret",
     }
@@ -130,3 +132,23 @@ def test_command_line():
     assert options.run_date == dt.date(2024, 1, 10)
     assert (options.customer_id, options.order_id) == ("buyer", "order_id")
     assert (options.detailed, options.recency_mode, options.statistics) == (False, None, None)
+    with pytest.raises(SystemExit):
+        parse(["--orders", "in", "--target", "out", "--backfill-from", "2024-01-01", "--detailed"])
+
+
+def test_command_line_runs(spark, small_dir, capsys):
+    target = f"{Scratch(spark).path}/target"
+    common = ["--orders", f"{small_dir}/orders.parquet", "--target", target]
+    common += ["--customer-id", "o_custkey", "--order-id", "o_orderkey", "--total", "o_totalprice"]
+    common += ["--created-at", "o_orderdate", "--status", "o_orderstatus"]
+    common += ["--excluded-status", "P", "--run-date", "2001-08-02"]
+    main([*common, "--detailed", "--statistics", f"{target}-statistics"])
+    assert "|2001-08-02|150    |" in capsys.readouterr().out
+    main([*common, "--backfill-from", "2001-07-31"])
+    assert "|2001-07-31|150    |" in capsys.readouterr().out
+    stored = read_snapshot(spark, target).groupBy("run_date").count()
+    assert {str(row.run_date): row["count"] for row in stored.collect()} == {
+        "2001-07-31": 150,
+        "2001-08-01": 150,
+        "2001-08-02": 150,
+    }

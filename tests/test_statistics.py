@@ -40,7 +40,10 @@ def synthetic(spark, n):
     return spark.range(n).select(
         F.lit(DAY).alias("run_date"),
         F.col("id").alias("customer_id"),
-        F.when(F.col("id") % 17 == 3, None).otherwise(F.col("id") % 7).cast("int").alias("recency_days"),
+        F.when(F.col("id") % 17 == 3, None)
+        .otherwise(F.col("id") % 7)
+        .cast("int")
+        .alias("recency_days"),
         (F.col("id") % 11 + F.floor(noise)).alias("frequency_orders"),
         F.when(F.col("id") % 13 == 5, None)
         .otherwise((F.col("id") % 7) * 0.4 + noise)
@@ -87,8 +90,8 @@ def test_significance_of_an_exact_line(spark):
 
 def test_quartiles_and_bins(metrics):
     table = statistics.metric_histogram(metrics)
-    bins = {row.metric: row.bins for row in table.groupBy("metric").agg(F.max("bin").alias("bins")).collect()}
-    assert bins == {"recency_days": 33, "frequency_orders": 30, "monetary_value": 26}
+    last = table.groupBy("metric").agg(F.max("bin").alias("bin"))
+    assert {row.metric: row.bin for row in last.collect()} == {"recency_days": 33, "frequency_orders": 30, "monetary_value": 26}
     assert table.count() == 74
 
 
@@ -124,6 +127,16 @@ def test_missing_metric_has_no_rows(spark):
     assert {r.metric for r in statistics.metric_density(base).collect()} == {"frequency_orders"}
 
 
+@pytest.mark.parametrize("strategy", [WINDOW, DISTRIBUTED])
+def test_statistics_of_nothing(spark, strategy):
+    nothing = spark.createDataFrame([], BASE)
+    assert statistics.metric_histogram(nothing, strategy).isEmpty()
+    assert statistics.metric_density(nothing).isEmpty()
+    assert by_pair(statistics.metric_significance(nothing), "p_value", "n") == {
+        pair: (None, 0) for pair in statistics.PAIRS
+    }
+
+
 def test_density_equals_the_full_kernel_sum(metrics):
     curve = statistics.metric_density(metrics).collect()
     for metric in statistics.METRICS:

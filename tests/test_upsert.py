@@ -6,13 +6,14 @@ import uuid
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tiercast.config import DISTRIBUTED, DailyConfig
+from tiercast.config import DISTRIBUTED, WINDOW, DailyConfig
 from tiercast.operators.scratch import Scratch
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_daily, rfm_daily_detailed
-from tiercast.plans.job import run
+from tiercast.plans.job import run, run_backfill
 from tiercast.plans.registry import ORDERS, ORDERS_DAY
 from tiercast.sources.orders import read_orders
 from tiercast.sources.snapshot import SNAPSHOT_SCHEMA, read_snapshot
@@ -29,12 +30,7 @@ def target(spark):
 
 def core_batch(spark, customers, money, day=DAY):
     rows = [(day, c, 3, 2, money, 1, 2, 3, 6, "At Risk") for c in customers]
-    columns = SNAPSHOT_SCHEMA.fieldNames()[:10]
-    return spark.createDataFrame(rows, SNAPSHOT_SCHEMA).select(columns) if not rows else (
-        spark.createDataFrame(
-            rows, ", ".join(SNAPSHOT_SCHEMA[name].simpleString().replace(":", " ") for name in columns)
-        )
-    )
+    return spark.createDataFrame(rows, T.StructType(SNAPSHOT_SCHEMA.fields[:10]))
 
 
 def detailed_batch(spark, customers, money, comment):
@@ -130,6 +126,19 @@ def test_many_dates_at_once(spark, target, check_dir):
     assert written.count() == batch.count()
 
 
+def test_backfill_counts_what_it_wrote(spark, target, check_dir):
+    orders = read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
+    early = orders.where("customer_id < 100")
+    days = (dt.date(2001, 7, 30), dt.date(2001, 8, 2))
+    for source, run_ts in ((orders, MORNING), (early, NOON)):
+        config = DailyConfig(run_ts=run_ts, excluded_status="P")
+        expected = rfm_backfill(source, *days, config).groupBy("run_date").count()
+        summary = run_backfill(source, target, *days, config)
+        assert sorted(map(tuple, summary.collect())) == sorted(map(tuple, expected.collect()))
+    kept = read_snapshot(spark, target).where(F.col("updated_at").isNull())
+    assert kept.where("customer_id >= 100").count() == kept.count() > 0
+
+
 def test_missing_customer_is_refused(spark, target):
     with pytest.raises(PySparkException, match="customer_id must not be NULL"):
         upsert(core_batch(spark, [None], 1.0), target, [DAY], CORE, MORNING)
@@ -159,3 +168,14 @@ def test_run_reports_and_describes(spark, target, small_dir, detailed):
     assert read_snapshot(spark, target).select(batch.columns).exceptAll(batch).isEmpty()
     assert spark.read.parquet(f"{folder}/metric_correlation").count() == 3
     assert spark.read.parquet(f"{folder}/metric_density").count() == 300
+
+
+@pytest.mark.parametrize("strategy", [WINDOW, DISTRIBUTED])
+def test_run_without_orders(spark, target, small_dir, strategy):
+    orders = read_orders(spark, f"{small_dir}/orders.parquet", ORDERS)
+    nothing = orders.where("customer_id < 0")
+    config = DailyConfig(ORDERS_DAY.run_date, EVENING, "P", strategy=strategy)
+    found = [run(source, target, config).first().records for source in (nothing, orders, nothing)]
+    assert found == [0, 150, 0]
+    # Stored rows stay when a later run of the day finds nothing.
+    assert read_snapshot(spark, target).count() == 150

@@ -3,7 +3,7 @@
 from tiercast.config import DailyConfig, OrderColumns
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_base, rfm_daily, rfm_daily_detailed
-from tiercast.plans.job import run
+from tiercast.plans.job import run, run_backfill
 from tiercast.sources.orders import read_orders, read_orders_jdbc
 
 __all__ = [
@@ -16,4 +16,5 @@ __all__ = [
     "rfm_daily",
     "rfm_daily_detailed",
     "run",
+    "run_backfill",
 ]

@@ -1,4 +1,4 @@
-"""Command line for one scheduled run, for use with spark-submit."""
+"""Command line for a scheduled run or a backfill, for use with spark-submit."""
 
 from __future__ import annotations
 
@@ -8,8 +8,16 @@ from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
-from tiercast.config import AUTO, RECENCY_MODES, STRATEGIES, DailyConfig, OrderColumns
-from tiercast.plans.job import run
+from tiercast.config import (
+    AUTO,
+    CALENDAR,
+    ELAPSED,
+    RECENCY_MODES,
+    STRATEGIES,
+    DailyConfig,
+    OrderColumns,
+)
+from tiercast.plans.job import run, run_backfill
 from tiercast.session import SETTINGS
 from tiercast.sources.orders import read_orders
 
@@ -22,13 +30,19 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--statistics", help="path for the statistics tables")
     parser.add_argument("--detailed", action="store_true", help="store tiers and long labels")
     parser.add_argument("--run-date", type=dt.date.fromisoformat, help="default: today")
+    parser.add_argument(
+        "--backfill-from", type=dt.date.fromisoformat, help="write all dates up to the run date"
+    )
     parser.add_argument("--excluded-status", default="cancelled")
     parser.add_argument("--recency-mode", choices=RECENCY_MODES)
     parser.add_argument("--strategy", choices=STRATEGIES, default=AUTO)
     for field in fields(OrderColumns):
         name = field.name.replace("_", "-")
         parser.add_argument(f"--{name}", default=field.default, help=f"expression for {field.name}")
-    return parser.parse_args(arguments)
+    options = parser.parse_args(arguments)
+    if options.backfill_from and (options.detailed or options.statistics):
+        parser.error("a backfill writes core snapshots only")
+    return options
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -43,9 +57,14 @@ def main(arguments: list[str] | None = None) -> None:
         excluded_status=options.excluded_status,
         recency_mode=options.recency_mode,
         strategy=options.strategy,
-    )
+    ).resolved(ELAPSED if options.detailed else CALENDAR)
     orders = read_orders(spark, options.orders, columns, options.format)
-    run(orders, options.target, config, options.detailed, options.statistics).show()
+    if options.backfill_from:
+        dates = (options.backfill_from, config.run_date)
+        summary = run_backfill(orders, options.target, *dates, config).orderBy("run_date")
+    else:
+        summary = run(orders, options.target, config, options.detailed, options.statistics)
+    summary.show(truncate=False)
 
 
 if __name__ == "__main__":

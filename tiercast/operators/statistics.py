@@ -9,6 +9,7 @@ import math
 from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,7 +187,8 @@ def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
     for (_, metric), n in totals.items():
         q1, q3 = (quartile(metric, position) for position in positions(n))
         rows.append({"metric": METRICS[metric], "q1": q1, "q3": q3})
-    return plan_table(staged.sparkSession, rows)
+    schema = pa.schema([("metric", pa.string()), ("q1", pa.float64()), ("q3", pa.float64())])
+    return plan_table(staged.sparkSession, rows, schema)
 
 
 def metric_histogram(

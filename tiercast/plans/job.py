@@ -1,15 +1,21 @@
-"""One scheduled run: score, describe, upsert, report."""
+"""Jobs that write the snapshot table: one scheduled run, or many dates at once."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tiercast.config import CALENDAR, ELAPSED, DailyConfig
+from tiercast.functions.timestamps import wall_clock
 from tiercast.operators import statistics
 from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
+from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_base, scored, with_core_labels, with_detailed_labels
+from tiercast.sources.snapshot import read_snapshot
 
 STATISTICS = (
     statistics.metric_correlation,
@@ -48,3 +54,28 @@ def run(
             batch, rule = with_core_labels(scores), CORE
         records = upsert(batch, target, [config.run_date], rule, config.run_ts)
     return plan_table(spark, [{"run_date": config.run_date, "records": records}])
+
+
+def run_backfill(
+    orders: DataFrame,
+    target: str,
+    first: dt.date,
+    last: dt.date,
+    config: DailyConfig = DailyConfig(),
+) -> DataFrame:
+    """Write the core snapshots of every date in [first, last] in one job and return one row per
+    date: the date and the records processed, counted by this run's time stamp."""
+    spark = orders.sparkSession
+    config = config.resolved()
+    run_dates = [first + dt.timedelta(days=day) for day in range((last - first).days + 1)]
+    with Scratch(spark) as scratch:
+        batch = rfm_backfill(orders, first, last, config, scratch)
+        upsert(batch, target, run_dates, CORE, config.run_ts)
+    stamp = wall_clock(config.run_ts)
+    return (
+        read_snapshot(spark, target)
+        .where(F.col("run_date").isin(run_dates))
+        .where(F.coalesce("updated_at", "created_at") == stamp)
+        .groupBy("run_date")
+        .agg(F.count(F.lit(1)).alias("records"))
+    )

@@ -101,7 +101,8 @@ def _behaviour(rules: str) -> str:
           and m_score between m_lo and m_hi)"""
 
 
-TIER = f"(select coalesce(max(label), 'Others') from {TIER_RULES} where rfm_score between lo and hi)"
+TIER = f"""(
+    select coalesce(max(label), 'Others') from {TIER_RULES} where rfm_score between lo and hi)"""
 
 METRICS = "recency_days, frequency_orders, monetary_value"
 
@@ -303,4 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_density": DENSITY,
         "rfm_backfill": _daily(BACKFILL_METRICS),
         "rfm_backfill_distributed": _daily(BACKFILL_METRICS),
+        "backfill_summary": f"""
+            select run_date, count(*) as records from ({BACKFILL_METRICS}) group by run_date
+        """,
     }

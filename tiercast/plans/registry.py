@@ -25,7 +25,7 @@ from tiercast.plans.daily import (
     with_core_labels,
     with_detailed_labels,
 )
-from tiercast.plans.job import run
+from tiercast.plans.job import run, run_backfill
 from tiercast.sources.orders import read_orders
 from tiercast.sources.snapshot import read_snapshot
 
@@ -141,6 +141,11 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(_orders(spark, sf_dir), target, ORDERS_DAY)
 
 
+def backfill_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = f"{Scratch(spark).path}/customer_daily"
+    return run_backfill(_orders(spark, sf_dir), target, *BACKFILL, ORDERS_DAY)
+
+
 def _statistic(measure: Callable[..., DataFrame], **options) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return measure(rfm_base(_orders(spark, sf_dir), ORDERS_DAY), **options)
@@ -187,4 +192,5 @@ def queries() -> dict[str, Query]:
         "metric_density": _statistic(statistics.metric_density),
         "rfm_backfill": _backfill(ORDERS_DAY),
         "rfm_backfill_distributed": _backfill(distributed),
+        "backfill_summary": backfill_summary,
     }

@@ -57,7 +57,13 @@ def jdbc_options(
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
     """Reader options for a database table, split into range reads where bounds are given."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    options = {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_size),
+        # Wall-clock times stay as stored, whatever the session's time zone.
+        "preferTimestampNTZ": "true",
+    }
     if user is not None:
         options["user"] = user
     if password is not None:
