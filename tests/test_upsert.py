@@ -16,7 +16,7 @@ from tiercast.plans.daily import rfm_daily, rfm_daily_detailed
 from tiercast.plans.job import run, run_backfill
 from tiercast.plans.registry import ORDERS, ORDERS_DAY
 from tiercast.sources.orders import read_orders
-from tiercast.sources.snapshot import SNAPSHOT_SCHEMA, read_snapshot
+from tiercast.sources.snapshot import SNAPSHOT_SCHEMA, read_dates, read_snapshot
 
 DAY, NEXT_DAY = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
 MORNING, NOON, EVENING = (dt.datetime(2024, 1, 10, hour) for hour in (6, 12, 18))
@@ -92,6 +92,15 @@ def test_other_dates_are_not_touched(spark, target):
     assert len(stored(spark, target)) == 2
 
 
+def test_only_the_dates_asked_for_are_listed(spark, target):
+    for day in (DAY, NEXT_DAY):
+        upsert(core_batch(spark, [1, 2], 10.0, day), target, [day], CORE, MORNING)
+    one = read_dates(spark, target, [DAY, DAY + dt.timedelta(days=9)])
+    assert {row.run_date for row in one.collect()} == {DAY}
+    assert all("run_date=2024-01-10" in name for name in one.inputFiles())
+    assert read_dates(spark, target, [DAY + dt.timedelta(days=9)]).isEmpty()
+
+
 def test_same_batch_twice_changes_only_the_stamp(spark, target, check_dir):
     orders = read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
     batch = rfm_daily(orders, ORDERS_DAY)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tiercast.config import LOG_SOURCE
 from tiercast.functions.timestamps import wall_clock
-from tiercast.sources.snapshot import KEYS, SNAPSHOT_SCHEMA, read_snapshot
+from tiercast.sources.snapshot import KEYS, SNAPSHOT_SCHEMA, read_dates, stored_folders
 
 
 class UpsertRule(NamedTuple):
@@ -110,11 +110,10 @@ def upsert(
     spark = batch.sparkSession
     stamp = wall_clock(run_ts)
     batch = batch.withColumns(_checked_keys(run_dates))
-    existing = read_snapshot(spark, path).where(F.col("run_date").isin(list(run_dates)))
-    if existing.isEmpty():
-        rows = inserted(batch, rule, stamp)
+    if stored_folders(spark, path, run_dates):
+        rows = merged(read_dates(spark, path, run_dates), batch, rule, stamp)
     else:
-        rows = merged(existing, batch, rule, stamp)
+        rows = inserted(batch, rule, stamp)
 
     if len(run_dates) > 1:
         # Gather each date's rows, splitting large dates; else every task writes every date.

@@ -15,7 +15,7 @@ from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_base, scored, with_core_labels, with_detailed_labels
-from tiercast.sources.snapshot import read_snapshot
+from tiercast.sources.snapshot import read_dates
 
 STATISTICS = (
     statistics.metric_correlation,
@@ -73,8 +73,7 @@ def run_backfill(
         upsert(batch, target, run_dates, CORE, config.run_ts)
     stamp = wall_clock(config.run_ts)
     return (
-        read_snapshot(spark, target)
-        .where(F.col("run_date").isin(run_dates))
+        read_dates(spark, target, run_dates)
         .where(F.coalesce("updated_at", "created_at") == stamp)
         .groupBy("run_date")
         .agg(F.count(F.lit(1)).alias("records"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +33,33 @@ SNAPSHOT_SCHEMA = T.StructType(
 )
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The stored snapshot, empty if nothing has been written yet."""
-    location, files = hadoop_path(spark, path)
-    if not files.exists(location):
+def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    if not folders:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA]
         return spark.range(0).select(*nothing)
     # The explicit schema keeps run_date a date instead of an inferred type.
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).select(*SNAPSHOT_SCHEMA.fieldNames())
+    reader = spark.read.option("basePath", path).schema(SNAPSHOT_SCHEMA)
+    return reader.parquet(*folders).select(*SNAPSHOT_SCHEMA.fieldNames())
+
+
+def _present(spark: SparkSession, folders: list[str]) -> list[str]:
+    def exists(folder: str) -> bool:
+        location, files = hadoop_path(spark, folder)
+        return files.exists(location)
+
+    return [folder for folder in folders if exists(folder)]
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The stored snapshot, empty if nothing has been written yet."""
+    return _read(spark, path, _present(spark, [path]))
+
+
+def stored_folders(spark: SparkSession, path: str, run_dates: Sequence[dt.date]) -> list[str]:
+    """The partitions of these dates that exist."""
+    return _present(spark, [f"{path}/run_date={day.isoformat()}" for day in run_dates])
+
+
+def read_dates(spark: SparkSession, path: str, run_dates: Sequence[dt.date]) -> DataFrame:
+    """The stored rows of these dates. Files of other dates are not even listed."""
+    return _read(spark, path, stored_folders(spark, path, run_dates))
