@@ -38,17 +38,17 @@ CUTS_TYPE = pa.list_(pa.struct([(level, pa.int64()) for level in LEVELS]))
 def add_scores(
     base: DataFrame,
     strategy: str = AUTO,
-    fanout: int = 1,
     scratch: Scratch | None = None,
     sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """Append the three scores and their sum to ``(run_date, customer_id, metrics)``.
 
     Buckets differ by at most one row, the larger ones first; equal values are separated by
-    customer id. Both strategies give the same rows. ``fanout`` is the number of run dates that
-    Catalyst's size estimate of ``base`` does not know about.
+    customer id. Both strategies give the same rows.
     """
-    if strategy == AUTO and plan_bytes(base) * fanout <= SMALL_PLAN_BYTES:
+    # The estimate does not see a backfill repeat its rows per date, and should not: a task of the
+    # window sorts one date at a time, which never holds more than all customers.
+    if strategy == AUTO and plan_bytes(base) <= SMALL_PLAN_BYTES:
         strategy = WINDOW
     if strategy == WINDOW:
         scored = _by_window(base)

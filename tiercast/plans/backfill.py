@@ -22,13 +22,12 @@ def rfm_backfill(
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """The daily plan for every date in [first, last], each from the orders up to that date."""
-    n_dates = (last - first).days + 1
-    if n_dates < 1:
+    if first > last:
         raise ValueError("first must not be after last")
     config = config.resolved()
     accepted = accepted_orders(orders, config.excluded_status)
     base = with_recency(
         customer_metrics_as_of(accepted, first, last), F.col("run_date"), config.recency_mode
     )
-    scores = add_scores(base, config.strategy, fanout=n_dates, scratch=scratch)
+    scores = add_scores(base, config.strategy, scratch=scratch)
     return with_core_labels(scores)
