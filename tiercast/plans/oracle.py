@@ -159,7 +159,7 @@ LONG_METRICS = f"""
 """
 
 
-def _pairs(measures: str) -> str:
+def _pairs(measures: str, metrics: str = ORDER_METRICS) -> str:
     pairs = [
         ("recency_days", "frequency_orders"),
         ("recency_days", "monetary_value"),
@@ -167,7 +167,7 @@ def _pairs(measures: str) -> str:
     ]
     return " union all ".join(
         f"select '{x}' as x, '{y}' as y, {measures} "
-        f"from (select {x} as a, {y} as b from ({ORDER_METRICS}))"
+        f"from (select {x} as a, {y} as b from ({metrics}))"
         for x, y in pairs
     )
 
@@ -182,16 +182,19 @@ REGRESSION = _pairs(
     "round(regr_r2(b, a), 6) as r2, cast(regr_count(b, a) as bigint) as n"
 )
 
-# Student's t density summed by Simpson's rule over [t, t + 60].
-SIGNIFICANCE = f"""
+def _significance(metrics: str) -> str:
+    """Student's t density summed by Simpson's rule over [t, t + 60]."""
+    measured = _pairs("cast(regr_count(b, a) as bigint) as n, corr(b, a) as r", metrics)
+    return f"""
     select x, y, n, round(r, 6) as r,
            round(2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * 0.01 / 3
              * list_sum(list_transform(range(0, 6001), lambda i:
                  (case when i in (0, 6000) then 1 when i % 2 = 1 then 4 else 2 end)
                  * pow(1 + pow(t + i * 0.01, 2) / v, -(v + 1) / 2))), 6) as p_value
     from (select *, cast(n - 2 as double) as v, abs(r) * sqrt((n - 2) / (1 - r * r)) as t
-          from ({_pairs("cast(regr_count(b, a) as bigint) as n, corr(b, a) as r")}))
-"""
+          from ({measured}))
+    """
+
 
 HISTOGRAM = f"""
     with vals as ({LONG_METRICS}),
@@ -297,7 +300,8 @@ def oracle_sql() -> dict[str, str]:
             select {ORDERS_DAY} as run_date, count(distinct who) as records from ({ORDERS})
         """,
         "metric_correlation": CORRELATION,
-        "metric_significance": SIGNIFICANCE,
+        "metric_significance": _significance(ORDER_METRICS),
+        "metric_significance_events": _significance(EVENT_METRICS),
         "metric_regression": REGRESSION,
         "metric_histogram": HISTOGRAM,
         "metric_histogram_distributed": HISTOGRAM,

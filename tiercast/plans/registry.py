@@ -153,6 +153,11 @@ def _statistic(measure: Callable[..., DataFrame], **options) -> Query:
     return query
 
 
+def significance_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Unlike those of the orders, these p-values do not all round to zero.
+    return statistics.metric_significance(rfm_base(_events(spark, sf_dir), EVENTS_DAY))
+
+
 def _backfill(config: DailyConfig) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rfm_backfill(_orders(spark, sf_dir), *BACKFILL, config)
@@ -184,6 +189,7 @@ def queries() -> dict[str, Query]:
         "run_summary": run_summary,
         "metric_correlation": _statistic(statistics.metric_correlation),
         "metric_significance": _statistic(statistics.metric_significance),
+        "metric_significance_events": significance_events,
         "metric_regression": _statistic(statistics.metric_regression),
         "metric_histogram": _statistic(statistics.metric_histogram),
         "metric_histogram_distributed": _statistic(
