@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiercast.llm.common import in_arrow, numbered, workers_can_import
 from tiercast.llm.graph import components
@@ -39,6 +40,8 @@ MOST_VISITS = 3.5
 ROUNDS = 8
 BLOCK = 2048
 
+PLACE = (T.StructField("cell", T.IntegerType()), T.StructField("guest", T.BooleanType()))
+
 
 def _usable() -> Column:
     vector = F.col("embedding")
@@ -119,8 +122,8 @@ def _sample(distinct: DataFrame, n: int) -> tuple[int, np.ndarray | None]:
 
 def _placed(distinct: DataFrame, size: int, centroids: np.ndarray | None, least: float):
     """Every vector in its home cell and, as a guest, in the cells it visits."""
-    schema = distinct.schema.add("cell", "integer").add("guest", "boolean")
-    names = [field.name for field in schema]
+    schema = T.StructType([*distinct.schema, *PLACE])
+    names = schema.fieldNames()
     broadcast = distinct.sparkSession.sparkContext.broadcast(centroids)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
