@@ -33,6 +33,11 @@ def spaced_text(name: str = "text") -> Column:
     return F.regexp_replace(whole_text(name), SPACE, " ")
 
 
+def packed(rows: DataFrame, keep: Sequence[str]) -> Column:
+    """Those columns as one struct."""
+    return F.struct(*[F.col(f"`{column}`") for column in keep])
+
+
 def numbered(
     rows: DataFrame,
     scratch: Scratch,
@@ -47,18 +52,17 @@ def numbered(
     out or repeated; missing and repeated ids are told apart by them. As a struct, the input
     columns cannot clash with an operator's own, and unused ones are not read again.
     """
-    packed = F.struct(*[F.col(f"`{column}`") for column in keep or rows.columns])
     staged = rows.select(
         F.monotonically_increasing_id().alias("row"),
-        packed.alias("doc"),
+        packed(rows, keep or rows.columns).alias("doc"),
         *[column.alias(key) for key, column in extra.items()],
     )
     return scratch.stage(staged, name)
 
 
-def unpacked(packed: DataFrame) -> DataFrame:
+def unpacked(rows: DataFrame) -> DataFrame:
     """The input rows again."""
-    return packed.select("doc.*")
+    return rows.select("doc.*")
 
 
 def workers_can_import(spark: SparkSession) -> None:

@@ -5,9 +5,10 @@ group that is left with one text is done, and so is a group whose texts have end
 bytes agreed. Equality is decided by the bytes themselves, never by a digest.
 
 A digit is a run of bytes whose width grows from level to level, so texts of any length need few
-levels. Only groups with several members go on, only their digits are shuffled, and counting
-combines per task, so a text held by a third of all rows is one row per task there. Rows find
-their group by a join with the staged group table, which adaptive execution splits where one
+levels. The first level is one pass over all texts, which also numbers the rows; after it only
+texts that share their beginning with another are kept at hand, and only their digits are shuffled.
+Counting combines per task, so a text held by a third of all rows is one row per task there. Rows
+find their group by a join with the staged group table, which adaptive execution splits where one
 group is large.
 
 Results for odd input: a missing text is empty, empty texts are equal; a missing ``doc_id`` sorts
@@ -17,82 +18,113 @@ gives an empty table; other columns do not matter.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiercast.llm.common import numbered, spaced_text, unpacked
+from tiercast.llm.common import packed, spaced_text, unpacked
 from tiercast.operators.scratch import Scratch
 
-FIRST_DIGIT, GROWTH, WIDEST_DIGIT = 64, 16, 1 << 20
+FIRST_DIGIT, GROWTH, WIDEST_DIGIT = 256, 16, 1 << 20
 
 
-def _groups(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """The groups with several members: their leading row, size, and whether their texts ended."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row"))
+def _text_bytes() -> Column:
+    return F.encode(spaced_text(), "UTF-8")
+
+
+def _shared(rows: DataFrame, keys: list[str], width: int, number: Column) -> DataFrame:
+    """The groups with several members, numbered, and whether their texts ended."""
     return (
         rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("group_size"), first.alias("first"))
-        .where(F.col("group_size") > 1)
-        .select(
-            *keys,
-            "group_size",
-            F.col("first.row").alias("group"),
-            F.col("first.doc_id").alias("keep_id"),
-            (F.length("digit") < width).alias("ended"),
-        )
+        .agg(F.count(F.lit(1)).alias("members"), F.min("row").alias("row"))
+        .where(F.col("members") > 1)
+        .select(*keys, number.alias("group"), (F.length("digit") < width).alias("ended"))
     )
 
 
-def _level(
-    rows: DataFrame, keys: list[str], width: int, scratch: Scratch, level: int
+def _first_level(
+    docs: DataFrame, keep: Sequence[str], scratch: Scratch, extra: dict[str, Column]
 ) -> DataFrame:
-    """``(row, group, keep_id, group_size, ended)`` of the rows that share their digit."""
-    # Staged, so that the join sees a table of known size, and can split large groups.
-    groups = scratch.stage(_groups(rows, keys, width), f"groups-{level}")
-    members = (
-        rows.select("row", *[F.col(key).alias(f"{key}_of") for key in keys])
-        .join(groups, [F.col(f"{key}_of") == F.col(key) for key in keys])
-        .select("row", "group", "keep_id", "group_size", "ended")
-    )
-    return scratch.stage(members, f"members-{level}")
+    """All rows, staged: ``(row, doc, group, ended, bytes, *extra)``.
 
+    ``group`` is set where the first digit is shared, ``bytes`` where more have to be compared.
+    """
+    digit = F.substring(_text_bytes(), 1, FIRST_DIGIT).alias("digit")
+    beginnings = docs.select(digit, F.lit(0).alias("row"))
+    # Row numbers are not negative, so these differ from the groups of later levels.
+    number = -1 - F.monotonically_increasing_id()
+    groups = scratch.stage(
+        _shared(beginnings, ["digit"], FIRST_DIGIT, number), "groups-0"
+    ).withColumnRenamed("digit", "of")
+    rows = docs.select(
+        packed(docs, keep).alias("doc"),
+        digit,
+        _text_bytes().alias("bytes"),
+        *[column.alias(name) for name, column in extra.items()],
+    )
+    # The same join at any size: most texts pass through it, none is broadcast.
+    joined = rows.join(groups.hint("merge"), F.col("digit") == F.col("of"), "left")
+    going_on = F.col("group").isNotNull() & ~F.col("ended")
+    return scratch.stage(
+        joined.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc",
+            "group",
+            "ended",
+            F.when(going_on, F.col("bytes")).alias("bytes"),
+            *extra,
+        ),
+        "rows",
+    )
 
-def _members(staged: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(row, group, keep_id, group_size)`` of all rows whose text is not unique."""
-    narrow = staged.select("row", F.col("doc.doc_id").alias("doc_id"), "digit")
-    members = _level(narrow, ["digit"], FIRST_DIGIT, scratch, 0)
-    finished = [members.where("ended")]
-
-    def going_on(table: DataFrame) -> DataFrame:
-        return table.where(~F.col("ended")).select("row", F.col("group").alias("parent"))
 
-    open_rows = going_on(members)
-    texts = None
+def _groups(staged: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(row, group)`` of all rows whose text is not unique."""
+    finished = [staged.where("ended").select("row", "group")]
+    texts = staged.where("not ended").select("row", "bytes")
+    open_rows = staged.where("not ended").select("row", F.col("group").alias("parent"))
     offset, width, level = FIRST_DIGIT, FIRST_DIGIT * GROWTH, 1
     while not open_rows.isEmpty():
-        if texts is None:
-            bytes_ = F.encode(spaced_text("doc.text"), "UTF-8")
-            shared = staged.join(open_rows.select("row"), "row")
-            texts = scratch.stage(
-                shared.select("row", F.col("doc.doc_id").alias("doc_id"), bytes_.alias("bytes")),
-                "texts",
-            )
         digit = F.substring("bytes", offset + 1, width).alias("digit")
-        rows = scratch.stage(
-            texts.select("row", "doc_id", digit).join(open_rows, "row"), f"digits-{level}"
+        if level == 1:
+            rows = staged.where("not ended").select("row", F.col("group").alias("parent"), digit)
+        else:
+            rows = scratch.stage(
+                texts.select("row", digit).join(open_rows, "row"), f"digits-{level}"
+            )
+        groups = scratch.stage(
+            _shared(rows, ["parent", "digit"], width, F.col("row")).select(
+                F.col("parent").alias("of_parent"), F.col("digit").alias("of"), "group", "ended"
+            ),
+            f"groups-{level}",
+        )
+        same = (F.col("parent") == F.col("of_parent")) & (F.col("digit") == F.col("of"))
+        members = scratch.stage(
+            rows.join(groups, same).select("row", "group", "ended"), f"members-{level}"
         )
-        members = _level(rows, ["parent", "digit"], width, scratch, level)
-        finished.append(members.where("ended"))
-        open_rows = going_on(members)
+        finished.append(members.where("ended").select("row", "group"))
+        open_rows = members.where("not ended").select("row", F.col("group").alias("parent"))
         offset, width, level = offset + width, min(width * GROWTH, WIDEST_DIGIT), level + 1
-    return reduce(DataFrame.unionAll, finished).drop("ended")
+    return reduce(DataFrame.unionAll, finished)
 
 
-def _staged(docs: DataFrame, scratch: Scratch, **extra: Column) -> DataFrame:
-    digit = F.substring(F.encode(spaced_text(), "UTF-8"), 1, FIRST_DIGIT)
-    return numbered(docs, scratch, "rows", digit=digit, **extra)
+def _members(staged: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(row, keep_id, group_size, first_row)`` of all rows whose text is not unique."""
+    identity = staged.where("group is not null").select("row", F.col("doc.doc_id").alias("doc_id"))
+    grouped = scratch.stage(_groups(staged, scratch).join(identity, "row"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row"))
+    groups = scratch.stage(
+        grouped.groupBy("group").agg(F.count(F.lit(1)).alias("group_size"), first.alias("first")),
+        "groups",
+    )
+    return grouped.select("row", "group").join(groups, "group").select(
+        "row",
+        F.col("first.doc_id").alias("keep_id"),
+        "group_size",
+        F.col("first.row").alias("first_row"),
+    )
 
 
 def exact_groups(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -102,22 +134,27 @@ def exact_groups(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     normalised text and plays no part in the grouping.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    digest = F.sha2(F.encode(spaced_text(), "UTF-8"), 256)
-    staged = _staged(docs.select("doc_id", "text"), scratch, text_sha256=digest)
+    digest = {"text_sha256": F.sha2(_text_bytes(), 256)}
+    staged = _first_level(docs, ["doc_id"], scratch, digest)
     members = _members(staged, scratch)
-    single = F.col("group").isNull()
-    return staged.join(members, "row", "left").select(
-        F.col("doc.doc_id").alias("doc_id"),
-        F.when(single, F.col("doc.doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        F.coalesce(F.col("group") == F.col("row"), F.lit(True)).alias("kept"),
-        "text_sha256",
+    single = F.col("first_row").isNull()
+    return (
+        staged.select("row", F.col("doc.doc_id").alias("doc_id"), "text_sha256")
+        .join(members, "row", "left")
+        .select(
+            "doc_id",
+            F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
+            (single | (F.col("first_row") == F.col("row"))).alias("kept"),
+            "text_sha256",
+        )
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """The documents, all columns, with one row of each group of equal texts."""
     scratch = scratch or Scratch(docs.sparkSession)
-    staged = _staged(docs, scratch)
-    dropped = _members(staged, scratch).where(F.col("group") != F.col("row")).select("row")
-    return unpacked(staged.join(dropped, "row", "left_anti"))
+    staged = _first_level(docs, docs.columns, scratch, {})
+    dropped = _members(staged, scratch).where(F.col("first_row") != F.col("row")).select("row")
+    kept = staged.select("row", "doc").join(scratch.stage(dropped, "dropped"), "row", "left_anti")
+    return unpacked(kept)
