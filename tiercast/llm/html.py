@@ -240,7 +240,7 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
         inside, keep = False, True
         within = any(element.name == "article" for element in block.chain)
         for element in block.chain[1:]:
-            if element.name == "form" and within:
+            if element.name == "form" and within and not inside:
                 # Some sites wrap their whole pages.
                 continue
             if element.noise or (element.name == "header" and not inside):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tiercast.llm.common import WORD, numbered, whole_text
+from tiercast.llm.common import SPACE, WORD, numbered, whole_text
 from tiercast.operators.scratch import Scratch
 
 # Fixed values of the contract: weights by source in turn, and the most a source is repeated.
