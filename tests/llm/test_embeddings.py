@@ -1,0 +1,121 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tiercast.llm import embeddings
+
+SCHEMA = "vec_id long, label int, embedding array<float>"
+
+
+def usable(label, vector):
+    return (
+        label is not None
+        and vector is not None
+        and all(x is not None and math.isfinite(x) for x in vector)
+        and any(vector)
+    )
+
+
+def brute(rows, least=embeddings.LEAST_COSINE):
+    n = len(rows)
+    links = [set() for _ in range(n)]
+    for i in range(n):
+        for j in range(i):
+            (_, a, u), (_, b, v) = rows[i], rows[j]
+            if usable(a, u) and usable(b, v) and a == b and len(u) == len(v):
+                x, y = np.array(u, float), np.array(v, float)
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= least:
+                    links[i].add(j)
+                    links[j].add(i)
+    found = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        least_id = min(ids) if ids else None
+        kept = True if rows[i][0] is None or least_id is None else rows[i][0] == least_id
+        found.append((rows[i][0], len(links[i]), least_id, kept))
+    return sorted(found, key=repr)
+
+
+def found(frame):
+    return sorted((tuple(row) for row in embeddings.near_vectors(frame).collect()), key=repr)
+
+
+ODD = [
+    (0, 1, [1.0, 0.0, 0.0]),
+    (1, 1, [2.0, 0.0, 0.0]),
+    (2, 1, [1.0, 0.0, 0.0]),
+    (3, 2, [1.0, 0.0, 0.0]),
+    (4, None, [1.0, 0.0, 0.0]),
+    (5, 1, None),
+    (6, 1, []),
+    (7, 1, [0.0, 0.0, 0.0]),
+    (8, 1, [1.0, None, 0.0]),
+    (9, 1, [1.0, float("nan"), 0.0]),
+    (10, 1, [float("inf"), 0.0, 0.0]),
+    (11, 1, [1.0, 0.0]),
+    (12, 1, [1.0, -0.0, 0.0]),
+    (13, 1, [1e-30, 0.0, 0.0]),
+    (14, 1, [3e38, 0.0, 1.0]),
+    (15, 1, [0.0, 1.0, 0.0]),
+    (16, 1, [0.0, -1.0, 0.0]),
+    (17, 1, [1.0, 0.39, 0.0]),
+    (17, 1, [1.0, 0.40, 0.0]),
+    (18, 2, [0.0, 0.0, 0.0, 5.0]),
+    (19, 2, [0.0, 0.0, 0.1, 5.0]),
+]
+
+
+def test_odd_vectors(spark):
+    frame = spark.createDataFrame(ODD, SCHEMA)
+    clashes = ("row", "doc", "usable", "rep", "copies", "size", "cell", "links", "node", "class")
+    assert found(frame.withColumns({name: F.lit(0) for name in clashes})) == brute(ODD)
+    assert embeddings.near_vectors(frame.where("false")).isEmpty()
+
+
+def test_rows_without_a_number(spark):
+    rows = [(None, 1, [1.0, 0.0]), (None, 1, [1.0, 0.0]), (None, 1, [0.0, 1.0]), (4, 1, [0.0, 1.1])]
+    assert sorted(r[1] for r in found(spark.createDataFrame(rows, SCHEMA))) == [1, 1, 1, 1]
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_groups_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    random = np.random.default_rng(0)
+    rows = []
+    for group in range(12):
+        center = random.standard_normal(16)
+        for _ in range(12):
+            noise = random.standard_normal(16) * random.choice([0.05, 0.25, 0.4])
+            rows.append((len(rows), group % 3, (center + noise).astype(np.float32).tolist()))
+    rows += [(1000 + i, 1, rows[5][2]) for i in range(20)]
+    assert found(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+
+
+def test_visits_cover_every_link():
+    random = np.random.default_rng(1)
+    centers = random.standard_normal((40, 12))
+    units = np.repeat(centers, 25, axis=0) + random.standard_normal((1000, 12)) * 0.3
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    centroids = embeddings.spherical_kmeans(units, 16)
+    home, guest = embeddings.visits(units, centroids, 0.93)
+    linked = np.argwhere(np.triu(units @ units.T >= 0.93, 1))
+    across = [(i, j) for i, j in linked if home[i] != home[j]]
+    assert across
+    for i, j in across:
+        low, high = (i, j) if home[i] < home[j] else (j, i)
+        assert guest[low, home[high]]
+    assert guest.sum(axis=1).mean() < 15
+
+
+def test_whole_table(spark, check_dir):
+    frame = spark.read.parquet(f"{check_dir}/embeddings.parquet")
+    rows = [tuple(row) for row in frame.select("vec_id", "label", "embedding").collect()]
+    assert found(frame) == brute(rows)

@@ -1,0 +1,30 @@
+"""The queries that SQL can express, on whole tables."""
+
+import pytest
+from compare import connect, duckdb_rows, spark_rows
+
+import __spark_entry__ as entry_points
+from tiercast.llm import registry
+
+
+@pytest.fixture(scope="module")
+def duck(check_dir):
+    return connect(check_dir)
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = set(entry_points.queries())
+    assert {f"op{n}_" for n in range(1, 11)} == {
+        name[: name.index("_") + 1] for name in registry.queries()
+    }
+    assert set(registry.queries()) | {"pipeline"} <= names
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_matches_sql(spark, duck, check_dir, name):
+    result = registry.queries()[name](spark, check_dir)
+    names, expected = duckdb_rows(duck, registry.oracle_sql()[name])
+    assert sorted(result.columns) == names
+    rows = spark_rows(result)
+    assert rows
+    assert rows == expected
