@@ -12,9 +12,12 @@ from tiercast.operators.quintiles import add_scores
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_base, rfm_daily, rfm_daily_detailed
 from tiercast.plans.registry import ORDERS, ORDERS_DAY
-from tiercast.sources.orders import ORDERS_SCHEMA, read_orders
+from tiercast.sources.orders import as_orders, read_orders
 
 RUN_DATE = dt.date(2024, 1, 10)
+ORDERS_SCHEMA = (
+    "customer_id bigint, order_id bigint, created_at timestamp_ntz, total decimal(18,2), status string"
+)
 
 
 def order(customer, number, status, moment, total):
@@ -214,9 +217,54 @@ def test_backfill_equals_single_days(awkward, strategy):
     expected = []
     for offset in range((last - first).days + 1):
         day = first + dt.timedelta(days=offset)
-        known = awkward.where(F.to_date("created_at") <= F.lit(day))
+        known = awkward.where((F.to_date("created_at") <= F.lit(day)) | F.isnull("created_at"))
         expected += rfm_daily(known, DailyConfig(day, strategy=WINDOW)).collect()
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
+    # A customer without any dated order is there every day.
+    assert sum(row.customer_id == 9 for row in found) == (last - first).days + 1
+
+
+def test_detailed_backfill_equals_single_days(awkward):
+    first, last = dt.date(2024, 1, 8), dt.date(2024, 1, 11)
+    found = rfm_backfill(awkward, first, last, DailyConfig(), detailed=True).collect()
+    expected = []
+    for offset in range((last - first).days + 1):
+        day = first + dt.timedelta(days=offset)
+        known = awkward.where((F.to_date("created_at") <= F.lit(day)) | F.isnull("created_at"))
+        expected += rfm_daily_detailed(known, DailyConfig(day)).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,4)", "double", "decimal(30,12)"])
+def test_small_amounts_are_not_lost(spark, kind):
+    table = spark.range(1000).selectExpr(
+        "1 customer_id", "id order_id", "timestamp_ntz'2024-01-01' created_at",
+        f"cast(0.0040 as {kind}) total", "'done' status",
+    )
+    base = rfm_base(as_orders(table), DailyConfig(RUN_DATE)).collect()
+    assert [row.monetary_value for row in base] == [Decimal(4)]
+    for strategy in (WINDOW, DISTRIBUTED):
+        rows = rfm_daily(as_orders(table), DailyConfig(RUN_DATE, strategy=strategy)).collect()
+        assert [row.monetary_value for row in rows] == [4.0]
+
+
+TEXT_IDS = ["c-12", "c-1", "C-1", "", "é", "customer-number-1", "customer-number-10", "x" * 300]
+
+
+def test_text_customers_are_ordered_by_their_bytes(spark):
+    ids = [*TEXT_IDS, "x" * 299, "x" * 300 + "\0", "x" * 300 + "\0\0", None]
+    rows = [(i, n, dt.datetime(2024, 1, 1), Decimal(5), "done") for n, i in enumerate(ids)]
+    schema = ORDERS_SCHEMA.replace("customer_id bigint", "customer_id string")
+    orders = as_orders(spark.createDataFrame(rows, schema))
+    for day in (RUN_DATE, dt.date(2024, 1, 5)):
+        found = [
+            sorted(map(repr, rfm_daily(orders, DailyConfig(day, strategy=strategy)).collect()))
+            for strategy in (WINDOW, DISTRIBUTED)
+        ]
+        assert found[0] == found[1]
+    scores = add_scores(rfm_base(orders, DailyConfig(RUN_DATE)), DISTRIBUTED, sort_rows=0).collect()
+    ranked = sorted(((r.customer_id or "").encode(), r.f_score) for r in scores if r.customer_id is not None)
+    assert [score for _, score in ranked] == sorted(score for _, score in ranked)
 
 
 def test_backfill_of_a_long_range_by_cuts(check_orders):

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tiercast.operators import quintiles
 from tiercast.operators.quintiles import BUCKETS, bucket_ends
-from tiercast.operators.ranked_keys import LEVELS, keys_at_ranks
+from tiercast.operators.ranked_keys import keys_at_ranks
 
+LEVELS = ("nulls", "major", "minor", "known", "id")
 DAY = dt.date(2024, 1, 1)
 ENTRIES = f"day int, metric int, {', '.join(f'{level} bigint' for level in LEVELS)}"
 BASE = (
@@ -26,7 +27,7 @@ def check(spark, groups, sort_rows):
     rows = [(*group, *key) for group, keys in groups.items() for key in keys]
     random.Random(1).shuffle(rows)
     entries = spark.createDataFrame(rows, ENTRIES)
-    found, totals = keys_at_ranks(entries, bucket_ends, sort_rows)
+    found, totals = keys_at_ranks(entries, bucket_ends, sort_rows, LEVELS)
     assert totals == {group: len(keys) for group, keys in groups.items()}
     at = {((k.day, k.metric), k.rank): k.key for k in found}
     for group, keys in groups.items():
@@ -105,6 +106,24 @@ def test_scores_equal_ntile(spark, rows, sort_rows):
     assert sorted(map(repr, by_window)) == sorted(map(repr, by_cuts))
 
 
+names = st.text(alphabet="ab\0é中", max_size=20)
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), names), st.integers(0, 1)), max_size=40, unique_by=lambda r: r[0]),
+    st.sampled_from([0, 10**6]),
+)
+def test_scores_of_text_customers_equal_ntile(spark, rows, sort_rows):
+    schema = BASE.replace("customer_id bigint", "customer_id string")
+    base = spark.createDataFrame([(DAY, who, 1, n, Decimal(n)) for who, n in rows], schema)
+    by_window = quintiles.add_scores(base, "window").collect()
+    by_cuts = quintiles.add_scores(base, "distributed", sort_rows=sort_rows).collect()
+    assert sorted(map(repr, by_window)) == sorted(map(repr, by_cuts))
+
+
 def test_a_third_of_all_customers_tied(spark):
     n = 200_000
     base = spark.range(n).select(

@@ -4,9 +4,10 @@ import pytest
 from compare import connect, duckdb_rows, spark_rows
 
 import __spark_entry__ as entry_points
+from tiercast.plans import oracle, registry
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,5 +29,10 @@ def test_matches_sql(spark, duck, check_dir, name):
     assert rows == expected
 
 
+def test_entry_points_hold_all_of_them():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+
+
 def test_entry_point(spark):
     assert entry_points.entry(spark).count() == 150

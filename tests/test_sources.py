@@ -4,6 +4,7 @@ import datetime as dt
 import re
 from contextlib import redirect_stdout
 from io import StringIO
+from types import SimpleNamespace
 
 import pytest
 
@@ -14,7 +15,7 @@ from tiercast.operators.scratch import Scratch, plan_bytes, shared_root
 from tiercast.operators.upsert import DETAILED, inserted, with_logs
 from tiercast.plans.daily import rfm_base, rfm_daily, rfm_daily_detailed
 from tiercast.plans.registry import ORDERS, ORDERS_DAY, queries
-from tiercast.sources.orders import ORDERS_SCHEMA, jdbc_options, read_orders
+from tiercast.sources.orders import as_orders, jdbc_options, read_orders, read_orders_jdbc
 from tiercast.sources.snapshot import read_snapshot
 
 
@@ -31,16 +32,33 @@ def orders(spark, check_dir):
 
 
 def test_schema(orders):
-    assert [(f.name, f.dataType) for f in orders.schema] == [
-        (f.name, f.dataType) for f in ORDERS_SCHEMA
+    assert orders.dtypes == [
+        ("customer_id", "bigint"),
+        ("order_id", "bigint"),
+        ("created_at", "timestamp_ntz"),
+        ("total", "decimal(28,6)"),
+        ("status", "string"),
     ]
 
 
+def test_types_follow_the_source(spark):
+    table = spark.range(1).selectExpr(
+        "'c-12' customer_id", "'o-1' order_id", "date'2024-01-01' created_at",
+        "cast(1 as decimal(12,4)) total", "1 status",
+    )
+    assert [kind for _, kind in as_orders(table).dtypes] == [
+        "string", "string", "timestamp_ntz", "decimal(12,4)", "string",
+    ]
+    whole = table.selectExpr("cast(7 as smallint) customer_id", "order_id", "created_at", "2 total", "status")
+    assert dict(as_orders(whole).dtypes)["customer_id"] == "bigint"
+    assert dict(as_orders(whole).dtypes)["total"] == "decimal(20,0)"
+
+
 def test_other_formats(spark, orders):
     folder = Scratch(spark).path
     orders.write.option("header", True).csv(f"{folder}/csv")
     orders.write.orc(f"{folder}/orc")
-    csv = read_orders(spark, f"{folder}/csv", fmt="csv", options={"header": "true"})
+    csv = read_orders(spark, f"{folder}/csv", fmt="csv", options={"header": "true", "inferSchema": "true"})
     expected = rfm_daily(orders, ORDERS_DAY)
     for other in (csv, read_orders(spark, f"{folder}/orc", fmt="orc")):
         assert rfm_daily(other, ORDERS_DAY).exceptAll(expected).isEmpty()
@@ -56,7 +74,7 @@ def test_status_and_columns_reach_the_scan(orders):
 
 def test_backfill_bound_reaches_the_scan(spark, check_dir):
     plan = plan_of(queries()["rfm_backfill"](spark, check_dir))
-    assert "LessThan(o_orderdate,2001-08-03T00:00)" in plan
+    assert "Or(LessThan(o_orderdate,2001-08-03T00:00),IsNull(o_orderdate))" in plan
     assert "Join" not in plan
 
 
@@ -92,9 +110,24 @@ def test_size_estimate_chooses_the_strategy(spark, orders):
 
 
 def test_staged_tables_go_to_the_checkpoint_folder(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+    before = spark.sparkContext.getCheckpointDir()
     assert Scratch(spark).path.startswith(shared_root(spark))
+    # The session stays as it was.
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def _session(master, named=None):
+    """As much of a session as the choice of the folder looks at."""
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default: named or default)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_a_cluster_needs_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(_session(master))
+    assert shared_root(_session(master, "hdfs://shared/")) == "hdfs://shared"
 
 
 def test_scratch_is_removed(spark, orders):
@@ -125,6 +158,11 @@ def test_jdbc_options():
         jdbc_options("url", "orders", partition_column="order_id")
 
 
+def test_unsplit_database_reads_have_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="lowerBound, numPartitions, partitionColumn, upperBound"):
+        read_orders_jdbc(spark, jdbc_options("jdbc:none:", "orders"))
+
+
 def test_command_line():
     options = parse(
         ["--orders", "in", "--target", "out", "--run-date", "2024-01-10", "--customer-id", "buyer"]
@@ -133,7 +171,14 @@ def test_command_line():
     assert (options.customer_id, options.order_id) == ("buyer", "order_id")
     assert (options.detailed, options.recency_mode, options.statistics) == (False, None, None)
     with pytest.raises(SystemExit):
-        parse(["--orders", "in", "--target", "out", "--backfill-from", "2024-01-01", "--detailed"])
+        parse(["--orders", "in", "--target", "out", "--backfill-from", "2024-01-01", "--statistics", "x"])
+    for wrong in (["--target", "out"], ["--orders", "in", "--target", "out", "--format", "jdbc"]):
+        with pytest.raises(SystemExit):
+            parse(wrong)
+    with pytest.raises(SystemExit):
+        parse(["--orders", "in", "--target", "out", "--option", "header"])
+    jdbc = parse(["--target", "out", "--format", "jdbc", "--option", "url=jdbc:x?a=b", "--unsplit"])
+    assert (jdbc.option, jdbc.unsplit) == ([("url", "jdbc:x?a=b")], True)
 
 
 def test_command_line_runs(spark, small_dir, capsys):
@@ -144,7 +189,7 @@ def test_command_line_runs(spark, small_dir, capsys):
     common += ["--excluded-status", "P", "--run-date", "2001-08-02"]
     main([*common, "--detailed", "--statistics", f"{target}-statistics"])
     assert "|2001-08-02|150    |" in capsys.readouterr().out
-    main([*common, "--backfill-from", "2001-07-31"])
+    main([*common, "--backfill-from", "2001-07-31", "--detailed"])
     assert "|2001-07-31|150    |" in capsys.readouterr().out
     stored = read_snapshot(spark, target).groupBy("run_date").count()
     assert {str(row.run_date): row["count"] for row in stored.collect()} == {
@@ -152,3 +197,17 @@ def test_command_line_runs(spark, small_dir, capsys):
         "2001-08-01": 150,
         "2001-08-02": 150,
     }
+
+
+def test_command_line_reads_csv_and_prints_every_date(spark, small_dir, capsys):
+    folder = Scratch(spark).path
+    table = spark.read.parquet(f"{small_dir}/orders.parquet")
+    table.write.option("header", True).csv(f"{folder}/csv")
+    common = ["--orders", f"{folder}/csv", "--format", "csv", "--option", "header=true"]
+    common += ["--option", "inferSchema=true", "--target", f"{folder}/target"]
+    common += ["--customer-id", "o_custkey", "--order-id", "o_orderkey", "--total", "o_totalprice"]
+    common += ["--created-at", "o_orderdate", "--status", "o_orderstatus"]
+    common += ["--excluded-status", "P", "--run-date", "2001-08-02"]
+    main([*common, "--backfill-from", "2001-07-01"])
+    printed = capsys.readouterr().out
+    assert printed.count("|2001-0") == 33

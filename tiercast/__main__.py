@@ -19,13 +19,31 @@ from tiercast.config import (
 )
 from tiercast.plans.job import run, run_backfill
 from tiercast.session import SETTINGS
-from tiercast.sources.orders import read_orders
+from tiercast.sources.orders import read_orders, read_orders_jdbc
+
+
+def _pair(text: str) -> tuple[str, str]:
+    key, separator, value = text.partition("=")
+    if not separator:
+        raise argparse.ArgumentTypeError(f"{text} is not KEY=VALUE")
+    return key, value
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tiercast", description=__doc__)
-    parser.add_argument("--orders", required=True, help="path of the order files")
-    parser.add_argument("--format", default="parquet", help="their Spark source format")
+    parser.add_argument("--orders", help="path of the order files")
+    parser.add_argument("--format", default="parquet", help="their Spark source format, or jdbc")
+    parser.add_argument(
+        "--option",
+        action="append",
+        default=[],
+        type=_pair,
+        metavar="KEY=VALUE",
+        help="option of the source, such as header=true or url=...; may be repeated",
+    )
+    parser.add_argument(
+        "--unsplit", action="store_true", help="read a database table in a single task"
+    )
     parser.add_argument("--target", required=True, help="path of the snapshot table")
     parser.add_argument("--statistics", help="path for the statistics tables")
     parser.add_argument("--detailed", action="store_true", help="store tiers and long labels")
@@ -40,8 +58,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         name = field.name.replace("_", "-")
         parser.add_argument(f"--{name}", default=field.default, help=f"expression for {field.name}")
     options = parser.parse_args(arguments)
-    if options.backfill_from and (options.detailed or options.statistics):
-        parser.error("a backfill writes core snapshots only")
+    if options.backfill_from and options.statistics:
+        parser.error("a backfill writes no statistics")
+    if (options.orders is None) != (options.format == "jdbc"):
+        parser.error("--orders is the path of files; a jdbc source takes --option url=... instead")
     return options
 
 
@@ -58,13 +78,18 @@ def main(arguments: list[str] | None = None) -> None:
         recency_mode=options.recency_mode,
         strategy=options.strategy,
     ).resolved(ELAPSED if options.detailed else CALENDAR)
-    orders = read_orders(spark, options.orders, columns, options.format)
+    given = dict(options.option)
+    if options.format == "jdbc":
+        orders = read_orders_jdbc(spark, given, columns, options.unsplit)
+    else:
+        orders = read_orders(spark, options.orders, columns, options.format, given)
     if options.backfill_from:
         dates = (options.backfill_from, config.run_date)
-        summary = run_backfill(orders, options.target, *dates, config).orderBy("run_date")
+        summary = run_backfill(orders, options.target, *dates, config, options.detailed)
     else:
         summary = run(orders, options.target, config, options.detailed, options.statistics)
-    summary.show(truncate=False)
+    # One row per date.
+    summary.orderBy("run_date").show(summary.count(), truncate=False)
 
 
 if __name__ == "__main__":

@@ -29,6 +29,8 @@ def customer_metrics(orders: DataFrame) -> DataFrame:
 def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """One row per customer and run date in [first, last], from the orders up to that date.
 
+    Orders without a date belong to every date, as they do to a single daily run.
+
     Orders are reduced to one row per customer and effective day (everything before ``first``
     counts for ``first``), running totals follow within the customer, and each total is repeated
     for the days it stays valid. An order is thus read once, however many days are asked for, and
@@ -38,9 +40,10 @@ def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) ->
     after_last = wall_clock(dt.datetime.combine(last + dt.timedelta(days=1), dt.time()))
     daily = (
         # On the timestamp itself, so that the bound reaches the scan.
-        orders.where(F.col("created_at") < after_last)
+        orders.where((F.col("created_at") < after_last) | F.col("created_at").isNull())
         .groupBy(
             "customer_id",
+            # Without a date, the first day.
             F.greatest(F.to_date("created_at"), start).alias("valid_from"),
         )
         .agg(
@@ -56,7 +59,7 @@ def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) ->
         "customer_id",
         F.max("latest").over(so_far).alias("last_order_date"),
         F.sum("orders").over(so_far).alias("frequency_orders"),
-        F.sum("spent").over(so_far).cast("decimal(28,2)").alias("monetary_value"),
+        F.sum("spent").over(so_far).cast(daily.schema["spent"].dataType).alias("monetary_value"),
         F.sequence("valid_from", F.coalesce(F.date_sub(next_change, 1), end)).alias("days"),
     ).select(
         F.explode("days").alias("run_date"),

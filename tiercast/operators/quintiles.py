@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from typing import NamedTuple
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tiercast.config import AUTO, BUCKETS, SMALL_PLAN_BYTES, WINDOW
-from tiercast.operators.ranked_keys import LEVELS, SORT_ROWS, keys_at_ranks
+from tiercast.operators.ranked_keys import SORT_ROWS, Levels, keys_at_ranks
 from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
 
 
@@ -28,11 +29,17 @@ SCORES = (
     Score("m_score", "monetary_value"),
 )
 
-# The summed money has up to 28 digits. Split here, both parts fit a bigint and order alike.
-MONEY_SPLIT = 10**10
+# The summed money in units of its scale has up to 38 digits. Split here, both parts of any
+# number below 9e36 fit a bigint and order alike; a larger one fails the cast.
+SPLIT_DIGITS = 18
+MONEY_SPLIT = 10**SPLIT_DIGITS
 MONEY_PARTS = ("money_major", "money_minor")
 
-CUTS_TYPE = pa.list_(pa.struct([(level, pa.int64()) for level in LEVELS]))
+# Place of missing values, the value in two parts, whether there is a customer id; the parts of
+# the id follow.
+VALUE_LEVELS = ("nulls", "major", "minor", "known")
+# Bytes of a text id in one bigint.
+ID_BYTES = 7
 
 
 def add_scores(
@@ -77,6 +84,10 @@ def _by_window(base: DataFrame) -> DataFrame:
     )
 
 
+def money_scale(base: DataFrame) -> int:
+    return base.schema["monetary_value"].dataType.scale
+
+
 def stage_with_keys(base: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """The staged metrics with the money also as two bigints, so that passes avoid decimals.
 
@@ -84,12 +95,16 @@ def stage_with_keys(base: DataFrame, scratch: Scratch | None = None) -> DataFram
     """
     if set(MONEY_PARTS) <= set(base.columns):
         return base
-    money, split = F.col("monetary_value"), F.lit(MONEY_SPLIT).cast("decimal(11,0)")
+    scale = money_scale(base)
+    # In the money's own unit, the larger part counts steps of this size.
+    step = F.lit(Decimal(10) ** (SPLIT_DIGITS - scale)).cast(f"decimal({SPLIT_DIGITS + 1},{scale})")
+    money, unit = F.col("monetary_value"), F.lit(10**scale).cast(f"decimal({scale + 1},0)")
     major, minor = MONEY_PARTS
+    rest = F.pmod(money, step)
     keyed = base.withColumns(
         {
-            major: F.floor((money - money % split) / split).cast("bigint"),
-            minor: ((money % split) * 100).cast("bigint"),
+            major: ((money - rest) / step).cast("decimal(38,0)").cast("bigint"),
+            minor: (rest.cast(f"decimal({SPLIT_DIGITS + 1},{scale})") * unit).cast("bigint"),
         }
     )
     return (scratch or Scratch(base.sparkSession)).stage(keyed, "metrics")
@@ -101,20 +116,38 @@ def value_parts(metric: str) -> tuple[Column, Column]:
     return F.lit(0).cast("bigint"), F.col(metric).cast("bigint")
 
 
-def _key(score: Score) -> dict[str, Column]:
+def id_parts(staged: DataFrame) -> dict[str, Column]:
+    """The customer id as bigints that order like it.
+
+    A text is cut into runs of seven bytes, as many as the longest id needs, and its length tells
+    an id from one that goes on with zero bytes.
+    """
+    customer = F.col("customer_id")
+    if staged.schema["customer_id"].dataType.simpleString() == "bigint":
+        return {"id": customer}
+    longest = staged.agg(F.max(F.octet_length("customer_id"))).first()[0] or 0
+    text = F.encode(customer, "UTF-8")
+
+    def part(i: int) -> Column:
+        digits = F.hex(F.substring(text, ID_BYTES * i + 1, ID_BYTES))
+        return F.conv(F.rpad(digits, 2 * ID_BYTES, "0"), 16, 10).cast("bigint")
+
+    parts = {f"id_{i}": part(i) for i in range(-(-longest // ID_BYTES))}
+    return {**parts, "id_length": F.octet_length(customer).cast("bigint")}
+
+
+def _key(score: Score, ids: dict[str, Column]) -> dict[str, Column]:
     sign = -1 if score.descending else 1
     absent = F.lit(0).cast("bigint")
     major, minor = (F.coalesce(part * sign, absent) for part in value_parts(score.metric))
     missing = F.col(score.metric).isNull()
     customer = F.col("customer_id")
-    levels = (
-        missing != F.lit(score.descending),
-        major,
-        minor,
-        customer.isNotNull(),
-        F.coalesce(customer, absent),
-    )
-    return {name: level.cast("bigint") for name, level in zip(LEVELS, levels)}
+    values = (missing != F.lit(score.descending), major, minor, customer.isNotNull())
+    levels = {
+        **dict(zip(VALUE_LEVELS, values)),
+        **{name: F.coalesce(part, absent) for name, part in ids.items()},
+    }
+    return {name: level.cast("bigint") for name, level in levels.items()}
 
 
 def bucket_ends(n_rows: int) -> list[int]:
@@ -123,13 +156,13 @@ def bucket_ends(n_rows: int) -> list[int]:
     return [bucket * size + min(bucket, larger) for bucket in range(1, BUCKETS)]
 
 
-def score_entries(staged: DataFrame) -> DataFrame:
+def score_entries(staged: DataFrame, ids: dict[str, Column]) -> DataFrame:
     """One row per customer and metric, in the form ``keys_at_ranks`` orders."""
     per_metric = [
         staged.select(
             F.unix_date("run_date").alias("day"),
             F.lit(number).alias("metric"),
-            *[level.alias(name) for name, level in _key(score).items()],
+            *[level.alias(name) for name, level in _key(score, ids).items()],
         )
         for number, score in enumerate(SCORES)
     ]
@@ -138,10 +171,13 @@ def score_entries(staged: DataFrame) -> DataFrame:
 
 def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
     """Compare every row with the four bucket ends of each metric: no sort, no shuffle."""
-    keys, totals = keys_at_ranks(score_entries(staged), bucket_ends, sort_rows)
+    ids = id_parts(staged)
+    levels: Levels = (*VALUE_LEVELS, *ids)
+    keys, totals = keys_at_ranks(score_entries(staged, ids), bucket_ends, sort_rows, levels)
     if not totals:
         return _by_window(staged).drop(*MONEY_PARTS)
-    at = {(k.day, k.metric, k.rank): dict(zip(LEVELS, k.key)) for k in keys}
+    at = {(k.day, k.metric, k.rank): dict(zip(levels, k.key)) for k in keys}
+    cuts_type = pa.list_(pa.struct([(level, pa.int64()) for level in levels]))
     columns = [f"{score.name}_cuts" for score in SCORES]
 
     def cuts_of(day: int, number: int) -> list[dict]:
@@ -154,11 +190,11 @@ def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
             for day in sorted({day for day, _ in totals})
         ],
         # Structs compare field by field, so the order of the levels must be given.
-        pa.schema([("day", pa.int32()), *[(column, CUTS_TYPE) for column in columns]]),
+        pa.schema([("day", pa.int32()), *[(column, cuts_type) for column in columns]]),
     )
 
     def bucket(score: Score, column: str) -> Column:
-        key = F.struct(*[level.alias(name) for name, level in _key(score).items()])
+        key = F.struct(*[level.alias(name) for name, level in _key(score, ids).items()])
         passed = ((key > F.col(column)[i]).cast("int") for i in range(BUCKETS - 1))
         return sum_of([F.lit(1), *passed])
 

@@ -6,8 +6,8 @@ still holds a wanted rank and keeps the slot the rank falls into; map-side count
 small whatever the distribution. When few rows are left around a rank, those are sorted. Ties are
 narrowed by the tie-breaker in the same way, so one value held by most rows is no obstacle.
 
-Entries are ordered by the bigint columns ``LEVELS`` within the int columns ``(day, metric)``,
-which Spark packs into one long join key. The driver holds one row per wanted rank, never data.
+Entries are ordered by bigint columns, the levels, within the int columns ``(day, metric)``,
+which Spark packs into one long join key. The levels are given by name, the most significant first. The driver holds one row per wanted rank, never data.
 """
 
 from __future__ import annotations
@@ -23,10 +23,8 @@ from pyspark.sql.window import Window
 
 from tiercast.operators.scratch import plan_table
 
-# Most significant first: place of missing values, the value in two parts, whether there is a
-# customer id, the customer id.
-LEVELS = ("nulls", "major", "minor", "known", "id")
-Key = tuple[int, int, int, int, int]
+Key = tuple[int, ...]
+Levels = tuple[str, ...]
 
 # Rows around one rank that a single task may sort.
 SORT_ROWS = 200_000
@@ -36,8 +34,6 @@ MAX_SLOTS, MIN_SLOTS, SLOTS_PER_PASS = 4096, 64, 1 << 17
 LITERAL_BRACKETS = 24
 
 GROUP = ["day", "metric"]
-LOWS = [f"{level}_lo" for level in LEVELS]
-HIGHS = [f"{level}_hi" for level in LEVELS]
 
 
 class RankedKey(NamedTuple):
@@ -66,7 +62,7 @@ class Bracket(NamedTuple):
     @property
     def open_level(self) -> int:
         differ = (i for i, (low, high) in enumerate(zip(self.low, self.high)) if low != high)
-        return next(differ, len(LEVELS))
+        return next(differ, len(self.low))
 
     @property
     def log_spaced(self) -> bool:
@@ -78,8 +74,19 @@ class Bracket(NamedTuple):
         return self.split_level != self.open_level
 
 
+def _low(level: str) -> str:
+    return f"{level}_lo"
+
+
+def _high(level: str) -> str:
+    return f"{level}_hi"
+
+
 def keys_at_ranks(
-    entries: DataFrame, ranks_for: Callable[[int], list[int]], sort_rows: int = SORT_ROWS
+    entries: DataFrame,
+    ranks_for: Callable[[int], list[int]],
+    sort_rows: int,
+    levels: Levels,
 ) -> tuple[list[RankedKey], dict[tuple[int, int], int]]:
     """The keys at the 1-based ranks that ``ranks_for(row count)`` asks for, per day and metric,
     and those row counts.
@@ -88,36 +95,38 @@ def keys_at_ranks(
     """
     points: list[Bracket] = []
     short: list[Bracket] = []
-    brackets = _whole_ranges(entries, ranks_for)
+    brackets = _whole_ranges(entries, ranks_for, levels)
     totals = {(b.day, b.metric): b.n_rows for b in brackets}
     while brackets:
-        points += [b for b in brackets if b.open_level == len(LEVELS)]
-        rest = [b for b in brackets if b.open_level < len(LEVELS)]
+        points += [b for b in brackets if b.open_level == len(levels)]
+        rest = [b for b in brackets if b.open_level < len(levels)]
         short += [b for b in rest if b.n_rows <= sort_rows]
         long = [b for b in rest if b.n_rows > sort_rows]
-        brackets = _narrow(entries, long) if long else []
+        brackets = _narrow(entries, long, levels) if long else []
     found = [RankedKey(b.day, b.metric, r, b.low) for b in points for r in b.ranks]
-    return found + (_sorted_out(entries, short) if short else []), totals
+    return found + (_sorted_out(entries, short, levels) if short else []), totals
 
 
-def _summary() -> list[Column]:
+def _summary(levels: Levels) -> list[Column]:
     return [
-        *[F.min(level).alias(low) for level, low in zip(LEVELS, LOWS)],
-        *[F.max(level).alias(high) for level, high in zip(LEVELS, HIGHS)],
+        *[F.min(level).alias(_low(level)) for level in levels],
+        *[F.max(level).alias(_high(level)) for level in levels],
         F.count(F.lit(1)).alias("n_rows"),
     ]
 
 
-def _bounds(row) -> tuple[Key, Key]:
-    return tuple(row[low] for low in LOWS), tuple(row[high] for high in HIGHS)
+def _bounds(row, levels: Levels) -> tuple[Key, Key]:
+    return tuple(row[_low(level)] for level in levels), tuple(row[_high(level)] for level in levels)
 
 
-def _whole_ranges(entries: DataFrame, ranks_for: Callable[[int], list[int]]) -> list[Bracket]:
-    groups = entries.groupBy(*GROUP).agg(*_summary()).collect()
+def _whole_ranges(
+    entries: DataFrame, ranks_for: Callable[[int], list[int]], levels: Levels
+) -> list[Bracket]:
+    groups = entries.groupBy(*GROUP).agg(*_summary(levels)).collect()
     brackets = []
     for row in groups:
         ranks = sorted(set(ranks_for(row.n_rows)))
-        brackets.append(Bracket(row.day, row.metric, *_bounds(row), 0, row.n_rows, ranks))
+        brackets.append(Bracket(row.day, row.metric, *_bounds(row, levels), 0, row.n_rows, ranks))
     return brackets
 
 
@@ -125,15 +134,17 @@ def _any_of(tests: list[Column]) -> Column:
     return reduce(Column.__or__, tests)
 
 
-def _holds(bracket: Bracket) -> Column:
+def _holds(bracket: Bracket, levels: Levels) -> Column:
     """Whether an entry can be in the bracket, as a test on literals."""
     within = [F.col("metric") == bracket.metric]
-    for level, low, high in zip(LEVELS[: bracket.open_level + 1], bracket.low, bracket.high):
+    for level, low, high in zip(levels[: bracket.open_level + 1], bracket.low, bracket.high):
         within.append(F.col(level).between(low, high))
     return reduce(Column.__and__, within)
 
 
-def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, DataFrame]:
+def _inside(
+    entries: DataFrame, brackets: list[Bracket], levels: Levels
+) -> tuple[DataFrame, DataFrame]:
     """The numbered brackets, and the entries that fall into them."""
     rows = []
     for number, bracket in enumerate(brackets):
@@ -150,8 +161,8 @@ def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, Dat
                 "vast": span >= 2**63,
                 "before": bracket.before,
                 "ranks": bracket.ranks,
-                **dict(zip(LOWS, bracket.low)),
-                **dict(zip(HIGHS, bracket.high)),
+                **dict(zip(map(_low, levels), bracket.low)),
+                **dict(zip(map(_high, levels), bracket.high)),
             }
         )
     table = plan_table(entries.sparkSession, rows).withColumns(
@@ -160,18 +171,15 @@ def _inside(entries: DataFrame, brackets: list[Bracket]) -> tuple[DataFrame, Dat
     narrowed = any(bracket.split_level is not None for bracket in brackets)
     if narrowed and len(brackets) <= LITERAL_BRACKETS:
         # Drops most entries, and whole metrics, before the join sees them.
-        entries = entries.where(_any_of([_holds(bracket) for bracket in brackets]))
-    within = [
-        F.col(level).between(F.col(low), F.col(high))
-        for level, low, high in zip(LEVELS, LOWS, HIGHS)
-    ]
+        entries = entries.where(_any_of([_holds(bracket, levels) for bracket in brackets]))
+    within = [F.col(level).between(F.col(_low(level)), F.col(_high(level))) for level in levels]
     # One row per wanted rank, so the broadcast does not grow with the entries.
     return table, entries.join(F.broadcast(table), GROUP).where(reduce(Column.__and__, within))
 
 
 def _slot(level: str, slots: int) -> Column:
     """Slot number, non-decreasing in the key; the ends of the range never share a slot."""
-    here, low = F.col(level), F.col(f"{level}_lo")
+    here, low = F.col(level), F.col(_low(level))
     rough = here.cast("double") - low.cast("double")
     offset = F.when(F.col("vast"), rough).otherwise((here - low).cast("double"))
     distance = F.when(F.col("log_spaced"), F.log1p(offset)).otherwise(offset)
@@ -179,16 +187,16 @@ def _slot(level: str, slots: int) -> Column:
     return F.least(F.floor(share * slots).cast("int"), F.lit(slots - 1))
 
 
-def _narrow(entries: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
+def _narrow(entries: DataFrame, brackets: list[Bracket], levels: Levels) -> list[Bracket]:
     """Replace each bracket by the slots that hold its ranks."""
     slots = max(MIN_SLOTS, min(MAX_SLOTS, SLOTS_PER_PASS // len(brackets)))
-    table, inside = _inside(entries, brackets)
+    table, inside = _inside(entries, brackets, levels)
     slot = reduce(
-        lambda cases, i: cases.when(F.col("open_level") == i, _slot(LEVELS[i], slots)),
+        lambda cases, i: cases.when(F.col("open_level") == i, _slot(levels[i], slots)),
         sorted({b.open_level for b in brackets}),
         F,
     )
-    counted = inside.groupBy("bracket", slot.alias("slot")).agg(*_summary())
+    counted = inside.groupBy("bracket", slot.alias("slot")).agg(*_summary(levels))
 
     earlier = (
         Window.partitionBy("bracket")
@@ -211,7 +219,7 @@ def _narrow(entries: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
         Bracket(
             row.day,
             row.metric,
-            *_bounds(row),
+            *_bounds(row, levels),
             row.before,
             row.n_rows,
             row.ranks,
@@ -221,15 +229,17 @@ def _narrow(entries: DataFrame, brackets: list[Bracket]) -> list[Bracket]:
     ]
 
 
-def _sorted_out(entries: DataFrame, brackets: list[Bracket]) -> list[RankedKey]:
-    _, inside = _inside(entries, brackets)
-    order = Window.partitionBy("bracket").orderBy(*LEVELS)
+def _sorted_out(
+    entries: DataFrame, brackets: list[Bracket], levels: Levels
+) -> list[RankedKey]:
+    _, inside = _inside(entries, brackets, levels)
+    order = Window.partitionBy("bracket").orderBy(*levels)
     ranked = (
         inside.withColumn("rank", F.col("before") + F.row_number().over(order))
         .where(F.array_contains("ranks", F.col("rank")))
-        .select(*GROUP, "rank", *LEVELS)
+        .select(*GROUP, "rank", *levels)
     )
     return [
-        RankedKey(row.day, row.metric, row.rank, tuple(row[level] for level in LEVELS))
+        RankedKey(row.day, row.metric, row.rank, tuple(row[level] for level in levels))
         for row in ranked.collect()
     ]

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tiercast-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder; a temporary one only where driver and executors are one
+    process. The session is left as it is."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tiercast-")
-        context.setCheckpointDir(root)
+        root = _local_root()
     return root.rstrip("/")
 
 
@@ -50,9 +56,13 @@ class Scratch:
     def __exit__(self, *_: object) -> None:
         self._files.delete(self._folder, True)
 
-    def stage(self, frame: DataFrame, name: str) -> DataFrame:
+    def stage(self, frame: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
+        """Write and read back. Smaller row groups take less memory to write."""
         target = f"{self.path}/{name}"
-        frame.write.parquet(target)
+        writer = frame.write
+        if row_group_bytes is not None:
+            writer = writer.option("parquet.block.size", str(row_group_bytes))
+        writer.parquet(target)
         return self._spark.read.schema(frame.schema).parquet(target)
 
 

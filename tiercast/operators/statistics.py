@@ -6,6 +6,7 @@ Input is the metrics table of one run date. Missing values are skipped, pairwise
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from decimal import Decimal
 from functools import reduce
 
@@ -14,8 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiercast.config import AUTO, DISTRIBUTED, SMALL_PLAN_BYTES, WINDOW
-from tiercast.operators.quintiles import MONEY_SPLIT, stage_with_keys, value_parts
-from tiercast.operators.ranked_keys import LEVELS, SORT_ROWS, Key, keys_at_ranks
+from tiercast.operators.quintiles import (
+    MONEY_SPLIT,
+    money_scale,
+    stage_with_keys,
+    value_parts,
+)
+from tiercast.operators.ranked_keys import SORT_ROWS, Key, keys_at_ranks
 from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
 
 METRICS = ("recency_days", "frequency_orders", "monetary_value")
@@ -34,47 +40,80 @@ def _number(metric: str) -> Column:
     return F.col(metric).cast("double")
 
 
-def _per_pair(metrics: DataFrame, measures: dict) -> DataFrame:
-    """One row per pair from one aggregation. ``measures`` maps a name to f(x, y) -> Column."""
+def pair_measures(metrics: DataFrame) -> DataFrame:
+    """Count, correlation and least-squares line of each pair, from one aggregation.
+
+    A pair without spread in one of its metrics has no correlation: r is NULL there.
+    """
+
+    def measures(x: Column, y: Column) -> dict[str, Column]:
+        both = x.isNotNull() & y.isNotNull()
+        spread = F.sqrt(F.var_pop(F.when(both, x))) * F.sqrt(F.var_pop(F.when(both, y)))
+        r = F.try_divide(F.covar_pop(x, y), spread)
+        return {
+            "n": F.count_if(both),
+            # Rounding may carry an exact line beyond one.
+            "r": F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))),
+            "slope": F.regr_slope(y, x),
+            "intercept": F.regr_intercept(y, x),
+            "r2": F.regr_r2(y, x),
+        }
+
+    found = [measures(_number(x), _number(y)) for x, y in PAIRS]
     wide = metrics.agg(
-        *[
-            measure(_number(x), _number(y)).alias(f"{name}_{i}")
-            for i, (x, y) in enumerate(PAIRS)
-            for name, measure in measures.items()
-        ]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(x).alias("x"),
-                F.lit(y).alias("y"),
-                *[F.col(f"{name}_{i}").alias(name) for name in measures],
-            )
-            for i, (x, y) in enumerate(PAIRS)
-        ]
+        *[column.alias(f"{name}_{i}") for i, of in enumerate(found) for name, column in of.items()]
     )
-    return wide.select(F.inline(rows))
+    rows = [
+        F.struct(
+            F.lit(x).alias("x"),
+            F.lit(y).alias("y"),
+            *[F.col(f"{name}_{i}").alias(name) for name in found[i]],
+        )
+        for i, (x, y) in enumerate(PAIRS)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def _measured(metrics: DataFrame) -> DataFrame:
+    """The pair measures, or the table itself if it holds them already."""
+    return metrics if "slope" in metrics.columns else pair_measures(metrics)
+
+
+def _hundredths(size: Column) -> Column:
+    """A number in [0, 1] as whole hundredths, rounded by its binary value, ties to even.
+
+    Twice the distance to the middle between two hundredths is taken in two parts, each of which
+    doubles hold exactly, so its sign is right.
+    """
+    high = size.cast("float").cast("double")
+    low = size - high
+    below = F.floor(size * 100)
+    beyond = (high * 200 - (2 * below + 1)) + low * 200
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 == 1))
+    return (below + up.cast("int")).cast("int")
 
 
-def _pair_count(x: Column, y: Column) -> Column:
-    return F.count(F.when(x.isNotNull() & y.isNotNull(), 1))
+def correlation_label(r: Column) -> Column:
+    """``r = 0.12``, as the value itself rounds and not its shortest decimal text."""
+    parts = _hundredths(F.abs(r))
+    sign = F.when(r < 0, "-").otherwise("")
+    text = F.format_string("r = %s%d.%02d", sign, F.floor(parts / 100), parts % 100)
+    return F.when(r.isNotNull(), text)
 
 
 def metric_correlation(metrics: DataFrame) -> DataFrame:
     """Pearson's r of each pair, with its two-decimal label."""
-    return _per_pair(metrics, {"r": F.corr}).select(
-        "x", "y", F.round("r", 6).alias("r"), F.format_string("r = %.2f", "r").alias("label")
-    )
+    return _measured(metrics).select("x", "y", "r", correlation_label(F.col("r")).alias("label"))
 
 
-def _tail(from_z: Column, freedom: Column) -> Column:
-    """Area beyond ``from_z`` under cosh(z)^-freedom, by Simpson's rule over 40 standard widths.
+def _tail(from_z: Column, freedom: Column, reach: Column) -> Column:
+    """Area beyond ``from_z`` under cosh(z)^-freedom, by Simpson's rule over ``reach``.
 
     Under no correlation, artanh(r) has this density up to a constant. The logarithm of cosh goes
     through log1p and sinh, which stays exact for the tiny z of large inputs.
     """
-    steps, reach = 4000, 40.0
-    width = F.lit(reach / steps) / F.sqrt(freedom)
+    steps = 4000
+    width = reach / steps
 
     def term(i: Column) -> Column:
         half_sinh = F.sinh((from_z + i * width) / 2)
@@ -87,38 +126,49 @@ def _tail(from_z: Column, freedom: Column) -> Column:
 
 def metric_significance(metrics: DataFrame) -> DataFrame:
     """Two-sided p-value of each pair's r against no correlation, from r and the row count."""
-    measured = _per_pair(metrics, {"r": F.corr, "n": _pair_count}).withColumns(
+    measured = _measured(metrics).withColumns(
         {"z": F.atanh(F.abs("r")), "freedom": F.col("n").cast("double") - 2}
     )
-    share = _tail(F.col("z"), F.col("freedom")) / _tail(F.lit(0.0), F.col("freedom"))
+    whole = 40 / F.sqrt("freedom")
+    # Far out the density falls faster, by exp(-freedom tanh(z)) per unit.
+    far = F.try_divide(F.lit(45.0), F.col("freedom") * F.tanh("z"))
+    share = _tail(F.col("z"), F.col("freedom"), F.least(whole, far)) / _tail(
+        F.lit(0.0), F.col("freedom"), whole
+    )
     # Two rows always lie on a line; an exact line has no tail.
-    p = F.when(F.col("n") == 2, 1.0).when(F.abs("r") >= 1, 0.0).otherwise(share)
-    return measured.withColumn("p_value", F.round(p, 6)).select(
-        "x", "y", "n", F.round("r", 6).alias("r"), "p_value"
+    p = (
+        F.when(F.col("r").isNull() | (F.col("n") < 2), None)
+        .when(F.col("n") == 2, 1.0)
+        .when(F.abs("r") >= 1, 0.0)
+        .otherwise(share)
     )
+    return measured.select("x", "y", "n", "r", p.alias("p_value"))
 
 
 def metric_regression(metrics: DataFrame) -> DataFrame:
     """Least-squares line of each pair, y over x."""
-    fit = _per_pair(
-        metrics,
-        {
-            "slope": lambda x, y: F.regr_slope(y, x),
-            "intercept": lambda x, y: F.regr_intercept(y, x),
-            "r2": lambda x, y: F.regr_r2(y, x),
-            "n": lambda x, y: F.regr_count(y, x),
-        },
-    )
-    rounded = [F.round(name, 6).alias(name) for name in ("slope", "intercept", "r2")]
-    return fit.select("x", "y", *rounded, "n")
+    return _measured(metrics).select("x", "y", "slope", "intercept", "r2", "n")
+
+
+# The metrics with few distinct values, which are counted before anything is done per value.
+COUNTED = ("recency_days", "frequency_orders")
 
 
-def _values(metrics: DataFrame) -> DataFrame:
+def _values_of(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per metric and present value."""
-    rows = [F.struct(F.lit(m).alias("metric"), _number(m).alias("value")) for m in METRICS]
+    rows = [F.struct(F.lit(m).alias("metric"), _number(m).alias("value")) for m in names]
     return metrics.select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
 
 
+def _weighted_values(metrics: DataFrame) -> DataFrame:
+    """``(metric, value, weight)``: days and counts once per distinct value, money row by row."""
+    counted = (
+        _values_of(metrics, COUNTED).groupBy("metric", "value").agg(F.count("*").alias("weight"))
+    )
+    rest = _values_of(metrics, [m for m in METRICS if m not in COUNTED])
+    return counted.unionAll(rest.withColumn("weight", F.lit(1).cast("bigint")))
+
+
 def _per_metric(metrics: DataFrame, measures: dict) -> DataFrame:
     """One row per metric from one aggregation. ``measures`` maps a name to f(metric) -> Column."""
     wide = metrics.agg(
@@ -142,46 +192,70 @@ def _is_small(metrics: DataFrame) -> bool:
 EXTENT = {"n": F.count, "lo": F.min, "hi": F.max}
 
 
-def _value_of(metric: str, key: Key) -> float:
-    _, major, minor, _, _ = key
-    if metric == "monetary_value":
-        return float(major * MONEY_SPLIT + Decimal(minor) / 100)
-    return float(minor)
+QUARTILES = {"q1": 0.25, "q3": 0.75}
+
+
+def _between(low, high, share, when):
+    """NumPy's linear interpolation, from the nearer end. ``when(test, a, b)`` chooses."""
+    step = high - low
+    return when(share < 0.5, low + step * share, high - step * (1 - share))
+
+
+def _quartile(value: Column, share: float) -> Column:
+    """From the sorted values, which one task gathers: for small inputs."""
+    sorted_values = F.array_sort(F.collect_list(value))
+    position = (F.size(sorted_values) - 1) * F.lit(share)
+    below = F.floor(position).cast("int")
+
+    def choose(test: Column, a: Column, b: Column) -> Column:
+        return F.when(test, a).otherwise(b)
+
+    return _between(
+        F.get(sorted_values, below),
+        F.get(sorted_values, F.ceil(position).cast("int")),
+        position - below,
+        choose,
+    )
 
 
 def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
-    """Exact interpolated quartiles from the values at the neighbouring ranks."""
-    shares = (0.25, 0.75)
+    """The same quartiles, from the values at the neighbouring ranks alone."""
+    scale = money_scale(staged)
 
     def positions(n: int) -> list[float]:
-        return [share * (n - 1) for share in shares]
+        return [share * (n - 1) for share in QUARTILES.values()]
 
     def ranks(n: int) -> list[int]:
         return [rank + 1 for p in positions(n) for rank in (math.floor(p), math.ceil(p))]
 
     # Equal values are interchangeable here, so they need no tie-breaker.
     none = F.lit(0).cast("bigint")
+    levels = ("nulls", "major", "minor")
     entries = reduce(
         DataFrame.unionAll,
         [
             staged.where(F.col(m).isNotNull()).select(
                 F.lit(0).alias("day"),
                 F.lit(i).alias("metric"),
-                *[
-                    part.alias(level)
-                    for level, part in zip(LEVELS, (none, *value_parts(m), none, none))
-                ],
+                *[part.alias(level) for level, part in zip(levels, (none, *value_parts(m)))],
             )
             for i, m in enumerate(METRICS)
         ],
     )
-    keys, totals = keys_at_ranks(entries, ranks, sort_rows)
-    at = {(k.metric, k.rank): _value_of(METRICS[k.metric], k.key) for k in keys}
+    keys, totals = keys_at_ranks(entries, ranks, sort_rows, levels)
+
+    def value_of(metric: str, key: Key) -> float:
+        _, major, minor = key
+        if metric == "monetary_value":
+            return float(Decimal(major * MONEY_SPLIT + minor).scaleb(-scale))
+        return float(minor)
+
+    at = {(k.metric, k.rank): value_of(METRICS[k.metric], k.key) for k in keys}
 
     def quartile(metric: int, position: float) -> float:
-        below, above = math.floor(position), math.ceil(position)
-        low, high = at[metric, below + 1], at[metric, above + 1]
-        return low + (high - low) * (position - below)
+        low, high = at[metric, math.floor(position) + 1], at[metric, math.ceil(position) + 1]
+        share = position - math.floor(position)
+        return _between(low, high, share, lambda test, a, b: a if test else b)
 
     rows = []
     for (_, metric), n in totals.items():
@@ -205,15 +279,11 @@ def metric_histogram(
     if strategy == AUTO:
         strategy = WINDOW if _is_small(metrics) else DISTRIBUTED
     if strategy == WINDOW:
-        # percentile() gathers all distinct values of a metric in one task.
-        extent = _per_metric(
-            metrics,
-            {
-                **EXTENT,
-                "q1": lambda x: F.percentile(x, 0.25),
-                "q3": lambda x: F.percentile(x, 0.75),
-            },
-        )
+        quartiles = {
+            name: lambda value, share=share: _quartile(value, share)
+            for name, share in QUARTILES.items()
+        }
+        extent = _per_metric(metrics, {**EXTENT, **quartiles})
     else:
         metrics = stage_with_keys(metrics, scratch)
         extent = _per_metric(metrics, EXTENT).join(
@@ -221,7 +291,7 @@ def metric_histogram(
         )
 
     spread = F.col("hi") - F.col("lo")
-    step = 2 * (F.col("q3") - F.col("q1")) / F.cbrt(F.col("n").cast("double"))
+    step = 2 * (F.col("q3") - F.col("q1")) / F.pow(F.col("n").cast("double"), F.lit(1 / 3))
     wanted = F.when(step == 0, F.floor(F.sqrt("n"))).otherwise(
         F.ceil(F.try_divide(spread, step))
     )
@@ -233,33 +303,31 @@ def metric_histogram(
     # Three rows, one per metric.
     place = F.coalesce(F.try_divide(F.col("value") - F.col("lo"), F.col("width")), F.lit(0.0))
     counted = (
-        _values(metrics)
+        _weighted_values(metrics)
         .join(F.broadcast(layout), "metric")
         .groupBy(
             "metric",
             F.least(F.floor(place), F.col("n_bins") - 1).cast("int").alias("bin"),
         )
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum("weight").alias("n_rows"))
     )
     start = F.col("lo") + F.col("bin") * F.col("width")
     return counted.join(F.broadcast(layout), "metric").select(
         "metric",
         "bin",
-        F.round(start, 6).alias("bin_start"),
-        F.round(start + F.col("width"), 6).alias("bin_end"),
+        start.alias("bin_start"),
+        (start + F.col("width")).alias("bin_end"),
         "n_rows",
-        F.round(
-            F.try_divide(F.col("n_rows").cast("double"), F.col("n") * F.col("width")), 12
-        ).alias("density"),
+        F.try_divide(F.col("n_rows").cast("double"), F.col("n") * F.col("width")).alias("density"),
     )
 
 
 def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Gaussian density curve of each metric with Scott's bandwidth, on an even grid.
 
-    A value contributes to the grid points its kernel reaches, which are few for large inputs
-    because the bandwidth shrinks with the row count. All contributions of a task combine into at
-    most one row per grid point before the shuffle.
+    A value contributes to the grid points its kernel reaches, weighted by how often it occurs:
+    recency and frequency have few distinct values, which are counted first. All contributions of a
+    task combine into at most one row per grid point before the shuffle.
     """
     if not _is_small(metrics):
         # Read twice below.
@@ -285,7 +353,7 @@ def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFr
     x = F.col("start") + F.col("point") * F.col("step")
     z = (x - F.col("value")) / F.col("h")
     sums = (
-        _values(metrics)
+        _weighted_values(metrics)
         .join(F.broadcast(layout), "metric")
         .withColumn(
             "point",
@@ -294,7 +362,7 @@ def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFr
             ),
         )
         .groupBy("metric", "point")
-        .agg(F.sum(F.exp(-0.5 * z * z)).alias("mass"))
+        .agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("mass"))
     )
     grid = layout.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS - 1))))
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
@@ -302,6 +370,6 @@ def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFr
     return grid.join(F.broadcast(sums), ["metric", "point"], "left").select(
         "metric",
         "point",
-        F.round(x, 6).alias("x"),
-        F.round(F.coalesce("mass", F.lit(0.0)) / norm, 12).alias("density"),
+        x.alias("x"),
+        (F.coalesce("mass", F.lit(0.0)) / norm).alias("density"),
     )

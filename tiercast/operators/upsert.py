@@ -8,10 +8,12 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tiercast.config import LOG_SOURCE
 from tiercast.functions.timestamps import wall_clock
-from tiercast.sources.snapshot import KEYS, SNAPSHOT_SCHEMA, read_dates, stored_folders
+from tiercast.sources.snapshot import KEYS, SNAPSHOT_SCHEMA, read_folders, stored_folders
 
 
 class UpsertRule(NamedTuple):
@@ -21,6 +23,7 @@ class UpsertRule(NamedTuple):
     stamps_inserts: bool
 
 
+# The columns that a conflict replaces.
 METRIC_COLUMNS = (
     "recency_days",
     "frequency_orders",
@@ -40,17 +43,28 @@ def with_logs(batch: DataFrame) -> DataFrame:
     return batch.withColumn("logs", F.to_json(F.struct(F.lit(LOG_SOURCE).alias("source"))))
 
 
-def _checked_keys(run_dates: Sequence[dt.date]) -> dict[str, Column]:
+def _checked_keys(run_dates: Sequence[dt.date], customer_type: T.DataType) -> dict[str, Column]:
     """The key columns, failing the write on a row that has no place in the target."""
     day, customer = F.col("run_date"), F.col("customer_id")
     misplaced = F.raise_error(F.lit("run_date is not among the dates of this upsert"))
     anonymous = F.raise_error(F.lit("customer_id must not be NULL in the snapshot table"))
     return {
         "run_date": F.when(day.isin(list(run_dates)), day).otherwise(misplaced.cast("date")),
-        "customer_id": F.when(customer.isNotNull(), customer).otherwise(anonymous.cast("bigint")),
+        "customer_id": F.when(customer.isNotNull(), customer).otherwise(anonymous.cast(customer_type)),
     }
 
 
+def _distinct_keys(batch: DataFrame) -> DataFrame:
+    """The batch, failing the write on a key that it holds twice.
+
+    A later join on the keys finds the rows partitioned and sorted already.
+    """
+    count = F.count(F.lit(1)).over(Window.partitionBy(*KEYS))
+    twice = F.raise_error(F.lit("a customer occurs twice for one run_date")).cast("boolean")
+    once = F.when(F.col("_count") == 1, F.lit(True)).otherwise(twice)
+    return batch.withColumn("_count", count).where(once).drop("_count")
+
+
 def merged(existing: DataFrame, batch: DataFrame, rule: UpsertRule, stamp: Column) -> DataFrame:
     """All rows of the affected partitions after the upsert, and whether the batch held them.
 
@@ -101,17 +115,23 @@ def upsert(
     run_dates: Sequence[dt.date],
     rule: UpsertRule,
     run_ts: dt.datetime,
-) -> int:
-    """Insert or update the batch by (run_date, customer_id); returns the batch's row count.
+    unique_keys: bool = False,
+) -> dict[dt.date, int]:
+    """Insert or update the batch by (run_date, customer_id); returns its row count per date.
 
     Only the partitions of ``run_dates`` are read and replaced, in one write job. Rows of those
-    partitions that the batch does not hold are kept. ``batch`` must have unique keys.
+    partitions that the batch does not hold are kept. A batch that holds a key twice fails and
+    leaves the table as it was; ``unique_keys`` leaves the check out for plans that group by key.
     """
     spark = batch.sparkSession
     stamp = wall_clock(run_ts)
-    batch = batch.withColumns(_checked_keys(run_dates))
-    if stored_folders(spark, path, run_dates):
-        rows = merged(read_dates(spark, path, run_dates), batch, rule, stamp)
+    customer_type = batch.schema["customer_id"].dataType
+    batch = batch.withColumns(_checked_keys(run_dates, customer_type))
+    if not unique_keys:
+        batch = _distinct_keys(batch)
+    folders = stored_folders(spark, path, run_dates)
+    if folders:
+        rows = merged(read_folders(spark, path, folders, customer_type), batch, rule, stamp)
     else:
         rows = inserted(batch, rule, stamp)
 
@@ -120,7 +140,11 @@ def upsert(
         rows = rows.hint("rebalance", F.col("run_date"))
     # Counted in the writing stage itself, where each finished task counts once.
     written = Observation()
-    rows = rows.observe(written, F.count_if("_given").alias("records"))
+    # With a bin for every date the histogram is an exact count per date.
+    per_date = F.histogram_numeric(
+        F.when(F.col("_given"), F.unix_date("run_date")), F.lit(max(len(run_dates), 2))
+    )
+    rows = rows.observe(written, per_date.alias("records"))
     (
         rows.drop("_given")
         .write.mode("overwrite")
@@ -128,4 +152,6 @@ def upsert(
         .partitionBy("run_date")
         .parquet(path)
     )
-    return written.get["records"]
+    counted = {row["x"]: int(row["y"]) for row in written.get["records"] or ()}
+    epoch = dt.date(1970, 1, 1)
+    return {day: counted.get((day - epoch).days, 0) for day in run_dates}

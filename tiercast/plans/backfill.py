@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiercast.config import DailyConfig
+from tiercast.config import CALENDAR, ELAPSED, DailyConfig
 from tiercast.operators.metrics import accepted_orders, customer_metrics_as_of
 from tiercast.operators.quintiles import add_scores
 from tiercast.operators.scratch import Scratch
-from tiercast.plans.daily import with_core_labels, with_recency
+from tiercast.plans.daily import with_core_labels, with_detailed_labels, with_recency
 
 
 def rfm_backfill(
@@ -20,14 +20,16 @@ def rfm_backfill(
     last: dt.date,
     config: DailyConfig,
     scratch: Scratch | None = None,
+    detailed: bool = False,
 ) -> DataFrame:
-    """The daily plan for every date in [first, last], each from the orders up to that date."""
+    """The daily plan for every date in [first, last], each from the orders up to that date and
+    those without a date."""
     if first > last:
         raise ValueError("first must not be after last")
-    config = config.resolved()
+    config = config.resolved(ELAPSED if detailed else CALENDAR)
     accepted = accepted_orders(orders, config.excluded_status)
     base = with_recency(
         customer_metrics_as_of(accepted, first, last), F.col("run_date"), config.recency_mode
     )
     scores = add_scores(base, config.strategy, scratch=scratch)
-    return with_core_labels(scores)
+    return with_detailed_labels(scores) if detailed else with_core_labels(scores)

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tiercast.config import CALENDAR, ELAPSED, DailyConfig
-from tiercast.functions.timestamps import wall_clock
 from tiercast.operators import statistics
 from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import rfm_base, scored, with_core_labels, with_detailed_labels
-from tiercast.sources.snapshot import read_dates
 
 STATISTICS = (
     statistics.metric_correlation,
@@ -26,6 +23,18 @@ STATISTICS = (
 )
 
 
+# These read the measures of all pairs, which come from one aggregation.
+OF_PAIRS = STATISTICS[:3]
+
+
+def _batch(rows: DataFrame, detailed: bool):
+    return (with_logs(rows), DETAILED) if detailed else (rows, CORE)
+
+
+def _summary(spark: SparkSession, records: dict[dt.date, int]) -> DataFrame:
+    return plan_table(spark, [{"run_date": day, "records": n} for day, n in records.items()])
+
+
 def run(
     orders: DataFrame,
     target: str,
@@ -35,8 +44,8 @@ def run(
 ) -> DataFrame:
     """Write the run date's snapshot and return one row: the date and the records processed.
 
-    With ``statistics_path`` the statistics tables are written there too, one folder each. The
-    orders are then aggregated once, into a staged table that everything else reads.
+    With ``statistics_path`` the statistics tables are written there too, one folder each, after the
+    snapshot. The orders are then aggregated once, into a staged table that everything else reads.
     """
     spark = orders.sparkSession
     config = config.resolved(ELAPSED if detailed else CALENDAR)
@@ -44,16 +53,16 @@ def run(
         base = rfm_base(orders, config)
         if statistics_path is not None:
             base = stage_with_keys(base, scratch)
+        scores = scored(base, config, scratch)
+        labels = with_detailed_labels if detailed else with_core_labels
+        batch, rule = _batch(labels(scores), detailed)
+        records = upsert(batch, target, [config.run_date], rule, config.run_ts, unique_keys=True)
+        if statistics_path is not None:
+            pairs = scratch.stage(statistics.pair_measures(base), "pairs")
             for measure in STATISTICS:
-                table = measure(base).coalesce(1)
+                table = measure(pairs if measure in OF_PAIRS else base)
                 table.write.mode("overwrite").parquet(f"{statistics_path}/{measure.__name__}")
-        scores = scored(base, config, scratch)
-        if detailed:
-            batch, rule = with_logs(with_detailed_labels(scores)), DETAILED
-        else:
-            batch, rule = with_core_labels(scores), CORE
-        records = upsert(batch, target, [config.run_date], rule, config.run_ts)
-    return plan_table(spark, [{"run_date": config.run_date, "records": records}])
+    return _summary(spark, records)
 
 
 def run_backfill(
@@ -62,19 +71,15 @@ def run_backfill(
     first: dt.date,
     last: dt.date,
     config: DailyConfig = DailyConfig(),
+    detailed: bool = False,
 ) -> DataFrame:
-    """Write the core snapshots of every date in [first, last] in one job and return one row per
-    date: the date and the records processed, counted by this run's time stamp."""
+    """Write the snapshots of every date in [first, last] in one job and return one row per date:
+    the date and the records processed, counted while they were written."""
     spark = orders.sparkSession
-    config = config.resolved()
+    config = config.resolved(ELAPSED if detailed else CALENDAR)
     run_dates = [first + dt.timedelta(days=day) for day in range((last - first).days + 1)]
     with Scratch(spark) as scratch:
-        batch = rfm_backfill(orders, first, last, config, scratch)
-        upsert(batch, target, run_dates, CORE, config.run_ts)
-    stamp = wall_clock(config.run_ts)
-    return (
-        read_dates(spark, target, run_dates)
-        .where(F.coalesce("updated_at", "created_at") == stamp)
-        .groupBy("run_date")
-        .agg(F.count(F.lit(1)).alias("records"))
-    )
+        rows = rfm_backfill(orders, first, last, config, scratch, detailed)
+        batch, rule = _batch(rows, detailed)
+        records = upsert(batch, target, run_dates, rule, config.run_ts, unique_keys=True)
+    return _summary(spark, records)

@@ -11,14 +11,16 @@ SECOND_RUN = "timestamp '2001-08-02 14:30:00'"
 
 ORDERS = """
     select o_custkey as who, o_orderkey as what, o_orderdate as placed,
-           cast(o_totalprice as decimal(18,2)) as amount
+           cast(o_totalprice as decimal(28,6)) as amount
     from orders where o_orderstatus <> 'P'
 """
 EVENTS = """
-    select user_id as who, event_id as what, ts as placed, cast(value as decimal(18,2)) as amount
+    select user_id as who, event_id as what, ts as placed, cast(value as decimal(28,6)) as amount
     from events where event_type <> 'error'
 """
 EVENT_TYPES = EVENTS.replace("user_id", "cast(ascii(event_type) as bigint)")
+TEXT_KEYS = ORDERS.replace("o_custkey as who", "'customer-of-the-shop-' || o_custkey as who")
+SINGLE_ORDERS = ORDERS.replace("o_custkey as who", "o_orderkey as who")
 
 # Rule number, label, then the inclusive limits of the three scores.
 CORE_RULES = """(values
@@ -147,6 +149,7 @@ def _upsert(daily, replaced: list[str], kept: list[str], stamps_inserts: bool, l
 UPSERTED = [name.strip() for name in f"{METRICS}, {SCORES}, rfm_segment".split(",")]
 
 ORDER_METRICS = _with_days(ORDERS, ORDERS_DAY)
+SINGLE_METRICS = _with_days(SINGLE_ORDERS, ORDERS_DAY)
 EVENT_METRICS = _with_days(EVENTS, EVENTS_DAY)
 EVENT_METRICS_ELAPSED = _with_days(EVENTS, EVENTS_DAY, elapsed=True)
 
@@ -172,27 +175,40 @@ def _pairs(measures: str, metrics: str = ORDER_METRICS) -> str:
     )
 
 
-CORRELATION = f"""
-    select x, y, round(r, 6) as r, format('r = {{:.2f}}', r) as label
-    from ({_pairs("corr(b, a) as r")})
-"""
+def _digits(value: str) -> str:
+    """Nine significant digits."""
+    return f"cast(format('{{:.8e}}', {value}) as double)"
+
+
+# A pair in which one metric never changes has no correlation.
+R = "case when var_pop(a) > 0 and var_pop(b) > 0 then corr(b, a) end as r"
+
+
+def _correlation(metrics: str) -> str:
+    return f"""
+    select x, y, {_digits("r")} as r, format('r = {{:.2f}}', r) as label
+    from ({_pairs(R, metrics)})
+    """
+
 
 REGRESSION = _pairs(
-    "round(regr_slope(b, a), 6) as slope, round(regr_intercept(b, a), 6) as intercept, "
-    "round(regr_r2(b, a), 6) as r2, cast(regr_count(b, a) as bigint) as n"
+    f"{_digits('regr_slope(b, a)')} as slope, {_digits('regr_intercept(b, a)')} as intercept, "
+    f"{_digits('regr_r2(b, a)')} as r2, cast(regr_count(b, a) as bigint) as n"
 )
 
+
 def _significance(metrics: str) -> str:
-    """Student's t density summed by Simpson's rule over [t, t + 60]."""
-    measured = _pairs("cast(regr_count(b, a) as bigint) as n, corr(b, a) as r", metrics)
-    return f"""
-    select x, y, n, round(r, 6) as r,
-           round(2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * 0.01 / 3
+    """Student's t density summed by Simpson's rule, as far as the density falls by e^45."""
+    measured = _pairs(f"cast(regr_count(b, a) as bigint) as n, {R}", metrics)
+    p_value = """2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * step / 3
              * list_sum(list_transform(range(0, 6001), lambda i:
                  (case when i in (0, 6000) then 1 when i % 2 = 1 then 4 else 2 end)
-                 * pow(1 + pow(t + i * 0.01, 2) / v, -(v + 1) / 2))), 6) as p_value
-    from (select *, cast(n - 2 as double) as v, abs(r) * sqrt((n - 2) / (1 - r * r)) as t
-          from ({measured}))
+                 * pow(1 + pow(t + i * step, 2) / v, -(v + 1) / 2)))"""
+    return f"""
+    select x, y, n, {_digits("r")} as r, {_digits(p_value)} as p_value
+    from (select *, least(60, 45 * (v + t * t) / ((v + 1) * greatest(t, 1e-9))) / 6000 as step
+          from (select *, cast(n - 2 as double) as v, abs(r) * sqrt((n - 2) / (1 - r * r)) as t
+                from ({measured})))
     """
 
 
@@ -201,7 +217,7 @@ HISTOGRAM = f"""
     extent as (
         select metric, count(value) as n, min(value) as lo, max(value) as hi,
                2 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25))
-                 / cbrt(count(value)) as step
+                 / pow(count(value), 1 / 3.0) as step
         from vals group by metric),
     layout as (
         select *, (hi - lo) / bins as width
@@ -212,9 +228,9 @@ HISTOGRAM = f"""
         select metric, n, lo, width,
                cast(least(floor((value - lo) / width), bins - 1) as int) as bin
         from vals join layout using (metric))
-    select metric, bin, round(lo + bin * width, 6) as bin_start,
-           round(lo + bin * width + width, 6) as bin_end, count(*) as n_rows,
-           round(count(*) / (n * width), 12) as density
+    select metric, bin, {_digits("lo + bin * width")} as bin_start,
+           {_digits("lo + bin * width + width")} as bin_end, count(*) as n_rows,
+           {_digits("count(*) / (n * width)")} as density
     from placed group by metric, bin, lo, width, n
 """
 
@@ -228,26 +244,33 @@ DENSITY = f"""
         select metric, n, h, cast(point as int) as point,
                lo - 3 * h + point * ((hi - lo + 6 * h) / 99) as spot
         from extent cross join range(0, 100) as points(point))
-    select metric, point, round(spot, 6) as x,
-           round(sum(exp(-0.5 * pow((spot - value) / h, 2))) / (n * h * sqrt(2 * pi())), 12)
+    select metric, point, {_digits("spot")} as x,
+           {_digits("sum(exp(-0.5 * pow((spot - value) / h, 2))) / (n * h * sqrt(2 * pi()))")}
              as density
     from grid join vals using (metric)
     group by metric, point, spot, n, h
 """
 
 BACKFILL_METRICS = f"""
-    select run_date, customer_id,
+    select run_date, customer_id, newest,
            cast(date_diff('day', cast(newest as date), run_date) as int) as recency_days,
            frequency_orders, spent, cast(spent as double) as monetary_value
     from (select cast(day as date) as run_date, who as customer_id, max(placed) as newest,
                  count(what) as frequency_orders, sum(amount) as spent
           from ({ORDERS})
           join generate_series(date '2001-07-30', date '2001-08-02', interval 1 day) as days(day)
-            on cast(placed as date) <= day
+            on cast(placed as date) <= day or placed is null
           group by day, who)
 """
 
 
+BACKFILL_ELAPSED = f"""
+    select * replace (cast(date_part('day', cast(run_date as timestamp) - newest) as int)
+                      as recency_days)
+    from ({BACKFILL_METRICS})
+"""
+
+
 def _scores(metrics: str) -> str:
     return f"select run_date, customer_id, {SCORES} from ({_with_scores(metrics)})"
 
@@ -267,7 +290,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "filter_status": """
             select o_custkey as customer_id, o_orderkey as order_id, o_orderdate as created_at,
-                   cast(cast(o_totalprice as decimal(18,2)) as double) as total,
+                   cast(cast(o_totalprice as decimal(28,6)) as double) as total,
                    o_orderstatus as status
             from orders where o_orderstatus <> 'P'
         """,
@@ -282,6 +305,8 @@ def oracle_sql() -> dict[str, str]:
         "scores": _scores(ORDER_METRICS),
         "scores_distributed": _scores(ORDER_METRICS),
         "scores_small": _scores(_with_days(EVENT_TYPES, EVENTS_DAY)),
+        "scores_text_keys": _scores(_with_days(TEXT_KEYS, ORDERS_DAY)),
+        "scores_text_keys_distributed": _scores(_with_days(TEXT_KEYS, ORDERS_DAY)),
         "segment_core": _label("rfm_segment", _behaviour(CORE_RULES)),
         "segment_detailed": _label("comments", _behaviour(DETAILED_RULES)),
         "score_tier": _label("rfm_segment", TIER),
@@ -299,7 +324,9 @@ def oracle_sql() -> dict[str, str]:
         "run_summary": f"""
             select {ORDERS_DAY} as run_date, count(distinct who) as records from ({ORDERS})
         """,
-        "metric_correlation": CORRELATION,
+        "metric_correlation": _correlation(ORDER_METRICS),
+        "metric_correlation_constant": _correlation(SINGLE_METRICS),
+        "metric_significance_constant": _significance(SINGLE_METRICS),
         "metric_significance": _significance(ORDER_METRICS),
         "metric_significance_events": _significance(EVENT_METRICS),
         "metric_regression": REGRESSION,
@@ -308,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_density": DENSITY,
         "rfm_backfill": _daily(BACKFILL_METRICS),
         "rfm_backfill_distributed": _daily(BACKFILL_METRICS),
+        "rfm_backfill_detailed": _detailed(BACKFILL_ELAPSED),
         "backfill_summary": f"""
             select run_date, count(*) as records from ({BACKFILL_METRICS}) group by run_date
         """,

@@ -35,6 +35,10 @@ ORDERS = OrderColumns("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
 EVENTS = OrderColumns("user_id", "event_id", "ts", "value", "event_type")
 # Four keys that hold all accepted rows between them: fewer customers than score buckets.
 EVENT_TYPES = replace(EVENTS, customer_id="ascii(event_type)")
+# Text keys that differ only after many bytes.
+TEXT_KEYS = replace(ORDERS, customer_id="concat('customer-of-the-shop-', o_custkey)")
+# One order per customer, so that the frequency is constant.
+SINGLE_ORDERS = replace(ORDERS, customer_id="o_orderkey")
 
 ORDERS_DAY = DailyConfig(dt.date(2001, 8, 2), excluded_status="P")
 EVENTS_DAY = DailyConfig(dt.date(2024, 1, 31), excluded_status="error")
@@ -50,8 +54,8 @@ SECOND_RUN = dt.datetime(2001, 8, 2, 14, 30)
 SCORE_COLUMNS = ("run_date", "customer_id", "r_score", "f_score", "m_score", "rfm_score")
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_orders(spark, f"{sf_dir}/orders.parquet", ORDERS)
+def _orders(spark: SparkSession, sf_dir: str, columns: OrderColumns = ORDERS) -> DataFrame:
+    return read_orders(spark, f"{sf_dir}/orders.parquet", columns)
 
 
 def _events(spark: SparkSession, sf_dir: str, columns: OrderColumns = EVENTS) -> DataFrame:
@@ -62,6 +66,17 @@ def _with_money(frame: DataFrame, column: str = "monetary_value") -> DataFrame:
     return frame.withColumn(column, F.col(column).cast("double"))
 
 
+def _comparable(frame: DataFrame) -> DataFrame:
+    """Doubles with nine significant digits, which sums in any order agree on."""
+    return frame.withColumns(
+        {
+            name: F.when(F.col(name).isNotNull(), F.format_string("%.8e", name).cast("double"))
+            for name, kind in frame.dtypes
+            if kind == "double"
+        }
+    )
+
+
 def filter_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = accepted_orders(_orders(spark, sf_dir), ORDERS_DAY.excluded_status)
     return _with_money(accepted, "total")
@@ -80,9 +95,10 @@ def _recency(config: DailyConfig) -> Query:
     return query
 
 
-def _scores(config: DailyConfig) -> Query:
+def _scores(config: DailyConfig, columns: OrderColumns = ORDERS) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return scored(rfm_base(_orders(spark, sf_dir), config), config).select(*SCORE_COLUMNS)
+        base = rfm_base(_orders(spark, sf_dir, columns), config)
+        return scored(base, config).select(*SCORE_COLUMNS)
 
     return query
 
@@ -146,21 +162,25 @@ def backfill_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_backfill(_orders(spark, sf_dir), target, *BACKFILL, ORDERS_DAY)
 
 
-def _statistic(measure: Callable[..., DataFrame], **options) -> Query:
+def _statistic(
+    measure: Callable[..., DataFrame], columns: OrderColumns = ORDERS, **options
+) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return measure(rfm_base(_orders(spark, sf_dir), ORDERS_DAY), **options)
+        base = rfm_base(_orders(spark, sf_dir, columns), ORDERS_DAY)
+        return _comparable(measure(base, **options))
 
     return query
 
 
 def significance_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Unlike those of the orders, these p-values do not all round to zero.
-    return statistics.metric_significance(rfm_base(_events(spark, sf_dir), EVENTS_DAY))
+    # Unlike those of the orders, these p-values are not all tiny.
+    base = rfm_base(_events(spark, sf_dir), EVENTS_DAY)
+    return _comparable(statistics.metric_significance(base))
 
 
-def _backfill(config: DailyConfig) -> Query:
+def _backfill(config: DailyConfig, detailed: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rfm_backfill(_orders(spark, sf_dir), *BACKFILL, config)
+        return rfm_backfill(_orders(spark, sf_dir), *BACKFILL, config, detailed=detailed)
 
     return query
 
@@ -176,6 +196,8 @@ def queries() -> dict[str, Query]:
         "scores": _scores(ORDERS_DAY),
         "scores_distributed": _scores(distributed),
         "scores_small": scores_small,
+        "scores_text_keys": _scores(ORDERS_DAY, TEXT_KEYS),
+        "scores_text_keys_distributed": _scores(distributed, TEXT_KEYS),
         "segment_core": _label("rfm_segment", core_behaviour),
         "segment_detailed": _label("comments", detailed_behaviour),
         "score_tier": _label("rfm_segment", score_tier),
@@ -190,6 +212,8 @@ def queries() -> dict[str, Query]:
         "metric_correlation": _statistic(statistics.metric_correlation),
         "metric_significance": _statistic(statistics.metric_significance),
         "metric_significance_events": significance_events,
+        "metric_correlation_constant": _statistic(statistics.metric_correlation, SINGLE_ORDERS),
+        "metric_significance_constant": _statistic(statistics.metric_significance, SINGLE_ORDERS),
         "metric_regression": _statistic(statistics.metric_regression),
         "metric_histogram": _statistic(statistics.metric_histogram),
         "metric_histogram_distributed": _statistic(
@@ -198,5 +222,6 @@ def queries() -> dict[str, Query]:
         "metric_density": _statistic(statistics.metric_density),
         "rfm_backfill": _backfill(ORDERS_DAY),
         "rfm_backfill_distributed": _backfill(distributed),
+        "rfm_backfill_detailed": _backfill(ORDERS_DAY, detailed=True),
         "backfill_summary": backfill_summary,
     }

@@ -13,6 +13,7 @@ from tiercast.operators.scratch import hadoop_path
 
 KEYS = ("run_date", "customer_id")
 
+# The columns of the stored table.
 SNAPSHOT_SCHEMA = T.StructType(
     [
         T.StructField("run_date", T.DateType()),
@@ -33,33 +34,48 @@ SNAPSHOT_SCHEMA = T.StructType(
 )
 
 
-def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+def snapshot_schema(customer_type: T.DataType) -> T.StructType:
+    """The columns of a table whose customers have ids of this type."""
+    return T.StructType(
+        [
+            T.StructField(f.name, customer_type if f.name == "customer_id" else f.dataType)
+            for f in SNAPSHOT_SCHEMA
+        ]
+    )
+
+
+def _read(
+    spark: SparkSession, path: str, folders: list[str], customer_type: T.DataType
+) -> DataFrame:
+    schema = snapshot_schema(customer_type)
     if not folders:
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA]
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         return spark.range(0).select(*nothing)
     # The explicit schema keeps run_date a date instead of an inferred type.
-    reader = spark.read.option("basePath", path).schema(SNAPSHOT_SCHEMA)
-    return reader.parquet(*folders).select(*SNAPSHOT_SCHEMA.fieldNames())
-
-
-def _present(spark: SparkSession, folders: list[str]) -> list[str]:
-    def exists(folder: str) -> bool:
-        location, files = hadoop_path(spark, folder)
-        return files.exists(location)
+    reader = spark.read.option("basePath", path).schema(schema)
+    return reader.parquet(*folders).select(*schema.fieldNames())
 
-    return [folder for folder in folders if exists(folder)]
 
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(
+    spark: SparkSession, path: str, customer_type: T.DataType = T.LongType()
+) -> DataFrame:
     """The stored snapshot, empty if nothing has been written yet."""
-    return _read(spark, path, _present(spark, [path]))
+    location, files = hadoop_path(spark, path)
+    return _read(spark, path, [path] if files.exists(location) else [], customer_type)
 
 
 def stored_folders(spark: SparkSession, path: str, run_dates: Sequence[dt.date]) -> list[str]:
-    """The partitions of these dates that exist."""
-    return _present(spark, [f"{path}/run_date={day.isoformat()}" for day in run_dates])
-
-
-def read_dates(spark: SparkSession, path: str, run_dates: Sequence[dt.date]) -> DataFrame:
-    """The stored rows of these dates. Files of other dates are not even listed."""
-    return _read(spark, path, stored_folders(spark, path, run_dates))
+    """The partitions of these dates that exist, from one listing of the table's folder."""
+    location, files = hadoop_path(spark, path)
+    if not files.exists(location):
+        return []
+    stored = {entry.getPath().getName() for entry in files.listStatus(location)}
+    names = [f"run_date={day.isoformat()}" for day in run_dates]
+    return [f"{path}/{name}" for name in names if name in stored]
+
+
+def read_folders(
+    spark: SparkSession, path: str, folders: list[str], customer_type: T.DataType
+) -> DataFrame:
+    """The stored rows of these partitions. Files of other dates are not even listed."""
+    return _read(spark, path, folders, customer_type)
