@@ -20,7 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Text that one step of a Python worker holds in its numpy arrays.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def whole_text(name: str = "text") -> Column:

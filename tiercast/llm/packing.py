@@ -32,6 +32,7 @@ SEQUENCE = 2048
 HASHED, DIMENSIONS, BITS = 1024, 4, 12
 # Documents whose hashed vectors are held at a time.
 ROWS = 256
+ROW_GROUP_BYTES = 16 << 20
 
 
 def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -112,7 +113,7 @@ def _tokenised(docs: DataFrame, scratch: Scratch, tokenizer: str, end_id: int) -
     narrow = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     kind = narrow.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, ids binary, n long, place long"
-    return scratch.stage(in_arrow(narrow, encode, schema), "tokens")
+    return scratch.stage(in_arrow(narrow, encode, schema), "tokens", ROW_GROUP_BYTES)
 
 
 def _starts(staged: DataFrame, scratch: Scratch) -> DataFrame:

@@ -26,23 +26,24 @@ JOINED = 256
 # Longer pieces are known by a digest.
 SHORT = 64
 
-_SPACE, _NEWLINE = 32, 10
 _U = np.uint64
 
 
-def _bytes_in(*ranges: tuple[int, int]) -> np.ndarray:
-    table = np.zeros(256, bool)
-    for low, high in ranges:
-        table[low : high + 1] = True
-    return table
-
-
-_ALNUM = _bytes_in((48, 57), (65, 90), (97, 122))
-# ASCII punctuation but the apostrophe, which starts contractions.
-_MARK = _bytes_in((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))
-# Bytes that start a character which is certainly no white space.
-_SOLID = _bytes_in((33, 126), (0xC3, 0xE0), (0xE4, 0xF4))
-_UPPER = _bytes_in((65, 90))
+# What a byte is, as bits: a letter or digit of ASCII; punctuation of ASCII but the apostrophe,
+# which starts contractions; the start of a character that is certainly no white space; a space or
+# newline; an upper-case letter of ASCII; part of a character beyond ASCII.
+_ALNUM, _MARK, _SOLID, _GAP, _UPPER, _WIDE = (1 << i for i in range(6))
+_KIND = np.zeros(256, np.uint8)
+for _kind, _ranges in (
+    (_ALNUM, ((48, 57), (65, 90), (97, 122))),
+    (_MARK, ((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))),
+    (_SOLID, ((33, 126), (0xC3, 0xE0), (0xE4, 0xF4))),
+    (_GAP, ((32, 32), (10, 10))),
+    (_UPPER, ((65, 90),)),
+    (_WIDE, ((128, 255),)),
+):
+    for _low, _high in _ranges:
+        _KIND[_low : _high + 1] |= _kind
 
 
 class Encoded(NamedTuple):
@@ -162,34 +163,32 @@ class Encoder:
         """The bytes of all texts, start and end of each piece, and the pieces of each text."""
         data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        counts = np.zeros(len(texts), np.int64)
+        if not len(data):
+            return data, counts[:0], counts[:0], counts
         text_starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        kind = _KIND[data]
+        before, here = kind[:-1], kind[1:]
         cut = np.zeros(len(data), bool)
-        if len(data):
-            before, here = data[:-1], data[1:]
-            mark, alnum = _MARK[data], _ALNUM[data]
-            cut[1:] = (mark[1:] & alnum[:-1]) | (alnum[1:] & mark[:-1])
-            gap = (before == _SPACE) | (before == _NEWLINE)
-            last = np.zeros(len(data), bool)
-            last[text_starts[1:] - 1] = True
-            # A space belongs to the word that follows it, not to the one before a text's end.
-            cut[:-1] |= gap & _SOLID[here] & ~last[:-1]
-            cut[text_starts] = True
+        # Between a word and punctuation, either way round.
+        cut[1:] = (before | here) & (_ALNUM | _MARK) == _ALNUM | _MARK
+        cut[1:] &= before & (_ALNUM | _MARK) != 0
+        cut[1:] &= here & (_ALNUM | _MARK) != 0
+        # A space belongs to the word that follows it, in the same text.
+        leads = (before & _GAP != 0) & (here & _SOLID != 0)
+        leads[text_starts[1:] - 1] = False
+        cut[:-1] |= leads
+        cut[text_starts] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], len(data))[: len(starts)]
-        counts = np.zeros(len(texts), np.int64)
+        ends = np.append(starts[1:], len(data))
         counts[sizes > 0] = np.diff(np.append(np.searchsorted(starts, text_starts), len(starts)))
-        if self._drops_space and len(starts):
-            head = data[starts]
-            starts = starts + ((head == _SPACE) | (head == _NEWLINE))
-        if self._ignores_case and len(starts):
+        if self._ignores_case:
             # Only in pieces of ASCII, where case has nothing to do with composed characters.
-            wide = np.concatenate([[0], np.cumsum(data >= 128)])
-            plain = wide[ends] == wide[starts]
-            edges = np.zeros(len(data) + 1, np.int8)
-            np.add.at(edges, starts[plain], 1)
-            np.add.at(edges, ends[plain], -1)
-            within = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
-            data = np.where(within & _UPPER[data], data + np.uint8(32), data)
+            plain = np.bitwise_or.reduceat(kind, starts) & _WIDE == 0
+            upper = np.repeat(plain, ends - starts) & (kind & _UPPER != 0)
+            data = data + upper.astype(np.uint8) * np.uint8(32)
+        if self._drops_space:
+            starts = starts + (kind[starts] & _GAP != 0)
         return data, starts, ends, counts
 
     def _encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
