@@ -5,9 +5,11 @@ representatives' signatures are cut into bands; texts that agree on a band share
 bucket is expanded into pairs: its smallest member is its hub, each other member is compared with
 the hub by exact weighted Jaccard similarity of their whole texts, and links form components.
 Where a bucket then still holds several components, members outside its largest one become hubs in
-turn until it holds one component or every pair across components has been compared. So a pair in
-one bucket that is similar enough always ends up in one component, whatever the size of the bucket;
-true copies need one comparison each.
+turn until it holds one component or every pair across components that can be similar has been
+compared. Whether it can is bounded without a comparison: shingles that only one text of all open
+buckets has are shared with none of them, so the weight of the others limits what a pair can share.
+So a pair in one bucket that is similar enough always ends up in one component, whatever the size of
+the bucket; true copies need one comparison each.
 
 With 32 bands of 6, a pair at similarity 0.8 misses all buckets in 6 of 100,000 cases, and ones
 above that less often.
@@ -34,6 +36,8 @@ from tiercast.operators.scratch import Scratch
 
 LEAST_SIMILARITY = 0.8
 COORDINATES, BANDS = 192, 32
+# For the rounding of bounds that are compared with whole weights.
+SLACK = 1e-6
 # Further hubs a bucket uses at once, four times as many with each round.
 HUBS = 4
 
@@ -106,39 +110,66 @@ def _links(
     # Only texts in some bucket with others are ever compared.
     candidates = scratch.stage(entries.select(F.col("rep").alias("row")).distinct(), "candidates")
     texts = scratch.stage(
-        rows.select("row", F.col("doc.text").alias("text")).join(candidates, "row"), "texts"
+        # The same join at any size, so that its cost is in proportion.
+        rows.select("row", F.col("doc.text").alias("text")).join(candidates.hint("merge"), "row"),
+        "texts",
     )
     links = scratch.stage(_verified(pairs, texts, least), "links-0")
     tested, step, open_ = pairs, 0, entries.select("band", "key", "rep")
+    rooted = scratch.stage(components(links, scratch, "components-0"), "rooted-0")
+    open_ = _open_buckets(open_, rooted, scratch, "open-0")
+    if open_ is None:
+        return rooted
+    weights = scratch.stage(_weights(open_, texts), "weights")
+    # What a text shares with another is at most what it shares with any.
+    alike = F.col("shared") >= least * F.col("total") - SLACK
+    open_ = open_.join(weights.where(alike), "rep").select("band", "key", "rep", "total", "shared")
     while True:
-        rooted = components(links, scratch, f"components-{step}")
-        rooted = scratch.stage(rooted, f"rooted-{step}")
-        hubs, open_ = _open_buckets(open_, rooted, HUBS << (2 * step), scratch, step)
-        if hubs is None:
+        open_ = _open_buckets(open_, rooted, scratch, f"open-{step + 1}")
+        if open_ is None:
             return rooted
         step += 1
+        hubs = _hubs(open_, HUBS << (2 * step), scratch, f"hubs-{step}")
+        can_share = F.least("shared", "hub_shared") * (1 + least)
+        both = F.col("total") + F.col("hub_total")
         met = (
-            open_.join(hubs, ["band", "key"])
-            .where(F.col("component") != F.col("hub_component"))
+            open_.join(
+                hubs,
+                (F.col("band") == F.col("hub_band"))
+                & (F.col("key") == F.col("hub_key"))
+                & (F.col("component") != F.col("hub_component"))
+                & (can_share >= least * both - SLACK),
+            )
             .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
             .distinct()
         )
         pairs = scratch.stage(met.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
         found = scratch.stage(_verified(pairs, texts, least), f"links-{step}")
         stars = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        links, tested = stars.unionAll(found), tested.unionAll(pairs)
+        if not found.isEmpty():
+            links = stars.unionAll(found)
+            rooted = components(links, scratch, f"components-{step}")
+            rooted = scratch.stage(rooted, f"rooted-{step}")
+        tested = tested.unionAll(pairs)
         # A hub has now met all others of its buckets.
-        used = hubs.select("band", "key", F.col("hub").alias("rep"))
-        open_ = open_.select("band", "key", "rep").join(used, ["band", "key", "rep"], "left_anti")
+        used = hubs.select(
+            F.col("hub_band").alias("band"), F.col("hub_key").alias("key"), F.col("hub").alias("rep")
+        )
+        open_ = open_.select("band", "key", "rep", "total", "shared").join(
+            used, ["band", "key", "rep"], "left_anti"
+        )
 
 
 def _open_buckets(
-    entries: DataFrame, rooted: DataFrame, width: int, scratch: Scratch, step: int
-) -> tuple[DataFrame | None, DataFrame]:
-    """The next hubs of the buckets with several components, and the members of those buckets."""
-    component = F.coalesce("root", "rep")
-    placed = entries.join(rooted, F.col("rep") == F.col("node"), "left").select(
-        "band", "key", "rep", component.alias("component")
+    entries: DataFrame, rooted: DataFrame, scratch: Scratch, name: str
+) -> DataFrame | None:
+    """The members of the buckets that hold several components, with their component and the
+    largest one of the bucket."""
+    placed = scratch.stage(
+        entries.join(rooted, F.col("rep") == F.col("node"), "left").select(
+            *entries.columns, F.coalesce("root", "rep").alias("component")
+        ),
+        f"{name}-placed",
     )
     largest = F.max(F.struct("members", "component"))["component"]
     buckets = scratch.stage(
@@ -148,19 +179,66 @@ def _open_buckets(
         .agg(F.count("*").alias("n_components"), largest.alias("largest"))
         .where(F.col("n_components") > 1)
         .drop("n_components"),
-        f"buckets-{step}",
+        f"{name}-buckets",
     )
     if buckets.isEmpty():
-        return None, entries
-    open_ = scratch.stage(placed.join(buckets, ["band", "key"]), f"open-{step}")
-    outside = open_.where(F.col("component") != F.col("largest"))
+        return None
+    return scratch.stage(placed.join(buckets, ["band", "key"]), name)
+
+
+def _hubs(open_: DataFrame, width: int, scratch: Scratch, name: str) -> DataFrame:
+    """Up to ``width`` members outside the largest component of each open bucket."""
     place = F.row_number().over(Window.partitionBy("band", "key").orderBy("rep"))
     hubs = (
-        outside.withColumn("place", place)
+        open_.where(F.col("component") != F.col("largest"))
+        .withColumn("place", place)
         .where(F.col("place") <= width)
-        .select("band", "key", F.col("rep").alias("hub"), F.col("component").alias("hub_component"))
+        .select(
+            F.col("band").alias("hub_band"),
+            F.col("key").alias("hub_key"),
+            F.col("rep").alias("hub"),
+            F.col("component").alias("hub_component"),
+            F.col("total").alias("hub_total"),
+            F.col("shared").alias("hub_shared"),
+        )
+    )
+    return scratch.stage(hubs, name)
+
+
+def _weights(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(rep, total, shared)``: the shingles of each text in open buckets, and those of them that
+    another such text has too."""
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in slices(batches, "text"):
+            for row, text in zip(part.column("row").to_pylist(), found):
+                elements, weights = darts.weighted(text)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row] * len(elements), pa.int64()),
+                        pa.array(elements.view("int64")),
+                        pa.array(weights, pa.int64()),
+                    ],
+                    ["rep", "shingle", "weight"],
+                )
+
+    rows = texts.join(open_.select(F.col("rep").alias("row")).distinct(), "row", "left_semi")
+    shingles = in_arrow(
+        rows.select("row", "text"), spread, "rep long, shingle long, weight long"
+    )
+    # One row per text and one per shingle that a single text holds; no list of holders is built.
+    alone = (
+        shingles.groupBy("shingle")
+        .agg(F.count("*").alias("holders"), F.min("rep").alias("rep"), F.min("weight").alias("own"))
+        .where(F.col("holders") == 1)
+        .groupBy(F.col("rep").alias("of"))
+        .agg(F.sum("own").alias("own"))
+    )
+    totals = shingles.groupBy("rep").agg(F.sum("weight").alias("total"))
+    shared = F.col("total") - F.coalesce("own", F.lit(0))
+    return totals.join(alone, F.col("rep") == F.col("of"), "left").select(
+        "rep", "total", shared.alias("shared")
     )
-    return scratch.stage(hubs, f"hubs-{step}"), open_
 
 
 def _classes(rows: DataFrame, least: float, scratch: Scratch) -> DataFrame:
