@@ -262,7 +262,7 @@ def test_text_customers_are_ordered_by_their_bytes(spark):
             for strategy in (WINDOW, DISTRIBUTED)
         ]
         assert found[0] == found[1]
-    scores = add_scores(rfm_base(orders, DailyConfig(RUN_DATE)), DISTRIBUTED, sort_rows=0).collect()
+    scores = add_scores(rfm_base(orders, DailyConfig(RUN_DATE)), DISTRIBUTED).collect()
     ranked = sorted(((r.customer_id or "").encode(), r.f_score) for r in scores if r.customer_id is not None)
     assert [score for _, score in ranked] == sorted(score for _, score in ranked)
 
