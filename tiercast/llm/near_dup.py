@@ -40,6 +40,8 @@ COORDINATES, BANDS = 192, 32
 SLACK = 1e-6
 # Further hubs a bucket uses at once, four times as many with each round.
 HUBS = 4
+# Below this mean number of pairs per member all hubs are used in one round.
+PAIRS_AT_ONCE = 64
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -117,7 +119,7 @@ def _links(
     links = scratch.stage(_verified(pairs, texts, least), "links-0")
     tested, step, open_ = pairs, 0, entries.select("band", "key", "rep")
     rooted = scratch.stage(components(links, scratch, "components-0"), "rooted-0")
-    open_ = _open_buckets(open_, rooted, scratch, "open-0")
+    open_, _ = _open_buckets(open_, rooted, scratch, "open-0")
     if open_ is None:
         return rooted
     weights = scratch.stage(_weights(open_, texts), "weights")
@@ -125,11 +127,11 @@ def _links(
     alike = F.col("shared") >= least * F.col("total") - SLACK
     open_ = open_.join(weights.where(alike), "rep").select("band", "key", "rep", "total", "shared")
     while True:
-        open_ = _open_buckets(open_, rooted, scratch, f"open-{step + 1}")
+        open_, few = _open_buckets(open_, rooted, scratch, f"open-{step + 1}")
         if open_ is None:
             return rooted
         step += 1
-        hubs = _hubs(open_, HUBS << (2 * step), scratch, f"hubs-{step}")
+        hubs = _hubs(open_, None if few else HUBS << (2 * step), scratch, f"hubs-{step}")
         can_share = F.least("shared", "hub_shared") * (1 + least)
         both = F.col("total") + F.col("hub_total")
         met = (
@@ -150,6 +152,8 @@ def _links(
             links = stars.unionAll(found)
             rooted = components(links, scratch, f"components-{step}")
             rooted = scratch.stage(rooted, f"rooted-{step}")
+        if few:
+            return rooted
         tested = tested.unionAll(pairs)
         # A hub has now met all others of its buckets.
         used = hubs.select(
@@ -162,47 +166,54 @@ def _links(
 
 def _open_buckets(
     entries: DataFrame, rooted: DataFrame, scratch: Scratch, name: str
-) -> DataFrame | None:
+) -> tuple[DataFrame | None, bool]:
     """The members of the buckets that hold several components, with their component and the
-    largest one of the bucket."""
-    placed = scratch.stage(
-        entries.join(rooted, F.col("rep") == F.col("node"), "left").select(
-            *entries.columns, F.coalesce("root", "rep").alias("component")
-        ),
-        f"{name}-placed",
+    largest one of the bucket; and whether all members outside the largest may be hubs at once."""
+    placed = entries.join(rooted, F.col("rep") == F.col("node"), "left").select(
+        *entries.columns, F.coalesce("root", "rep").alias("component")
     )
-    largest = F.max(F.struct("members", "component"))["component"]
+    largest = F.max(F.struct("members", "component"))
     buckets = scratch.stage(
         placed.groupBy("band", "key", "component")
         .agg(F.count("*").alias("members"))
         .groupBy("band", "key")
-        .agg(F.count("*").alias("n_components"), largest.alias("largest"))
+        .agg(
+            F.count("*").alias("n_components"),
+            F.sum("members").alias("members"),
+            largest.alias("largest"),
+        )
         .where(F.col("n_components") > 1)
-        .drop("n_components"),
+        .select("band", "key", "members", "largest.component", "largest.members")
+        .toDF("band", "key", "members", "largest", "in_largest"),
         f"{name}-buckets",
     )
-    if buckets.isEmpty():
-        return None
-    return scratch.stage(placed.join(buckets, ["band", "key"]), name)
-
-
-def _hubs(open_: DataFrame, width: int, scratch: Scratch, name: str) -> DataFrame:
-    """Up to ``width`` members outside the largest component of each open bucket."""
-    place = F.row_number().over(Window.partitionBy("band", "key").orderBy("rep"))
-    hubs = (
-        open_.where(F.col("component") != F.col("largest"))
-        .withColumn("place", place)
-        .where(F.col("place") <= width)
-        .select(
+    outside = F.col("members") - F.col("in_largest")
+    sums = buckets.agg(
+        F.sum(outside * F.col("members")).alias("pairs"), F.sum("members").alias("members")
+    ).first()
+    if sums.members is None:
+        return None, True
+    joined = placed.join(buckets.select("band", "key", "largest"), ["band", "key"])
+    return scratch.stage(joined, name), sums.pairs <= PAIRS_AT_ONCE * sums.members
+
+
+def _hubs(open_: DataFrame, width: int | None, scratch: Scratch, name: str) -> DataFrame:
+    """Members outside the largest component of each open bucket, up to ``width`` of them."""
+    hubs = open_.where(F.col("component") != F.col("largest"))
+    if width is not None:
+        place = F.row_number().over(Window.partitionBy("band", "key").orderBy("rep"))
+        hubs = hubs.withColumn("place", place).where(F.col("place") <= width)
+    return scratch.stage(
+        hubs.select(
             F.col("band").alias("hub_band"),
             F.col("key").alias("hub_key"),
             F.col("rep").alias("hub"),
             F.col("component").alias("hub_component"),
             F.col("total").alias("hub_total"),
             F.col("shared").alias("hub_shared"),
-        )
+        ),
+        name,
     )
-    return scratch.stage(hubs, name)
 
 
 def _weights(open_: DataFrame, texts: DataFrame) -> DataFrame:

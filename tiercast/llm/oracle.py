@@ -126,8 +126,8 @@ VECTOR_DEDUP = """
 WITH RECURSIVE usable AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
     WHERE label IS NOT NULL AND list_aggregate(embedding, 'count') = len(embedding)
-      AND len(list_filter(embedding, x -> isfinite(x))) = len(embedding)
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b
     FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
