@@ -127,7 +127,10 @@ def test_groups_and_chains_equal_brute_force(spark):
     assert classes(spark.createDataFrame(rows, "doc_id long, text string")) == brute_classes(rows)
 
 
-def test_members_that_differ_from_the_hub_are_linked(spark, monkeypatch):
+@pytest.mark.parametrize("at_once", [0, 256])
+def test_members_that_differ_from_the_hub_are_linked(spark, monkeypatch, at_once):
+    monkeypatch.setattr(near_dup, "PAIRS_AT_ONCE", at_once)
+    monkeypatch.setattr(near_dup, "HUBS", 1)
     # With one coordinate per band, buckets hold many texts that are not alike.
     monkeypatch.setattr(near_dup, "COORDINATES", 8)
     monkeypatch.setattr(near_dup, "BANDS", 8)

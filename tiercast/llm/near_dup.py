@@ -41,7 +41,7 @@ SLACK = 1e-6
 # Further hubs a bucket uses at once, four times as many with each round.
 HUBS = 4
 # Below this mean number of pairs per member all hubs are used in one round.
-PAIRS_AT_ONCE = 64
+PAIRS_AT_ONCE = 256
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -95,11 +95,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def _links(
-    entries: DataFrame, rows: DataFrame, least: float, scratch: Scratch
+    entries: DataFrame, same: DataFrame, rows: DataFrame, least: float, scratch: Scratch
 ) -> DataFrame | None:
     """``(node, root)`` of the representatives that have links.
 
-    ``entries``: staged ``(band, key, hub, rep)`` of the buckets with several members.
+    ``entries``: staged ``(band, key, hub, rep)`` of the buckets with several members; ``same``:
+    the representatives with all their band keys.
     """
     pairs = scratch.stage(
         entries.where(F.col("rep") != F.col("hub"))
@@ -125,7 +126,10 @@ def _links(
     weights = scratch.stage(_weights(open_, texts), "weights")
     # What a text shares with another is at most what it shares with any.
     alike = F.col("shared") >= least * F.col("total") - SLACK
-    open_ = open_.join(weights.where(alike), "rep").select("band", "key", "rep", "total", "shared")
+    kept = ["band", "key", "rep", "total", "shared", "bands"]
+    open_ = (
+        open_.join(weights.where(alike), "rep").join(same.select("rep", "bands"), "rep").select(kept)
+    )
     while True:
         open_, few = _open_buckets(open_, rooted, scratch, f"open-{step + 1}")
         if open_ is None:
@@ -134,13 +138,20 @@ def _links(
         hubs = _hubs(open_, None if few else HUBS << (2 * step), scratch, f"hubs-{step}")
         can_share = F.least("shared", "hub_shared") * (1 + least)
         both = F.col("total") + F.col("hub_total")
+        # Two texts that share several buckets meet in the first of them only.
+        earlier = F.zip_with(
+            F.slice("bands", 1, F.col("band")),
+            F.slice("hub_bands", 1, F.col("band")),
+            lambda key, hub_key: key == hub_key,
+        )
         met = (
             open_.join(
                 hubs,
                 (F.col("band") == F.col("hub_band"))
                 & (F.col("key") == F.col("hub_key"))
                 & (F.col("component") != F.col("hub_component"))
-                & (can_share >= least * both - SLACK),
+                & (can_share >= least * both - SLACK)
+                & ~F.exists(earlier, lambda agree: agree),
             )
             .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
             .distinct()
@@ -159,9 +170,7 @@ def _links(
         used = hubs.select(
             F.col("hub_band").alias("band"), F.col("hub_key").alias("key"), F.col("hub").alias("rep")
         )
-        open_ = open_.select("band", "key", "rep", "total", "shared").join(
-            used, ["band", "key", "rep"], "left_anti"
-        )
+        open_ = open_.select(kept).join(used, ["band", "key", "rep"], "left_anti")
 
 
 def _open_buckets(
@@ -211,6 +220,7 @@ def _hubs(open_: DataFrame, width: int | None, scratch: Scratch, name: str) -> D
             F.col("component").alias("hub_component"),
             F.col("total").alias("hub_total"),
             F.col("shared").alias("hub_shared"),
+            F.col("bands").alias("hub_bands"),
         ),
         name,
     )
@@ -269,7 +279,7 @@ def _classes(rows: DataFrame, least: float, scratch: Scratch) -> DataFrame:
         "shared",
     )
     entries = scratch.stage(keyed.join(shared, ["band", "key"]), "entries")
-    rooted = _links(entries, rows, least, scratch)
+    rooted = _links(entries, same, rows, least, scratch)
 
     member = words.select("row", "doc_id", "high", "low").join(
         same.select("high", "low", "rep"), ["high", "low"]
