@@ -54,6 +54,9 @@ class Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
+        self.remove()
+
+    def remove(self) -> None:
         self._files.delete(self._folder, True)
 
     def stage(self, frame: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
