@@ -18,29 +18,56 @@ from tiercast.llm.tokens import WORD_BPE, tokenizer_path
 from tiercast.operators.scratch import Scratch
 
 
+# The folders of staged tables that may still be read, and the application that owns them.
+_held: list[tuple[str, Scratch]] = []
+
+
+def _scratch(spark: SparkSession, docs: DataFrame) -> Scratch:
+    """A folder for the tables that a stage stages.
+
+    A stage's result is written before the next stage starts, so the folders of earlier stages go
+    then, unless the documents are still read from them. The rest goes with the application.
+    """
+    owner, files = spark.sparkContext.applicationId, docs.inputFiles()
+    for entry in list(_held):
+        application, old = entry
+        if application != owner or not any(_folder(old.path) in _folder(f) for f in files):
+            _held.remove(entry)
+            if application == owner:
+                old.remove()
+    _held.append((owner, Scratch(spark)))
+    return _held[-1][1]
+
+
+def _folder(path: str) -> str:
+    """A path without its scheme, which listings may spell differently."""
+    return path.split(":", 1)[-1].lstrip("/")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those without letters or with a low score go."""
+    _scratch(spark, docs)
     return keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return drop_exact_duplicates(docs)
+    return drop_exact_duplicates(docs, _scratch(spark, docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, scratch=_scratch(spark, docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the target weights of their sources ask for."""
-    return mixed_documents(docs)
+    return mixed_documents(docs, _scratch(spark, docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of sequences, with their token ids."""
-    return pack(docs, tokenizer_path(WORD_BPE), PACK_END)
+    return pack(docs, tokenizer_path(WORD_BPE), PACK_END, scratch=_scratch(spark, docs))
 
 
 STAGES = [
