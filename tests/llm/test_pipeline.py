@@ -96,3 +96,16 @@ def test_odd_documents_go_through(spark):
 
 def test_run_reads_the_documents(spark, small_dir, written):
     assert corpus_pipeline.run(spark, small_dir).count() == written[-1].count()
+
+
+def test_staged_tables_go_when_the_next_stage_starts(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    lazily = corpus_pipeline.exact_dedup(spark, docs, small_dir)
+    (owner, first), *_ = corpus_pipeline._held[-1:]
+    # Not written: the next stage reads the staged rows themselves.
+    near = corpus_pipeline.near_dedup(spark, lazily, small_dir)
+    assert (owner, first) in corpus_pipeline._held
+    written = Scratch(spark).stage(near, "near")
+    corpus_pipeline.mixing(spark, written, small_dir)
+    assert len(corpus_pipeline._held) == 1
+    assert (owner, first) not in corpus_pipeline._held
