@@ -108,3 +108,20 @@ def test_whole_table_equals_the_articles(spark, check_dir):
         article = re.sub(r"</?b>", "", article)
         text = entities.unescape(re.sub(r"<[^>]*>", " ", article))
         assert found[row.page_id] == " ".join(text.split())
+
+
+def test_branches_on_a_small_share_of_a_host_are_judged(spark):
+    """Five pages with a repeated notice of their own among 600 of the host."""
+    rows = [
+        (
+            i,
+            f"http://a.example/{i}",
+            f"<body><div class=text><p>words {i} of the page</p></div>"
+            + ("<div class=rare>Printed notice</div>" if i < 5 else "")
+            + "</body>",
+        )
+        for i in range(600)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {row.page_id: row.text for row in html.extract_text(pages).collect()}
+    assert found == {i: f"words {i} of the page" for i in range(600)}

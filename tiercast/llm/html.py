@@ -5,16 +5,16 @@ class names from the body on. For each node the pages tell how its presentation
 children) and its content (the text below it) are distributed, and the entropies of both,
 relative to the number of pages, combine to the importance of the branch: what is the same on all
 pages scores 0, what differs from page to page scores 1. Branches below ``LEAST_IMPORTANCE`` are
-removed from each page. A branch is judged only if it is on at least ``LEAST_PAGES`` pages and one
-in a hundred of its host's pages, so a host's list of removed branches is bounded by a hundred times
-the nodes of a page.
+removed from each page. A branch is judged if it is on at least ``LEAST_PAGES`` pages, however many
+pages its host has: each page looks up its own nodes, so its list of removed branches is bounded by
+these, and a page is known by its host and a digest of its HTML.
 
 Elements that say what they are need no statistics: scripts, styles, menus, forms and the like are
 removed by name, role or class. Where a page has an article, its main text lies within; branches of
 plain elements within the article are kept, as a site may well repeat an article.
 
-Pages are parsed twice, once for the statistics and once for the text, which costs less than
-carrying the trees through a shuffle.
+Pages are parsed three times, for the statistics, for the lookup and for the text, which costs less
+than carrying the trees through a shuffle.
 
 Results for odd input: a missing or empty page has no text; unclosed elements end with their parent,
 and an unclosed tag at the end is dropped; a page without a host is judged among all such pages;
@@ -34,13 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiercast.llm.common import in_arrow, slices
+from tiercast.llm.common import in_arrow, slices, whole_text
 from tiercast.llm.urls import host_of
 from tiercast.operators.scratch import Scratch
 
 LEAST_IMPORTANCE = 0.3
 LEAST_PAGES = 4
-LEAST_SHARE = 0.01
 # The weight of content grows with the number of styles below a node, as 1 - DAMPING ** n falls.
 DAMPING = 0.9
 # Deeper elements count to their ancestor of this depth.
@@ -225,6 +224,11 @@ def styles(page: str) -> list[tuple[int, int, int, int]]:
     ]
 
 
+def nodes(page: str) -> list[int]:
+    """The style nodes of a page."""
+    return [_hash(path) for path in {element.path for element in parse(page)[0]}]
+
+
 def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks of the main text, joined by spaces."""
     _, blocks = parse(page)
@@ -266,10 +270,9 @@ def _importance(pages: DataFrame, scratch: Scratch) -> DataFrame:
             hosts, rows = [], []
             for host, text in zip(part.column("host").to_pylist(), texts):
                 found = styles(text)
-                # The page itself, to count the pages of its host.
-                rows += [*found, (None, 0, 0, 0)]
-                hosts += [host] * (len(found) + 1)
-            columns = [pa.array(list(column), pa.int64()) for column in zip(*rows)]
+                rows += found
+                hosts += [host] * len(found)
+            columns = [pa.array([row[i] for row in rows], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), *columns],
                 ["host", "node", "styles", "presentation", "content"],
@@ -280,14 +283,9 @@ def _importance(pages: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
     kind = F.explode(
-        F.when(
-            F.col("node").isNull(),
-            F.array(F.struct(F.lit(0).alias("of"), F.lit(0).cast("bigint").alias("value"))),
-        ).otherwise(
-            F.array(
-                F.struct(F.lit(1).alias("of"), F.col("presentation").alias("value")),
-                F.struct(F.lit(2).alias("of"), F.col("content").alias("value")),
-            )
+        F.array(
+            F.struct(F.lit(1).alias("of"), F.col("presentation").alias("value")),
+            F.struct(F.lit(2).alias("of"), F.col("content").alias("value")),
         )
     )
     counted = (
@@ -311,15 +309,32 @@ def _importance(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
     content = F.pow(F.lit(DAMPING), F.col("styles"))
     importance = (1 - content) * entropy("presentations") + content * entropy("contents")
-    hosts = spread.where(F.col("node").isNull()).select(
-        F.col("host").alias("of_host"), F.col("m").alias("pages")
-    )
     return (
-        spread.where(F.col("node").isNotNull() & (F.col("m") >= LEAST_PAGES))
-        .join(hosts, F.col("host") == F.col("of_host"))
-        .where(F.col("m") >= LEAST_SHARE * F.col("pages"))
+        spread.where(F.col("m") >= LEAST_PAGES)
         .where(importance < LEAST_IMPORTANCE)
-        .select("host", "node")
+        .select(F.col("host").alias("of_host"), F.col("node").alias("of_node"))
+    )
+
+
+def _removed(pages: DataFrame, branches: DataFrame) -> DataFrame:
+    """``(of_host, of_digest, removed)``: those of the branches that are on a page, by page."""
+
+    def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches, "html"):
+            found = pa.array([nodes(text) for text in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("host"), part.column("digest"), found], ["host", "digest", "nodes"]
+            )
+
+    entries = in_arrow(pages, collect, "host string, digest binary, nodes array<long>").select(
+        "host", "digest", F.explode("nodes").alias("node")
+    )
+    return (
+        entries.join(
+            branches, (F.col("host") == F.col("of_host")) & (F.col("node") == F.col("of_node"))
+        )
+        .groupBy(F.col("host").alias("of_host"), F.col("digest").alias("of_digest"))
+        .agg(F.collect_set("node").alias("removed"))
     )
 
 
@@ -327,16 +342,13 @@ def extract_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     scratch = scratch or Scratch(pages.sparkSession)
     host = host_of(F.col("url")).alias("host")
-    narrow = pages.select("page_id", "url", "html", host)
-    removed = scratch.stage(
-        _importance(narrow.select("host", "html"), scratch)
-        .groupBy(F.col("host").alias("of_host"))
-        .agg(F.collect_list("node").alias("removed")),
-        "removed",
-    )
-    joined = narrow.join(removed, F.col("host") == F.col("of_host"), "left").select(
-        "page_id", "url", "html", "removed"
-    )
+    # Not a short hash: two pages must not share a list.
+    digest = F.unhex(F.md5(whole_text("html").cast("binary"))).alias("digest")
+    narrow = pages.select("page_id", "url", "html", host, digest)
+    branches = scratch.stage(_importance(narrow.select("host", "html"), scratch), "branches")
+    removed = scratch.stage(_removed(narrow.select("host", "digest", "html"), branches), "removed")
+    same = (F.col("host") == F.col("of_host")) & (F.col("digest") == F.col("of_digest"))
+    joined = narrow.join(removed, same, "left").select("page_id", "url", "html", "removed")
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "html"):
