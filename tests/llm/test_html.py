@@ -125,3 +125,22 @@ def test_branches_on_a_small_share_of_a_host_are_judged(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {row.page_id: row.text for row in html.extract_text(pages).collect()}
     assert found == {i: f"words {i} of the page" for i in range(600)}
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<div class="content with-sidebar"><article><p>body</p></article></div>', "body"),
+        ('<div id="menu"><main><p>body</p></main></div>', "body"),
+        ('<article class="post category-social"><p>body</p></article>', "body"),
+        ('<article class="sponsored"><p>body</p></article>', "body"),
+        ('<article><p>a</p><h2 id="related-work">b</h2><p>c</p></article>', "a b c"),
+        ('<article><p>a</p><h2 id="cookies">b</h2></article>', "a b"),
+        ('<article><p>a</p><section id="social-contract"><p>b</p></section></article>', "a b"),
+        ('<article><p>a</p><div class="widget social">b</div></article>', "a b"),
+        ('<div class="comments"><article>only</article></div>', "only"),
+        ('<article><p>a</p><div class="x Ad-12">b</div><p id=comment_7>c</p></article>', "a"),
+    ],
+)
+def test_names_of_noise_are_whole_and_spare_what_holds_an_article(page, text):
+    assert html.main_text(page) == text

@@ -10,7 +10,11 @@ pages its host has: each page looks up its own nodes, so its list of removed bra
 these, and a page is known by its host and a digest of its HTML.
 
 Elements that say what they are need no statistics: scripts, styles, menus, forms and the like are
-removed by name, role or class. Where a page has an article, its main text lies within; branches of
+removed by name, role or class. Only whole classes and ids count, in any case and without a number at
+the end, and neither for an article, a main element or what holds one, nor for headings; ids of
+sections and headings are anchors. Articles in an element of comments are comments, so such an element
+counts as holding an article only if the page has none elsewhere. Names that may as well stand for content
+are left to the statistics. Where a page has an article, its main text lies within; branches of
 plain elements within the article are kept, as a site may well repeat an article.
 
 Pages are parsed three times, for the statistics, for the lookup and for the text, which costs less
@@ -61,9 +65,11 @@ NOISE_ROLES = frozenset(
 NOISE_NAMES = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments"
     " consent cookie cookies disqus footer gdpr masthead menu nav navbar navigation newsletter"
-    " notice notices pagination popup promo promoted related reply replies respond share sharing"
-    " sidebar sitemap skip social sponsor sponsored subscribe toolbar widget widgets".split()
+    " pagination popup promo promoted sidebar sitemap sponsor sponsored subscribe toolbar".split()
 )
+COMMENTS = frozenset("comment comments disqus".split())
+MAIN = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {
     "li": frozenset(["li"]),
@@ -84,6 +90,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
 _NAME = re.compile(r"[a-z]+")
+_NUMBER = "-_0123456789"
 
 
 class Block(NamedTuple):
@@ -94,16 +101,22 @@ class Block(NamedTuple):
 
 
 class Element:
-    __slots__ = ("name", "style", "path", "noise", "plain", "children", "texts")
+    __slots__ = (
+        "name", "style", "path", "noise", "named", "comments", "holds", "plain", "children", "texts"
+    )
 
     def __init__(self, name: str, attributes: str, parent: Element | None) -> None:
         self.name = name
         classes, role = "", ""
+        whole: set[str] = set()
         if "=" in attributes:
             for key, value in _ATTRIBUTE.findall(attributes):
                 key = key.lower()
                 if key in ("class", "id"):
-                    classes += " " + value.strip("\"'").lower()
+                    value = value.strip("\"'").lower()
+                    classes += " " + value
+                    if key == "class" or name != "section":
+                        whole.update(part.rstrip(_NUMBER) for part in value.split())
                 elif key == "role":
                     role = value.strip("\"'").lower()
         self.plain = not classes
@@ -111,7 +124,13 @@ class Element:
         names = _NAME.findall(classes) if classes else []
         self.style = name if not names else f"{name}.{'.'.join(sorted(set(names)))}"
         self.path = self.style if parent is None else f"{parent.path}/{self.style}"
-        self.noise = name in NO_TEXT or role in NOISE_ROLES or not NOISE_NAMES.isdisjoint(names)
+        self.noise = name in NO_TEXT or role in NOISE_ROLES
+        self.named = (
+            name not in MAIN and name not in HEADINGS and not NOISE_NAMES.isdisjoint(whole)
+        )
+        self.comments = self.named and not COMMENTS.isdisjoint(whole)
+        # Whether it is an article or main element or one lies within, other than in comments there.
+        self.holds = False
         self.children: list[str] = []
         self.texts: list[str] = []
         if parent is not None:
@@ -126,6 +145,8 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
     """The elements of a page in order, and its blocks of text."""
     root = Element("html", "", None)
     elements, blocks, stack, pending = [], [], [root], []
+    # Each article and main element with what is around it.
+    mains: list[tuple[Element, ...]] = []
 
     def flush() -> None:
         text = _decoded("".join(pending))
@@ -195,9 +216,19 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         if len(stack) < DEEPEST:
             element = Element(name, match[3], stack[-1])
             elements.append(element)
+            if name in MAIN:
+                mains.append((*stack, element))
             if not match[3].endswith("/") or name not in ("path", "use"):
                 stack.append(element)
     flush()
+    own = [
+        chain
+        for chain in mains
+        if chain[-1].name == "main" or not any(element.comments for element in chain)
+    ]
+    for chain in own or mains:
+        for element in chain:
+            element.holds = True
     return elements, blocks
 
 
@@ -247,7 +278,8 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
             if element.name == "form" and within and not inside:
                 # Some sites wrap their whole pages.
                 continue
-            if element.noise or (element.name == "header" and not inside):
+            named = element.named and not element.holds
+            if element.noise or named or (element.name == "header" and not inside):
                 keep = False
             elif element.name == "article" or (element.name == "main" and not inside):
                 inside = True
