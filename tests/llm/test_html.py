@@ -144,3 +144,20 @@ def test_branches_on_a_small_share_of_a_host_are_judged(spark):
 )
 def test_names_of_noise_are_whole_and_spare_what_holds_an_article(page, text):
     assert html.main_text(page) == text
+
+
+CARDS = '<article class="card"><p>A short teaser.</p></article>' * 3
+LONG_TEXT = "The main text of a page that has no article around it."
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<main><p>{LONG_TEXT}</p></main>{CARDS}", LONG_TEXT + " A short teaser." * 3),
+        (f"<div class=text><p>{LONG_TEXT}</p>{CARDS}</div>", LONG_TEXT + " A short teaser." * 3),
+        (f"<div>By us</div><article><p>{LONG_TEXT}</p></article>", LONG_TEXT),
+        (f"<div>By us</div><article><p>{LONG_TEXT}</p></article>{CARDS}", LONG_TEXT + " A short teaser." * 3),
+    ],
+)
+def test_teasers_do_not_replace_the_main_text(page, text):
+    assert html.main_text(page) == text

@@ -14,8 +14,10 @@ removed by name, role or class. Only whole classes and ids count, in any case an
 the end, and neither for an article, a main element or what holds one, nor for headings; ids of
 sections and headings are anchors. Articles in an element of comments are comments, so such an element
 counts as holding an article only if the page has none elsewhere. Names that may as well stand for content
-are left to the statistics. Where a page has an article, its main text lies within; branches of
-plain elements within the article are kept, as a site may well repeat an article.
+are left to the statistics. Where a page has an article
+with at least as much text as all that is kept outside of articles, its main text lies within
+articles; otherwise the articles may be teasers, and all that is kept is the main text. Branches of
+plain elements within an article are kept, as a site may well repeat an article.
 
 Pages are parsed three times, for the statistics, for the lookup and for the text, which costs less
 than carrying the trees through a shuffle.
@@ -270,12 +272,13 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
             low[element.path] = _hash(element.path) in removed
         return low[element.path]
 
-    kept: list[tuple[bool, str]] = []
+    # The outermost article around a block, if any, and its text.
+    kept: list[tuple[Element | None, str]] = []
     for block in blocks:
         inside, keep = False, True
-        within = any(element.name == "article" for element in block.chain)
+        article = next((element for element in block.chain if element.name == "article"), None)
         for element in block.chain[1:]:
-            if element.name == "form" and within and not inside:
+            if element.name == "form" and article is not None and not inside:
                 # Some sites wrap their whole pages.
                 continue
             named = element.named and not element.holds
@@ -288,9 +291,13 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
             if not keep:
                 break
         if keep:
-            kept.append((within, block.text))
-    if any(within for within, _ in kept):
-        kept = [entry for entry in kept if entry[0]]
+            kept.append((article, block.text))
+    sizes: dict[Element | None, int] = {}
+    for article, text in kept:
+        sizes[article] = sizes.get(article, 0) + len(text)
+    outside = sizes.pop(None, 0)
+    if sizes and max(sizes.values()) >= outside:
+        kept = [entry for entry in kept if entry[0] is not None]
     return " ".join(text for _, text in kept)
 
 
