@@ -161,3 +161,46 @@ LONG_TEXT = "The main text of a page that has no article around it."
 )
 def test_teasers_do_not_replace_the_main_text(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (
+            '<article><p>one</p><img alt="5" screen"><p>two</p><a href="z">three</a><p>four</p>',
+            "one two three four",
+        ),
+        ("<article><p>one</p><img alt=it's><p>two</p></article>", "one two"),
+        ('<article><p>one</p><img alt="5><p>two</p></article>', "one two"),
+        ("<article><p>one</p><img alt = '>' title=\">\"><p>two</p></article>", "one two"),
+        ('<article><p>one</p><div 5" class="ad">buy</div></article>', "one"),
+        ("<article>" + "<div>" * 100 + "a" + "</div>" * 100 + "<p>b</p></article>", "a b"),
+        ("<div><article>" + "<div>" * 100 + "a" + "</div>" * 100 + "<p>b</p></article></div>", "a b"),
+        (
+            "<div><article>" + "<div>" * 100 + "<nav>menu</nav><div class=ad>buy</div>a"
+            + "</div>" * 100 + "<p>b</p></article></div>",
+            "a b",
+        ),
+        ("<div>" * 100 + "<article><p>a</p></article>" + "</div>" * 100, "a"),
+    ],
+)
+def test_stray_quotes_and_deep_pages(page, text):
+    assert html.main_text(page) == text
+
+
+def test_deep_styles_count_to_an_ancestor():
+    deep = "<div>" * 100 + "<p>a</p>" + "</div>" * 100 + "<p>b</p>"
+    assert len(html.styles(deep)) == html.DEEPEST
+    assert sorted(html.nodes(deep)) == sorted(node for node, *_ in html.styles(deep))
+
+
+def test_time_is_linear_in_depth():
+    many = 100_000
+    for page in (
+        "<div>a" * many + "</x>" * many,
+        "<p><div>" + "<blockquote>" * many + "<hr>" * many,
+        "<li><ul>" + "<div>" * many + "<li></li>" * many,
+        "<article>a" * many,
+    ):
+        assert len(html.main_text(page)) <= 2 * many
+        html.styles(page)

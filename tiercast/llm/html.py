@@ -23,7 +23,9 @@ Pages are parsed three times, for the statistics, for the lookup and for the tex
 than carrying the trees through a shuffle.
 
 Results for odd input: a missing or empty page has no text; unclosed elements end with their parent,
-and an unclosed tag at the end is dropped; a page without a host is judged among all such pages;
+and an unclosed tag at the end is dropped; a quote opens a value only after an equals sign and if it is
+closed; elements deeper than ``DEEPEST`` open and close like others, and their styles and texts count
+to their ancestor of that depth; a page without a host is judged among all such pages;
 repeated rows get the same text each; an empty table gives an empty table; other columns do not
 matter.
 """
@@ -48,7 +50,7 @@ LEAST_IMPORTANCE = 0.3
 LEAST_PAGES = 4
 # The weight of content grows with the number of styles below a node, as 1 - DAMPING ** n falls.
 DAMPING = 0.9
-# Deeper elements count to their ancestor of this depth.
+# The style path of deeper elements is that of their ancestor of this depth.
 DEEPEST = 64
 
 # Elements and names of parts that are no main text.
@@ -83,37 +85,49 @@ SIBLINGS = {
     "option": frozenset(["option"]),
 }
 SCOPES = frozenset("ul ol dl table article section div body main".split())
+LISTS = frozenset("ul ol dl table select".split())
 
 _TOKEN = re.compile(
     r"<!--(?:.*?)(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+)(>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+)
 _NAME = re.compile(r"[a-z]+")
 _NUMBER = "-_0123456789"
 
 
 class Block(NamedTuple):
-    """A run of text without a block element within, and the open elements around it."""
+    """A run of text without a block element within, and the innermost open element around it."""
 
-    chain: tuple[Element, ...]
+    element: Element
     text: str
 
 
 class Element:
     __slots__ = (
-        "name", "style", "path", "noise", "named", "comments", "holds", "plain", "children", "texts"
+        "name", "parent", "depth", "node", "scope", "list", "style", "path", "noise", "named",
+        "in_comments", "holds", "plain", "children", "texts",
     )
 
     def __init__(self, name: str, attributes: str, parent: Element | None) -> None:
         self.name = name
+        self.parent = parent
+        self.depth = 0 if parent is None else parent.depth + 1
+        # The depth of the nearest element, itself included, that bounds what a block or item closes.
+        self.scope = self.depth if parent is None or name in SCOPES else parent.scope
+        self.list = self.depth if parent is None or name in LISTS else parent.list
         classes, role = "", ""
         whole: set[str] = set()
         if "=" in attributes:
             for key, value in _ATTRIBUTE.findall(attributes):
                 key = key.lower()
+                if not value:
+                    continue
                 if key in ("class", "id"):
                     value = value.strip("\"'").lower()
                     classes += " " + value
@@ -125,17 +139,24 @@ class Element:
         # Numbers in names tell instances apart, not styles.
         names = _NAME.findall(classes) if classes else []
         self.style = name if not names else f"{name}.{'.'.join(sorted(set(names)))}"
-        self.path = self.style if parent is None else f"{parent.path}/{self.style}"
+        # The element whose style path, children and texts are meant.
+        self.node = self if self.depth < DEEPEST else parent.node
+        if self.node is not self:
+            self.path = parent.path
+        else:
+            self.path = self.style if parent is None else f"{parent.path}/{self.style}"
         self.noise = name in NO_TEXT or role in NOISE_ROLES
         self.named = (
             name not in MAIN and name not in HEADINGS and not NOISE_NAMES.isdisjoint(whole)
         )
-        self.comments = self.named and not COMMENTS.isdisjoint(whole)
+        self.in_comments = (parent is not None and parent.in_comments) or (
+            self.named and not COMMENTS.isdisjoint(whole)
+        )
         # Whether it is an article or main element or one lies within, other than in comments there.
         self.holds = False
         self.children: list[str] = []
         self.texts: list[str] = []
-        if parent is not None:
+        if parent is not None and self.node is self:
             parent.children.append(self.style)
 
 
@@ -147,18 +168,24 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
     """The elements of a page in order, and its blocks of text."""
     root = Element("html", "", None)
     elements, blocks, stack, pending = [], [], [root], []
-    # Each article and main element with what is around it.
-    mains: list[tuple[Element, ...]] = []
+    mains: list[Element] = []
+    # The depths of the open elements by name.
+    opened: dict[str, list[int]] = {}
 
     def flush() -> None:
         text = _decoded("".join(pending))
         pending.clear()
         if text:
-            blocks.append(Block(tuple(stack), text))
+            blocks.append(Block(stack[-1], text))
+
+    def innermost(names: Iterable[str]) -> int:
+        return max((opened[name][-1] for name in names if opened.get(name)), default=0)
 
     def close(index: int) -> None:
         if any(element.name not in INLINE for element in stack[index:]):
             flush()
+        for element in stack[index:]:
+            opened[element.name].pop()
         del stack[index:]
 
     at, end = 0, len(page)
@@ -178,12 +205,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             # The page ends within a tag.
             break
         if match[1]:
-            if name in ("br", "p") and all(element.name != name for element in stack):
+            if opened.get(name):
+                close(opened[name][-1])
+            elif name in ("br", "p"):
                 flush()
-            for index in range(len(stack) - 1, 0, -1):
-                if stack[index].name == name:
-                    close(index)
-                    break
             continue
         if name in ("html", "body"):
             flush()
@@ -199,38 +224,29 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
                 at = closing + 1 if closing >= 0 else end
             continue
         if name not in INLINE:
-            for index in range(len(stack) - 1, 0, -1):
-                if stack[index].name in CLOSED_BY_BLOCK:
-                    close(index)
-                    break
-                if stack[index].name in SCOPES:
-                    break
+            paragraph = innermost(CLOSED_BY_BLOCK)
+            if paragraph > stack[-1].scope:
+                close(paragraph)
             if name in SIBLINGS:
-                for index in range(len(stack) - 1, 0, -1):
-                    if stack[index].name in SIBLINGS[name]:
-                        close(index)
-                        break
-                    if stack[index].name in ("ul", "ol", "dl", "table", "select"):
-                        break
+                sibling = innermost(SIBLINGS[name])
+                if sibling > stack[-1].list:
+                    close(sibling)
             flush()
         if name in VOID:
             continue
-        if len(stack) < DEEPEST:
-            element = Element(name, match[3], stack[-1])
-            elements.append(element)
-            if name in MAIN:
-                mains.append((*stack, element))
-            if not match[3].endswith("/") or name not in ("path", "use"):
-                stack.append(element)
+        element = Element(name, match[3], stack[-1])
+        elements.append(element)
+        if name in MAIN:
+            mains.append(element)
+        if not match[3].endswith("/") or name not in ("path", "use"):
+            opened.setdefault(name, []).append(len(stack))
+            stack.append(element)
     flush()
-    own = [
-        chain
-        for chain in mains
-        if chain[-1].name == "main" or not any(element.comments for element in chain)
-    ]
-    for chain in own or mains:
-        for element in chain:
+    own = [main for main in mains if main.name == "main" or not main.in_comments]
+    for element in own or mains:
+        while element is not None and not element.holds:
             element.holds = True
+            element = element.parent
     return elements, blocks
 
 
@@ -244,10 +260,14 @@ def styles(page: str) -> list[tuple[int, int, int, int]]:
     """One entry per style node of a page: node, number of child styles, presentation, content."""
     elements, blocks = parse(page)
     for block in blocks:
-        for element in block.chain[1:]:
+        element = block.element.node
+        while element.parent is not None:
             element.texts.append(block.text)
+            element = element.parent
     nodes: dict[str, tuple[list[str], list[str]]] = {}
     for element in elements:
+        if element.node is not element:
+            continue
         children, texts = nodes.setdefault(element.path, ([], []))
         children += element.children
         texts += element.texts
@@ -262,9 +282,19 @@ def nodes(page: str) -> list[int]:
     return [_hash(path) for path in {element.path for element in parse(page)[0]}]
 
 
+class Kept(NamedTuple):
+    """What is known of an element from those around it."""
+
+    keep: bool
+    inside: bool
+    # Within a form that is kept only around an article.
+    form: bool
+    article: Element | None
+
+
 def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks of the main text, joined by spaces."""
-    _, blocks = parse(page)
+    elements, blocks = parse(page)
     low: dict[str, bool] = {}
 
     def is_low(element: Element) -> bool:
@@ -272,26 +302,34 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
             low[element.path] = _hash(element.path) in removed
         return low[element.path]
 
+    def judged(element: Element, around: Kept) -> Kept:
+        keep, inside, form, article = around
+        if article is None and element.name == "article":
+            article = element
+        if not keep:
+            return Kept(False, inside, form, article)
+        if element.name == "form" and not inside:
+            # Some sites wrap their whole pages.
+            return Kept(True, inside, True, article)
+        named = element.named and not element.holds
+        if element.noise or named or (element.name == "header" and not inside):
+            keep = False
+        elif element.name == "article" or (element.name == "main" and not inside):
+            inside = True
+        elif element.node is element and is_low(element) and not (inside and element.plain):
+            keep = False
+        return Kept(keep, inside, form, article)
+
+    found: dict[Element | None, Kept] = {}
+    for element in elements:
+        around = found.get(element.parent, Kept(True, False, False, None))
+        found[element] = judged(element, around)
     # The outermost article around a block, if any, and its text.
     kept: list[tuple[Element | None, str]] = []
     for block in blocks:
-        inside, keep = False, True
-        article = next((element for element in block.chain if element.name == "article"), None)
-        for element in block.chain[1:]:
-            if element.name == "form" and article is not None and not inside:
-                # Some sites wrap their whole pages.
-                continue
-            named = element.named and not element.holds
-            if element.noise or named or (element.name == "header" and not inside):
-                keep = False
-            elif element.name == "article" or (element.name == "main" and not inside):
-                inside = True
-            elif is_low(element) and not (inside and element.plain):
-                keep = False
-            if not keep:
-                break
-        if keep:
-            kept.append((article, block.text))
+        state = found.get(block.element, Kept(True, False, False, None))
+        if state.keep and (state.article is not None or not state.form):
+            kept.append((state.article, block.text))
     sizes: dict[Element | None, int] = {}
     for article, text in kept:
         sizes[article] = sizes.get(article, 0) + len(text)
