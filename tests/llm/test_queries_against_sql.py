@@ -1,10 +1,11 @@
 """The queries that SQL can express, on whole tables."""
 
+import duckdb
 import pytest
 from compare import connect, duckdb_rows, spark_rows
 
 import __spark_entry__ as entry_points
-from tiercast.llm import registry
+from tiercast.llm import licenses, registry
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +29,20 @@ def test_matches_sql(spark, duck, check_dir, name):
     rows = spark_rows(result)
     assert rows
     assert rows == expected
+
+
+def test_license_sql_reads_long_lines(spark, tmp_path):
+    notice = licenses.NOTICES["MIT"]
+    rows = [(1, " ".join([notice] * 200)), (2, "word " * 500), (3, notice)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as connection:
+        connection.execute(
+            f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')"
+        )
+        _, expected = duckdb_rows(connection, registry.oracle_sql()["op4_license_scan"])
+    found = spark_rows(licenses.scan_licenses(docs))
+    assert found == expected
+    assert [row.license for row in licenses.scan_licenses(docs).orderBy("doc_id").collect()] == [
+        "MIT", None, "MIT"
+    ]

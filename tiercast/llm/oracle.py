@@ -106,7 +106,7 @@ def license_scan() -> str:
         SELECT row_number() OVER () AS line, doc_id, w
         FROM (SELECT doc_id, {words.format("t")} AS w
               FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents))
-        WHERE len(w) > 1 AND len(w) < 400
+        WHERE len(w) > 1
     ), scored AS (
         SELECT line, doc_id, place, license,
                2 * len(list_intersect(l.g, t.g))::DOUBLE / (len(l.g) + len(t.g)) AS dice
