@@ -3,6 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from odd import LONG
+from tokenizers import Tokenizer
 
 from tiercast.llm import tokens
 
@@ -16,6 +17,8 @@ PIECES = [
     "文", "😀", "\x00", "﻿", "don't", "I'LL", "it's.", "x-y",
 ]
 
+SPECIAL = [*PIECES, "<|startoftext|>", "<|", "|>"]
+
 
 def whole(encoder, texts):
     return [e.ids for e in encoder._tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -60,3 +63,20 @@ def test_memory_starts_anew(name, monkeypatch):
 def test_special_strings_are_text():
     encoder = ENCODERS[tokens.BYTE_BPE]
     assert 50256 not in found(encoder, ["a <|endoftext|> b"])[0]
+
+
+@pytest.mark.parametrize("name", ENCODERS)
+@settings(max_examples=200, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.lists(st.sampled_from(SPECIAL), max_size=12).map("".join), max_size=5))
+def test_queries_take_special_strings_as_the_library_does(name, texts):
+    tokenizer = Tokenizer.from_file(tokens.tokenizer_path(name))
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert found(tokens.encoder(tokens.tokenizer_path(name)), texts) == expected
+
+
+@pytest.mark.parametrize("name,end", [(tokens.WORD_BPE, 49407), (tokens.BYTE_BPE, 50256)])
+def test_special_strings_are_tokens_in_queries(name, end):
+    encoder = tokens.encoder(tokens.tokenizer_path(name))
+    ids = found(encoder, ["before", "a <|endoftext|> b", "", "after"])
+    assert [end in part for part in ids] == [False, True, False, False]
+    assert ids[0] and ids[3]

@@ -6,6 +6,9 @@ worker encodes each piece once and looks it up from then on: cutting, hashing an
 steps over the bytes of many texts. Cuts are made only where they hold for any text; all between
 two cuts goes to the tokenizer as it is. The tests compare the ids with those of whole texts.
 
+Strings of special tokens within a text are these tokens, as the library has it by default. A text
+with one is encoded whole, outside of the memory of pieces.
+
 Pieces are known by 128 hash bits: two polynomials over random values of the bytes, and a digest
 for the long ones. The memory is bounded: beyond ``MOST_PIECES`` it starts anew.
 """
@@ -125,14 +128,17 @@ class _Numbers:
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    """With ``special``, strings of special tokens are these tokens, otherwise ordinary text."""
+
+    def __init__(self, path: str, special: bool = False) -> None:
         # A task has one core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text within a document.
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not special
+        own = self._tokenizer.get_added_tokens_decoder().values()
+        self._specials = [t.content for t in own if t.special] if special else []
         self._drops_space = not self._ids_of("  ")
         self._ignores_case = self._ids_of("Word") == self._ids_of("word")
         if self._drops_space:
@@ -256,7 +262,20 @@ class Encoder:
         return numbers
 
     def encode(self, texts: list[str]) -> Encoded:
-        """The ids of each whole text, without special tokens."""
+        """The ids of each whole text, without adding special tokens."""
+        alone = [any(special in text for special in self._specials) for text in texts]
+        if not any(alone):
+            return self._joined(texts)
+        ids, lengths = self._joined(["" if whole else text for whole, text in zip(alone, texts)])
+        found = np.split(ids, np.cumsum(lengths)[:-1])
+        for i, whole in enumerate(alone):
+            if whole:
+                found[i] = np.array(self._ids_of(texts[i]), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return Encoded(np.concatenate(found), sizes)
+
+    def _joined(self, texts: list[str]) -> Encoded:
+        """The ids of each text, from those of its pieces."""
         data, starts, ends, counts = self._pieces([text.encode() for text in texts])
         found, sizes = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
         # Blocks keep the table at most half full, also for one very long text.
@@ -284,8 +303,8 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder, kept between tasks."""
-    return Encoder(path)
+    """The worker's encoder, kept between tasks, with the library's default for special tokens."""
+    return Encoder(path, special=True)
 
 
 def tokenizer_path(name: str) -> str:
