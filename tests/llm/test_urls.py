@@ -1,5 +1,6 @@
 from urllib.parse import urlsplit
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tiercast.llm import urls
@@ -94,3 +95,32 @@ def test_no_python_in_the_plan(spark, check_dir):
     pages = spark.read.parquet(f"{check_dir}/pages.parquet")
     plan = urls.judge_urls(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_after_an_observation_in_the_same_session(spark, check_dir):
+    """Tasks must not take along the session, which then holds something they cannot."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 5}
+    judged = urls.judge_urls(spark.read.parquet(f"{check_dir}/pages.parquet"))
+    judged.write.format("noop").mode("overwrite").save()
+    assert judged.count() > 0 and judged.collect()
+
+
+def test_learned_verdicts_equal_the_coefficients_by_hand(spark, check_dir):
+    model = urls.fit(urls.labelled_table(spark, urls.LABELLED))
+    pages = spark.read.parquet(f"{check_dir}/pages.parquet")
+    parts = pages.select(
+        urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path")
+    ).distinct()
+    vectors = urls._features(parts, "features", urls.FEATURES).collect()
+    expected = {
+        (row.host, row.path): "block"
+        if sum(model.coefficients[int(i)] * v for i, v in zip(row.features.indices, row.features.values))
+        + model.intercept
+        > 0
+        else "allow"
+        for row in vectors
+    }
+    found = urls.judge_urls(pages, rules=()).collect()
+    assert all(row.verdict == expected[row.host, row.path] for row in found)

@@ -14,11 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiercast.operators.scratch import Scratch
+
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -140,7 +142,12 @@ def fit(labelled: DataFrame, features: int = FEATURES):
         maxIter=ROUNDS,
     )
     # One partition, so that sums are added in the same order in every run.
-    return trainer.fit(_features(table, "features", features).coalesce(1))
+    fitted = trainer.fit(_features(table, "features", features).coalesce(1))
+    # A fitted model holds its training table and session, which tasks cannot take along; a saved
+    # one holds the coefficients alone.
+    with Scratch(labelled.sparkSession) as scratch:
+        fitted.write().save(f"{scratch.path}/model")
+        return LogisticRegressionModel.load(f"{scratch.path}/model")
 
 
 def _fits(rule: Rule) -> Column:
