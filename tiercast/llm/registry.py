@@ -17,6 +17,7 @@ from tiercast.llm.near_dup import near_duplicates
 from tiercast.llm.packing import pack
 from tiercast.llm.token_files import read_back, write_tokens
 from tiercast.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
+from tiercast.llm.toxicity import score_toxicity
 from tiercast.llm.urls import judge_urls
 from tiercast.operators.scratch import Scratch
 
@@ -72,6 +73,10 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id,
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_filter,
         op9_token_files,
         op10_vector_dedup,
+        op11_toxicity,
     )
     return {query.__name__: query for query in found}
 
