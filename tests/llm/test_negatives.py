@@ -1,0 +1,133 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tiercast.llm import negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def mined(frame):
+    return negatives.hard_negatives(frame, F.col("vec_id") % 100 == 0)
+
+
+def brute(rows):
+    """``rows``: (vec_id, vector, label)."""
+    usable = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v], label)
+        for i, v, label in rows
+        if label is not None and v is not None
+        and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    found = []
+    for a, (anchor, left, label) in enumerate(usable):
+        if anchor is None or anchor % 100:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(left, right)), i is None, i or 0, other == label)
+            for c, (i, right, other) in enumerate(usable)
+            if c != a and len(left) == len(right)
+        ]
+        for p, missing, positive, _ in sorted(s for s in scored if s[3])[:5]:
+            near = sorted(s for s in scored if not s[3] and -80 * p <= -100 * s[0] <= -100 * p)
+            for rank, (n, none, negative, _) in enumerate(near[:5], 1):
+                found.append(
+                    (anchor, None if missing else positive, rank, None if none else negative, -p, -n)
+                )
+    return sorted(map(repr, found))
+
+
+def rows_of(frame):
+    return sorted(repr(tuple(row)) for row in frame.collect())
+
+
+def clustered(seed, n=900, size=8, spread=0.25):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, size))
+    rows = []
+    for i in range(n):
+        v = centres[rng.integers(12)] + spread * rng.normal(size=size)
+        v = v / np.linalg.norm(v)
+        rows.append((i, [float(np.float32(x)) for x in v], int(rng.integers(3))))
+    # Copies, so that scores tie.
+    return rows + [(n + i, rows[5][1], i % 3) for i in range(120)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(negatives, "BLOCK", 5)
+    monkeypatch.setattr(negatives, "STEP", 64)
+    rows = clustered(seed)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    expected = brute(rows)
+    assert expected
+    assert rows_of(mined(frame)) == expected
+
+
+def anchors_of(vectors):
+    labels = np.zeros(len(vectors), np.int64)
+    return negatives.Anchors(np.arange(len(vectors)), labels, vectors, negatives.spanning_tree(vectors))
+
+
+def test_the_tree_spans_with_the_least_total():
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-99, 99, (40, 4)).astype(float)
+    levels = negatives.spanning_tree(vectors)
+    children = [int(i) for here, _, _ in levels for i in here]
+    assert sorted(children) == list(range(1, 40))
+    for here, parent, distance in levels:
+        assert np.allclose(np.linalg.norm(vectors[here] - vectors[parent], axis=1), distance)
+    # Kruskal's total.
+    edges = sorted(
+        (float(np.linalg.norm(vectors[i] - vectors[j])), i, j) for i in range(40) for j in range(i)
+    )
+    root, total = list(range(40)), 0.0
+    for d, i, j in edges:
+        if root[i] != root[j]:
+            total += d
+            root = [root[i] if r == root[j] else r for r in root]
+    assert math.isclose(total, sum(d.sum() for _, _, d in levels))
+
+
+def test_bounds_leave_out_only_what_lies_outside_and_leave_out_much():
+    rows = clustered(7, spread=0.05)
+    vectors = np.floor(256 * np.array([v for _, v, _ in rows]))
+    anchors = anchors_of(vectors[::20])
+    every = anchors.vectors @ vectors.T
+    top = np.sort(every, axis=1)[:, -5]
+    low, high = 0.95 * top, top
+    scores, known = negatives.scores_within(anchors, vectors, low, high)
+    inside = (every >= low[:, None]) & (every <= high[:, None])
+    assert (known | ~inside).all()
+    assert (scores[known] == every[known]).all()
+    assert known.mean() < 0.8
+
+
+def test_odd_input(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.5], 1), (0, [1.0, 0.5], 1), (100, [1.0, 0.25], 2), (1, [0.9, 0.5], 1),
+        (2, [0.9, 0.5], 2), (None, [0.9, 0.5], 2), (None, [0.9, 0.5], 1), (3, None, 1),
+        (4, [1.0, None], 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 2), (7, [0.9, 0.5], None),
+        (200, [], 1), (8, [], 1), (9, [], 2), (300, [1.0, 2.0, 3.0], 1), (10, [1.0, 2.0, 3.0], 2),
+        (11, [0.8, 0.5], 3), (-100, [0.0, 0.0], 1), (12, [0.0, 0.0], 4), (13, [-1.0, 0.1], 1),
+        (14, [0.9, 0.5], -5),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    clashes = {n: F.lit(n) for n in ("row", "slot", "size", "score", "rank", "is_anchor", "doc")}
+    assert rows_of(mined(frame.withColumns(clashes))) == brute(rows)
+    assert mined(frame.where("false")).isEmpty()
+    assert negatives.hard_negatives(frame, F.lit(None).cast("boolean")).isEmpty()
+
+
+def test_products_beyond_doubles(spark):
+    rng = random.Random(3)
+    rows = [
+        (i * 50, [rng.choice([1.0, 1.0000001]) * 2.0**20, float(rng.randint(1, 9))], i % 2)
+        for i in range(60)
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(mined(frame)) == brute(rows)

@@ -177,6 +177,65 @@ FROM classes
 """
 
 
+# Every item against every document that holds one of its terms.
+RANKED_SEARCH = r"""
+WITH tokens AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), held AS (
+    SELECT doc_id, term, count(*)::BIGINT AS tf FROM tokens GROUP BY doc_id, term
+), sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY doc_id),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS len FROM sizes),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term), corpus
+), wanted AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, sum(
+        w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))))::BIGINT AS score
+    FROM wanted JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+# Every anchor against every vector.
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+           list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id
+                          ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_dart_minhash": NEAR_DUP,
@@ -184,4 +243,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": MIXING,
         "op7_exact_dedup": EXACT_DEDUP,
         "op10_vector_dedup": VECTOR_DEDUP,
+        "op12_ranked_search": RANKED_SEARCH,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiercast.llm import oracle
 from tiercast.llm.embeddings import near_vectors
@@ -14,7 +15,9 @@ from tiercast.llm.langid import identify
 from tiercast.llm.licenses import scan_licenses
 from tiercast.llm.mixing import mix_sources
 from tiercast.llm.near_dup import near_duplicates
+from tiercast.llm.negatives import hard_negatives
 from tiercast.llm.packing import pack
+from tiercast.llm.ranked_search import ranked_documents
 from tiercast.llm.token_files import read_back, write_tokens
 from tiercast.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
 from tiercast.llm.toxicity import score_toxicity
@@ -77,6 +80,17 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    is_anchor = F.col("vec_id") % 100 == 0
+    return hard_negatives(vectors.withColumn("label", turned), is_anchor)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id,
@@ -90,6 +104,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_token_files,
         op10_vector_dedup,
         op11_toxicity,
+        op12_ranked_search,
+        op13_hard_negatives,
     )
     return {query.__name__: query for query in found}
 
