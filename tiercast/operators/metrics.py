@@ -36,7 +36,7 @@ def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) ->
     for the days it stays valid. An order is thus read once, however many days are asked for, and
     a customer's window never exceeds the number of days.
     """
-    start, end = F.lit(first), F.lit(last)
+    start = F.lit(first)
     after_last = wall_clock(dt.datetime.combine(last + dt.timedelta(days=1), dt.time()))
     daily = (
         # On the timestamp itself, so that the bound reaches the scan.
@@ -52,6 +52,12 @@ def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) ->
             F.sum("total").alias("spent"),
         )
     )
+    return running_metrics(daily, last)
+
+
+def running_metrics(daily: DataFrame, last: dt.date) -> DataFrame:
+    """One row per customer and run date up to ``last``, from ``(customer_id, valid_from, latest,
+    orders, spent)`` with unique keys."""
     by_day = Window.partitionBy("customer_id").orderBy("valid_from")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     next_change = F.lead("valid_from").over(by_day)
@@ -60,7 +66,7 @@ def customer_metrics_as_of(orders: DataFrame, first: dt.date, last: dt.date) ->
         F.max("latest").over(so_far).alias("last_order_date"),
         F.sum("orders").over(so_far).alias("frequency_orders"),
         F.sum("spent").over(so_far).cast(daily.schema["spent"].dataType).alias("monetary_value"),
-        F.sequence("valid_from", F.coalesce(F.date_sub(next_change, 1), end)).alias("days"),
+        F.sequence("valid_from", F.coalesce(F.date_sub(next_change, 1), F.lit(last))).alias("days"),
     ).select(
         F.explode("days").alias("run_date"),
         "customer_id",

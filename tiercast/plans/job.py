@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiercast.config import CALENDAR, ELAPSED, DailyConfig
 from tiercast.operators import statistics
@@ -12,7 +13,14 @@ from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
 from tiercast.plans.backfill import rfm_backfill
-from tiercast.plans.daily import rfm_base, scored, with_core_labels, with_detailed_labels
+from tiercast.plans.daily import (
+    rfm_base,
+    scored,
+    with_core_labels,
+    with_detailed_labels,
+    with_recency,
+)
+from tiercast.sources.stored_metrics import StoredMetrics
 
 STATISTICS = (
     statistics.metric_correlation,
@@ -65,6 +73,37 @@ def run(
     return _summary(spark, records)
 
 
+def incremental_base(stored: StoredMetrics, config: DailyConfig) -> DataFrame:
+    """What ``rfm_base`` gives for all orders that were added."""
+    config = config.resolved()
+    return with_recency(stored.metrics(), F.lit(config.run_date), config.recency_mode)
+
+
+def run_incremental(
+    new_orders: DataFrame,
+    batch: int,
+    metrics_path: str,
+    target: str,
+    config: DailyConfig = DailyConfig(),
+    detailed: bool = False,
+) -> DataFrame:
+    """Like ``run``, from the stored metrics and the orders that are new since the last batch.
+
+    The order history is not read. ``batch`` numbers the arrivals; repeating a run with the number
+    it had gives the same snapshot.
+    """
+    spark = new_orders.sparkSession
+    config = config.resolved(ELAPSED if detailed else CALENDAR)
+    stored = StoredMetrics(spark, metrics_path, config.excluded_status)
+    stored.add(new_orders, batch)
+    with Scratch(spark) as scratch:
+        scores = scored(incremental_base(stored, config), config, scratch)
+        labels = with_detailed_labels if detailed else with_core_labels
+        rows, rule = _batch(labels(scores), detailed)
+        records = upsert(rows, target, [config.run_date], rule, config.run_ts, unique_keys=True)
+    return _summary(spark, records)
+
+
 def run_backfill(
     orders: DataFrame,
     target: str,

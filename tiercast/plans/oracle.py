@@ -311,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
         "segment_detailed": _label("comments", _behaviour(DETAILED_RULES)),
         "score_tier": _label("rfm_segment", TIER),
         "rfm_daily": _daily(ORDER_METRICS),
+        "rfm_daily_incremental": _daily(ORDER_METRICS),
         "rfm_daily_detailed": _detailed(EVENT_METRICS_ELAPSED),
         "rfm_daily_detailed_distributed": _detailed(EVENT_METRICS_ELAPSED),
         "upsert_core": _upsert(_daily, UPSERTED, ["comments", "logs"], False, ""),
@@ -334,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_histogram_distributed": HISTOGRAM,
         "metric_density": DENSITY,
         "rfm_backfill": _daily(BACKFILL_METRICS),
+        "rfm_backfill_incremental": _daily(BACKFILL_METRICS),
         "rfm_backfill_distributed": _daily(BACKFILL_METRICS),
         "rfm_backfill_detailed": _detailed(BACKFILL_ELAPSED),
         "backfill_summary": f"""
