@@ -165,6 +165,14 @@ def test_backfill_counts_what_it_wrote(spark, target, check_dir):
     assert kept.where("customer_id >= 100").count() == kept.count() > 0
 
 
+def test_records_of_several_writing_tasks_add_up(spark, target):
+    batch = core_batch(spark, range(300), 1.0).repartition(7)
+    days = [DAY, NEXT_DAY]
+    assert upsert(batch, target, [DAY], CORE, MORNING, unique_keys=True) == {DAY: 300}
+    both = batch.unionAll(core_batch(spark, range(50), 1.0, NEXT_DAY)).repartition(5)
+    assert upsert(both, f"{target}-2", days, CORE, NOON, unique_keys=True) == {DAY: 300, NEXT_DAY: 50}
+
+
 def test_summaries_stay_readable_and_name_every_date(spark, target, check_dir):
     orders = read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
     days = (dt.date(1994, 12, 30), dt.date(1995, 1, 2))

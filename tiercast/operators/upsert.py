@@ -13,7 +13,10 @@ from pyspark.sql.window import Window
 
 from tiercast.config import LOG_SOURCE
 from tiercast.functions.timestamps import wall_clock
+from tiercast.operators.scratch import Scratch
+from tiercast.sources.bucketed import BucketedSnapshot
 from tiercast.sources.snapshot import KEYS, SNAPSHOT_SCHEMA, read_folders, stored_folders
+from tiercast.sources.versions import VersionedSnapshot
 
 
 class UpsertRule(NamedTuple):
@@ -65,10 +68,18 @@ def _distinct_keys(batch: DataFrame) -> DataFrame:
     return batch.withColumn("_count", count).where(once).drop("_count")
 
 
-def merged(existing: DataFrame, batch: DataFrame, rule: UpsertRule, stamp: Column) -> DataFrame:
+def merged(
+    existing: DataFrame,
+    batch: DataFrame,
+    rule: UpsertRule,
+    stamp: Column,
+    by_customer: bool = False,
+) -> DataFrame:
     """All rows of the affected partitions after the upsert, and whether the batch held them.
 
     Presence flags decide, not the values: a NULL in the batch replaces a stored value.
+    ``by_customer`` is for tables that are dealt out by customer: it joins on the customer alone,
+    and the date is compared within.
     """
     old = existing.withColumn("_stored", F.lit(True)).alias("old")
     new = batch.select(*KEYS, *rule.replaced, F.lit(True).alias("_given")).alias("new")
@@ -89,8 +100,16 @@ def merged(existing: DataFrame, batch: DataFrame, rule: UpsertRule, stamp: Colum
         .when(given, stamp if rule.stamps_inserts else absent)
         .otherwise(F.col("old.updated_at"))
     )
-    return old.join(new, list(KEYS), "full").select(
-        *KEYS, *[column.alias(name) for name, column in columns.items()], given.alias("_given")
+    if by_customer:
+        old_day, new_day = F.col("old.run_date"), F.col("new.run_date")
+        # As an equality Spark would deal both sides out by it.
+        same_day = (old_day <= new_day) & (old_day >= new_day)
+        joined = old.join(new, (F.col("old.customer_id") == F.col("new.customer_id")) & same_day, "full")
+        keys = [F.coalesce(f"old.{key}", f"new.{key}").alias(key) for key in KEYS]
+    else:
+        joined, keys = old.join(new, list(KEYS), "full"), list(KEYS)
+    return joined.select(
+        *keys, *[column.alias(name) for name, column in columns.items()], given.alias("_given")
     )
 
 
@@ -138,13 +157,7 @@ def upsert(
     if len(run_dates) > 1:
         # Gather each date's rows, splitting large dates; else every task writes every date.
         rows = rows.hint("rebalance", F.col("run_date"))
-    # Counted in the writing stage itself, where each finished task counts once.
-    written = Observation()
-    # With a bin for every date the histogram is an exact count per date.
-    per_date = F.histogram_numeric(
-        F.when(F.col("_given"), F.unix_date("run_date")), F.lit(max(len(run_dates), 2))
-    )
-    rows = rows.observe(written, per_date.alias("records"))
+    rows, written = _counting(rows, run_dates)
     (
         rows.drop("_given")
         .write.mode("overwrite")
@@ -152,6 +165,81 @@ def upsert(
         .partitionBy("run_date")
         .parquet(path)
     )
-    counted = {row["x"]: int(row["y"]) for row in written.get["records"] or ()}
+    return _counts(written, run_dates)
+
+
+def _counting(rows: DataFrame, run_dates: Sequence[dt.date]) -> tuple[DataFrame, Observation]:
+    """Count batch rows in the writing stage itself, where each finished task counts once."""
+    written = Observation()
+    # With a bin for every date the histogram is an exact count per date.
+    per_date = F.histogram_numeric(
+        F.when(F.col("_given"), F.unix_date("run_date")), F.lit(max(len(run_dates), 2))
+    )
+    return rows.observe(written, per_date.alias("records")), written
+
+
+def _counts(written: Observation, run_dates: Sequence[dt.date]) -> dict[dt.date, int]:
+    counted: dict[int, int] = {}
+    # Tasks bring bins of their own for the same date.
+    for row in written.get["records"] or ():
+        counted[row["x"]] = counted.get(row["x"], 0) + int(row["y"])
     epoch = dt.date(1970, 1, 1)
     return {day: counted.get((day - epoch).days, 0) for day in run_dates}
+
+
+def bucketed_rows(
+    batch: DataFrame,
+    table: BucketedSnapshot,
+    run_dates: Sequence[dt.date],
+    rule: UpsertRule,
+    stamp: Column,
+) -> DataFrame:
+    """All rows of these dates after the upsert, dealt by bucket; stored rows are not moved."""
+    customer_type = batch.schema["customer_id"].dataType
+    checked = table.dealt(batch.withColumns(_checked_keys(run_dates, customer_type)))
+    # Its window, too, finds the rows of a customer in one task.
+    batch, stored = _distinct_keys(checked), table.stored(run_dates)
+    if stored is None:
+        return inserted(batch, rule, stamp)
+    return merged(stored, batch, rule, stamp, by_customer=True)
+
+
+def upsert_bucketed(
+    batch: DataFrame,
+    table: BucketedSnapshot,
+    run_dates: Sequence[dt.date],
+    rule: UpsertRule,
+    run_ts: dt.datetime,
+) -> dict[dt.date, int]:
+    """``upsert`` into a table in buckets, for tables that are much larger than a batch."""
+    rows = bucketed_rows(batch, table, run_dates, rule, wall_clock(run_ts))
+    rows, written = _counting(rows, run_dates)
+    table.replace(rows)
+    return _counts(written, run_dates)
+
+
+def upsert_files(
+    batch: DataFrame,
+    table: VersionedSnapshot,
+    run_dates: Sequence[dt.date],
+    rule: UpsertRule,
+    run_ts: dt.datetime,
+) -> dict[dt.date, int]:
+    """``upsert`` into a table in versions: only files that hold a key of the batch are rewritten,
+    together with the new rows, and all dates take effect at once."""
+    version = table.current()
+    with Scratch(batch.sparkSession) as scratch:
+        customer_type = batch.schema["customer_id"].dataType
+        checked = _distinct_keys(batch.withColumns(_checked_keys(run_dates, customer_type)))
+        staged = scratch.stage(checked, "batch")
+        # A row per date.
+        counted = staged.groupBy("run_date").agg(F.count("*").alias("n")).collect()
+        counts = {day: 0 for day in run_dates} | {row.run_date: row.n for row in counted}
+        if not counted:
+            return counts
+        touched = table.touched(version, staged)
+        stored = table.read_files(touched)
+        rows = merged(stored, staged, rule, wall_clock(run_ts)).drop("_given")
+        n_rows = sum(counts.values()) + table.n_rows(version, touched)
+        table.publish(version, table.write(rows, n_rows, version, touched))
+    return counts

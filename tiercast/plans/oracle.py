@@ -286,6 +286,16 @@ def _recency(metrics: str) -> str:
     return f"select run_date, customer_id, recency_days from ({metrics})"
 
 
+UPSERT_CORE = _upsert(_daily, UPSERTED, ["comments", "logs"], False, "")
+UPSERT_DETAILED = _upsert(
+    _detailed,
+    [*UPSERTED, "comments"],
+    [],
+    True,
+    """, '{"source":"daily_rfm_pipeline"}' as logs""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "filter_status": """
@@ -314,14 +324,10 @@ def oracle_sql() -> dict[str, str]:
         "rfm_daily_incremental": _daily(ORDER_METRICS),
         "rfm_daily_detailed": _detailed(EVENT_METRICS_ELAPSED),
         "rfm_daily_detailed_distributed": _detailed(EVENT_METRICS_ELAPSED),
-        "upsert_core": _upsert(_daily, UPSERTED, ["comments", "logs"], False, ""),
-        "upsert_detailed": _upsert(
-            _detailed,
-            [*UPSERTED, "comments"],
-            [],
-            True,
-            """, '{"source":"daily_rfm_pipeline"}' as logs""",
-        ),
+        "upsert_core": UPSERT_CORE,
+        "upsert_core_bucketed": UPSERT_CORE,
+        "upsert_detailed": UPSERT_DETAILED,
+        "upsert_detailed_files": UPSERT_DETAILED,
         "run_summary": f"""
             select {ORDERS_DAY} as run_date, count(distinct who) as records from ({ORDERS})
         """,

@@ -14,7 +14,14 @@ from tiercast.functions.labels import core_behaviour, detailed_behaviour, score_
 from tiercast.operators import statistics
 from tiercast.operators.metrics import accepted_orders, customer_metrics
 from tiercast.operators.scratch import Scratch
-from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
+from tiercast.operators.upsert import (
+    CORE,
+    DETAILED,
+    upsert,
+    upsert_bucketed,
+    upsert_files,
+    with_logs,
+)
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import (
     labelled,
@@ -27,9 +34,11 @@ from tiercast.plans.daily import (
     with_recency,
 )
 from tiercast.plans.job import incremental_base, run, run_backfill
+from tiercast.sources.bucketed import BucketedSnapshot
 from tiercast.sources.orders import read_orders
 from tiercast.sources.snapshot import read_snapshot
 from tiercast.sources.stored_metrics import StoredMetrics
+from tiercast.sources.versions import VersionedSnapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,10 +140,10 @@ def _daily_detailed(config: DailyConfig) -> Query:
     return query
 
 
-def _two_batches(spark: SparkSession, sf_dir: str, detailed: bool) -> DataFrame:
+def _two_batches(spark: SparkSession, sf_dir: str, detailed: bool, write: Callable) -> None:
+    """Give both batches to ``write(batch, run_dates, rule, run_ts)``."""
     orders = _orders(spark, sf_dir)
     split = F.lit(str(BATCH_SPLIT)).cast("timestamp_ntz")
-    target = f"{Scratch(spark).path}/customer_daily"
     for part, run_ts in (
         (orders.where(F.col("created_at") < split), FIRST_RUN),
         (orders.where(F.col("created_at") >= split), SECOND_RUN),
@@ -144,16 +153,41 @@ def _two_batches(spark: SparkSession, sf_dir: str, detailed: bool) -> DataFrame:
             batch, rule = with_logs(with_detailed_labels(scores)), DETAILED
         else:
             batch, rule = with_core_labels(scores), CORE
-        upsert(batch, target, [ORDERS_DAY.run_date], rule, run_ts)
-    return read_snapshot(spark, target)
+        write(batch, [ORDERS_DAY.run_date], rule, run_ts)
+
+
+def _upserted(detailed: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target = f"{Scratch(spark).path}/customer_daily"
+
+        def write(batch: DataFrame, *options) -> None:
+            upsert(batch, target, *options)
+
+        _two_batches(spark, sf_dir, detailed, write)
+        return read_snapshot(spark, target)
+
+    return query
+
+
+def upsert_core_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = BucketedSnapshot(spark, f"{Scratch(spark).path}/customer_daily", buckets=8)
+
+    def write(batch: DataFrame, *options) -> None:
+        upsert_bucketed(batch, table, *options)
+
+    _two_batches(spark, sf_dir, False, write)
+    table.forget()
+    return table.read()
 
 
-def upsert_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_batches(spark, sf_dir, detailed=False)
+def upsert_detailed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = VersionedSnapshot(spark, f"{Scratch(spark).path}/customer_daily", rows_per_file=5000)
 
+    def write(batch: DataFrame, *options) -> None:
+        upsert_files(batch, table, *options)
 
-def upsert_detailed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_batches(spark, sf_dir, detailed=True)
+    _two_batches(spark, sf_dir, True, write)
+    return table.read()
 
 
 def _arrived(spark: SparkSession, sf_dir: str) -> StoredMetrics:
@@ -236,8 +270,10 @@ def queries() -> dict[str, Query]:
         "rfm_daily_detailed_distributed": _daily_detailed(
             replace(EVENTS_ELAPSED, strategy=DISTRIBUTED)
         ),
-        "upsert_core": upsert_core,
-        "upsert_detailed": upsert_detailed,
+        "upsert_core": _upserted(detailed=False),
+        "upsert_core_bucketed": upsert_core_bucketed,
+        "upsert_detailed": _upserted(detailed=True),
+        "upsert_detailed_files": upsert_detailed_files,
         "run_summary": run_summary,
         "metric_correlation": _statistic(statistics.metric_correlation),
         "metric_significance": _statistic(statistics.metric_significance),
