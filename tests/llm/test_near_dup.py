@@ -8,6 +8,7 @@ from odd import documents, nothing
 
 from tiercast.llm import dart_minhash as darts
 from tiercast.llm import near_dup
+from tiercast.operators.scratch import Scratch
 
 
 def plain_shingles(text):
@@ -127,10 +128,9 @@ def test_groups_and_chains_equal_brute_force(spark):
     assert classes(spark.createDataFrame(rows, "doc_id long, text string")) == brute_classes(rows)
 
 
-@pytest.mark.parametrize("at_once", [0, 256])
-def test_members_that_differ_from_the_hub_are_linked(spark, monkeypatch, at_once):
-    monkeypatch.setattr(near_dup, "PAIRS_AT_ONCE", at_once)
-    monkeypatch.setattr(near_dup, "HUBS", 1)
+@pytest.mark.parametrize("draws", [(), (1, 4)])
+def test_members_that_differ_from_the_hub_are_linked(spark, monkeypatch, draws):
+    monkeypatch.setattr(near_dup, "DRAWS", draws)
     # With one coordinate per band, buckets hold many texts that are not alike.
     monkeypatch.setattr(near_dup, "COORDINATES", 8)
     monkeypatch.setattr(near_dup, "BANDS", 8)
@@ -157,3 +157,30 @@ def test_a_hot_group_of_copies_and_near_copies(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
     found = classes(frame)
     assert [row for row in found if row[2] > 1] == sorted(((i, 0, 900) for i in range(900)), key=repr)
+
+
+def group_of_near_copies(n, seed):
+    """Near-copies of one text, some changed little, some much, in several components."""
+    rnd = random.Random(seed)
+    base = words(rnd, 150)
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rnd.choice((1, 2, 3, 5, 7))):
+            text[rnd.randrange(len(text))] = f"edit{i}-{rnd.random()}"
+        rows.append(" ".join(text))
+    return list(enumerate(rows))
+
+
+def test_pairs_grow_with_the_members_of_a_group(spark):
+    compared = {}
+    for n in (300, 1200):
+        rows = group_of_near_copies(n, 9)
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        with Scratch(spark) as scratch:
+            found = near_dup.near_duplicates(frame, scratch=scratch)
+            found = sorted(((r.doc_id, r.class_id, r.class_size) for r in found.collect()), key=repr)
+            compared[n] = spark.read.parquet(f"{scratch.path}/pairs-*").count()
+        if n == 300:
+            assert found == brute_classes(rows)
+    assert all(pairs <= 64 * n for n, pairs in compared.items())

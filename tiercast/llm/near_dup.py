@@ -4,12 +4,14 @@ Texts of equal words collapse to one representative first, so copies cost one ro
 representatives' signatures are cut into bands; texts that agree on a band share a bucket. No
 bucket is expanded into pairs: its smallest member is its hub, each other member is compared with
 the hub by exact weighted Jaccard similarity of their whole texts, and links form components.
-Where a bucket then still holds several components, members outside its largest one become hubs in
-turn until it holds one component or every pair across components that can be similar has been
-compared. Whether it can is bounded without a comparison: shingles that only one text of all open
-buckets has are shared with none of them, so the weight of the others limits what a pair can share.
-So a pair in one bucket that is similar enough always ends up in one component, whatever the size of
-the bucket; true copies need one comparison each.
+Where a bucket then still holds several components, each member outside its largest one is compared
+with a few members of that one in turn. What is still open meets by exact prefixes: of two texts
+that are similar enough, the shingles that few open texts hold, taken up to the weight that the other
+text may lack, have one in common. Only members of one bucket in different components that share such
+a shingle and whose weights allow it are compared. Texts that the rounds do not link hold much that
+few others have, so their prefixes are rare shingles, and a shingle that many texts hold is in the
+prefix of few of them. So a pair in one bucket that is similar enough always ends up in one
+component, whatever the size of the bucket; true copies need one comparison each.
 
 With 32 bands of 6, a pair at similarity 0.8 misses all buckets in 6 of 100,000 cases, and ones
 above that less often.
@@ -25,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,10 +40,10 @@ LEAST_SIMILARITY = 0.8
 COORDINATES, BANDS = 192, 32
 # For the rounding of bounds that are compared with whole weights.
 SLACK = 1e-6
-# Further hubs a bucket uses at once, four times as many with each round.
-HUBS = 4
-# Below this mean number of pairs per member all hubs are used in one round.
-PAIRS_AT_ONCE = 256
+# By round: how often each member outside its bucket's largest component is compared with a member of
+# that one before prefixes are taken, and the number of members from which one is drawn.
+DRAWS = (1, 4, 16)
+DRAWN_FROM = 8
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -117,118 +119,85 @@ def _links(
         rows.select("row", F.col("doc.text").alias("text")).join(candidates.hint("merge"), "row"),
         "texts",
     )
-    links = scratch.stage(_verified(pairs, texts, least), "links-0")
-    tested, step, open_ = pairs, 0, entries.select("band", "key", "rep")
-    rooted = scratch.stage(components(links, scratch, "components-0"), "rooted-0")
-    open_, _ = _open_buckets(open_, rooted, scratch, "open-0")
-    if open_ is None:
-        return rooted
-    weights = scratch.stage(_weights(open_, texts), "weights")
-    # What a text shares with another is at most what it shares with any.
-    alike = F.col("shared") >= least * F.col("total") - SLACK
-    kept = ["band", "key", "rep", "total", "shared", "bands"]
-    open_ = (
-        open_.join(weights.where(alike), "rep").join(same.select("rep", "bands"), "rep").select(kept)
-    )
+    found, tested, rooted, step = _verified(pairs, texts, least), pairs, None, 0
     while True:
-        open_, few = _open_buckets(open_, rooted, scratch, f"open-{step + 1}")
+        found = scratch.stage(found, f"links-{step}")
+        if rooted is None or not found.isEmpty():
+            if rooted is not None:
+                found = found.unionAll(
+                    rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                )
+            rooted = components(found, scratch, f"components-{step}")
+            rooted = scratch.stage(rooted, f"rooted-{step}")
+        if step > len(DRAWS):
+            return rooted
+        open_ = _open_buckets(entries.select("band", "key", "rep"), rooted, scratch, f"open-{step}")
         if open_ is None:
             return rooted
         step += 1
-        hubs = _hubs(open_, None if few else HUBS << (2 * step), scratch, f"hubs-{step}")
-        can_share = F.least("shared", "hub_shared") * (1 + least)
-        both = F.col("total") + F.col("hub_total")
-        # Two texts that share several buckets meet in the first of them only.
-        earlier = F.zip_with(
-            F.slice("bands", 1, F.col("band")),
-            F.slice("hub_bands", 1, F.col("band")),
-            lambda key, hub_key: key == hub_key,
-        )
-        met = (
-            open_.join(
-                hubs,
-                (F.col("band") == F.col("hub_band"))
-                & (F.col("key") == F.col("hub_key"))
-                & (F.col("component") != F.col("hub_component"))
-                & (can_share >= least * both - SLACK)
-                & ~F.exists(earlier, lambda agree: agree),
-            )
-            .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
-            .distinct()
-        )
+        if step <= len(DRAWS):
+            met = _drawn(open_, DRAWS[step - 1], step)
+        else:
+            met = _prefix_pairs(open_, same, texts, least, scratch)
         pairs = scratch.stage(met.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
-        found = scratch.stage(_verified(pairs, texts, least), f"links-{step}")
-        stars = rooted.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        if not found.isEmpty():
-            links = stars.unionAll(found)
-            rooted = components(links, scratch, f"components-{step}")
-            rooted = scratch.stage(rooted, f"rooted-{step}")
-        if few:
-            return rooted
-        tested = tested.unionAll(pairs)
-        # A hub has now met all others of its buckets.
-        used = hubs.select(
-            F.col("hub_band").alias("band"), F.col("hub_key").alias("key"), F.col("hub").alias("rep")
-        )
-        open_ = open_.select(kept).join(used, ["band", "key", "rep"], "left_anti")
+        found, tested = _verified(pairs, texts, least), tested.unionAll(pairs)
 
 
 def _open_buckets(
     entries: DataFrame, rooted: DataFrame, scratch: Scratch, name: str
-) -> tuple[DataFrame | None, bool]:
-    """The members of the buckets that hold several components, with their component and the
-    largest one of the bucket; and whether all members outside the largest may be hubs at once."""
+) -> DataFrame | None:
+    """``(band, key, rep, component, largest, in_largest)`` of the buckets that hold several
+    components: each member's, the largest one of the bucket and its size."""
     placed = entries.join(rooted, F.col("rep") == F.col("node"), "left").select(
         *entries.columns, F.coalesce("root", "rep").alias("component")
     )
-    largest = F.max(F.struct("members", "component"))
     buckets = scratch.stage(
         placed.groupBy("band", "key", "component")
         .agg(F.count("*").alias("members"))
         .groupBy("band", "key")
         .agg(
             F.count("*").alias("n_components"),
-            F.sum("members").alias("members"),
-            largest.alias("largest"),
+            F.max(F.struct("members", "component")).alias("first"),
         )
         .where(F.col("n_components") > 1)
-        .select("band", "key", "members", "largest.component", "largest.members")
-        .toDF("band", "key", "members", "largest", "in_largest"),
+        .select(
+            "band",
+            "key",
+            F.col("first.component").alias("largest"),
+            F.col("first.members").alias("in_largest"),
+        ),
         f"{name}-buckets",
     )
-    outside = F.col("members") - F.col("in_largest")
-    sums = buckets.agg(
-        F.sum(outside * F.col("members")).alias("pairs"), F.sum("members").alias("members")
-    ).first()
-    if sums.members is None:
-        return None, True
-    joined = placed.join(buckets.select("band", "key", "largest"), ["band", "key"])
-    return scratch.stage(joined, name), sums.pairs <= PAIRS_AT_ONCE * sums.members
-
-
-def _hubs(open_: DataFrame, width: int | None, scratch: Scratch, name: str) -> DataFrame:
-    """Members outside the largest component of each open bucket, up to ``width`` of them."""
-    hubs = open_.where(F.col("component") != F.col("largest"))
-    if width is not None:
-        place = F.row_number().over(Window.partitionBy("band", "key").orderBy("rep"))
-        hubs = hubs.withColumn("place", place).where(F.col("place") <= width)
-    return scratch.stage(
-        hubs.select(
-            F.col("band").alias("hub_band"),
-            F.col("key").alias("hub_key"),
-            F.col("rep").alias("hub"),
-            F.col("component").alias("hub_component"),
-            F.col("total").alias("hub_total"),
-            F.col("shared").alias("hub_shared"),
-            F.col("bands").alias("hub_bands"),
-        ),
-        name,
+    if buckets.isEmpty():
+        return None
+    return scratch.stage(placed.join(buckets, ["band", "key"]), name)
+
+
+def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
+    """``(a, b)``: each member outside its bucket's largest component, with some of that, drawn by
+    hashes."""
+    parts = F.ceil(F.col("in_largest") / DRAWN_FROM)
+
+    def part(draw: Column) -> Column:
+        return F.pmod(F.xxhash64("rep", F.lit(step), draw), parts)
+
+    hubs = (
+        open_.where(F.col("component") == F.col("largest"))
+        .groupBy("band", "key", part(F.lit(0)).alias("part"))
+        .agg(F.min("rep").alias("hub"))
+    )
+    outside = open_.where(F.col("component") != F.col("largest")).withColumn(
+        "part", F.explode(F.array_distinct(F.array(*[part(F.lit(i)) for i in range(1, draws + 1)])))
+    )
+    return (
+        outside.join(hubs, ["band", "key", "part"])
+        .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
+        .distinct()
     )
 
 
-def _weights(open_: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(rep, total, shared)``: the shingles of each text in open buckets, and those of them that
-    another such text has too."""
+def _spread_shingles(texts: DataFrame) -> DataFrame:
+    """``(rep, shingle, weight)`` of whole texts."""
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in slices(batches, "text"):
@@ -243,23 +212,82 @@ def _weights(open_: DataFrame, texts: DataFrame) -> DataFrame:
                     ["rep", "shingle", "weight"],
                 )
 
+    return in_arrow(texts.select("row", "text"), spread, "rep long, shingle long, weight long")
+
+
+def _prefixes(open_: DataFrame, texts: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """``(rep, shingle, total, shared)``: of each open text the shingles that few open texts hold, up to the
+    weight that a similar text may lack and one more; those that no other holds are left out."""
     rows = texts.join(open_.select(F.col("rep").alias("row")).distinct(), "row", "left_semi")
-    shingles = in_arrow(
-        rows.select("row", "text"), spread, "rep long, shingle long, weight long"
+    shingles = scratch.stage(_spread_shingles(rows), "open-shingles")
+    # One row per shingle; no list of holders is built.
+    held = shingles.groupBy("shingle").agg(
+        F.count("*").alias("holders"), F.min("rep").alias("only"), F.min("weight").alias("own")
     )
-    # One row per text and one per shingle that a single text holds; no list of holders is built.
+    held = scratch.stage(held, "open-holders")
     alone = (
-        shingles.groupBy("shingle")
-        .agg(F.count("*").alias("holders"), F.min("rep").alias("rep"), F.min("weight").alias("own"))
-        .where(F.col("holders") == 1)
-        .groupBy(F.col("rep").alias("of"))
+        held.where(F.col("holders") == 1)
+        .groupBy(F.col("only").alias("of"))
         .agg(F.sum("own").alias("own"))
     )
-    totals = shingles.groupBy("rep").agg(F.sum("weight").alias("total"))
-    shared = F.col("total") - F.coalesce("own", F.lit(0))
-    return totals.join(alone, F.col("rep") == F.col("of"), "left").select(
-        "rep", "total", shared.alias("shared")
+    totals = scratch.stage(
+        shingles.groupBy("rep")
+        .agg(F.sum("weight").alias("total"))
+        .join(alone, F.col("rep") == F.col("of"), "left")
+        .select(
+            "rep",
+            "total",
+            F.coalesce("own", F.lit(0)).alias("own"),
+            # A similar text has all but this of the weight, at least.
+            (F.col("total") * (1 - least) + SLACK).alias("lacking"),
+        )
+        .where(F.col("own") <= F.col("lacking")),
+        "open-totals",
+    )
+    shared = shingles.join(totals, "rep").join(
+        held.where(F.col("holders") > 1).select("shingle", "holders"), "shingle"
+    )
+    # A window holds the shingles of one text.
+    rarest = Window.partitionBy("rep").orderBy("holders", "shingle")
+    before = F.sum("weight").over(rarest) - F.col("weight") + F.col("own")
+    return scratch.stage(
+        shared.withColumn("before", before)
+        .where(F.col("before") <= F.col("lacking"))
+        .select("rep", "shingle", "total", (F.col("total") - F.col("own")).alias("shared")),
+        "open-prefixes",
+    )
+
+
+def _prefix_pairs(
+    open_: DataFrame, same: DataFrame, texts: DataFrame, least: float, scratch: Scratch
+) -> DataFrame:
+    """``(a, b)``: members of a bucket in different components, one of them outside the bucket's
+    largest, that can be similar."""
+    prefixes = _prefixes(open_, texts, least, scratch)
+    outside = F.max(F.col("component") != F.col("largest"))
+    members = scratch.stage(
+        open_.groupBy("rep")
+        .agg(F.first("component").alias("component"), outside.alias("outside"))
+        .join(same.select("rep", "bands"), "rep"),
+        "open-members",
+    )
+    placed = prefixes.join(members, "rep")
+    left = placed.where("outside").drop("outside")
+    right = placed.drop("outside").toDF(*[f"other_{c}" for c in left.columns])
+    in_one_bucket = F.exists(F.zip_with("bands", "other_bands", lambda a, b: a == b), lambda same: same)
+    # Two texts share no more than either shares with any.
+    can_share = F.least("shared", "other_shared") * (1 + least)
+    enough = can_share >= least * (F.col("total") + F.col("other_total")) - SLACK
+    met = left.join(
+        right,
+        (F.col("shingle") == F.col("other_shingle"))
+        & (F.col("component") != F.col("other_component"))
+        & enough
+        & in_one_bucket,
     )
+    return met.select(
+        F.greatest("rep", "other_rep").alias("a"), F.least("rep", "other_rep").alias("b")
+    ).distinct()
 
 
 def _classes(rows: DataFrame, least: float, scratch: Scratch) -> DataFrame:
