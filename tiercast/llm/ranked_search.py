@@ -52,6 +52,8 @@ ITEM_GROUP = 8
 FIRST_SHARE = 32
 # Sums below this are exact in doubles.
 EXACT = 1 << 53
+# Documents that one task searches.
+TASK_DOCS = 8192
 # Parts of an item's rows that are merged by themselves first.
 MERGE_PARTS = 64
 
@@ -311,7 +313,8 @@ def _search_block(
     corpus = _corpus(counted, len(block.vocabulary))
     weights = block.counts * term_weights(corpus) if corpus.documents else block.counts * 0
     tree = item_tree(weights)
-    useful = counted.where(F.size("terms") > 0)
+    # By documents, since their counts are small and the work for each is not.
+    useful = counted.where(F.size("terms") > 0).repartition(corpus.documents // TASK_DOCS + 1)
     # The k-th score among some documents is one that the k-th of all reaches.
     least = np.zeros(len(block.ids), np.int64)
     share = F.pmod(F.xxhash64("doc_id", "n"), FIRST_SHARE) == 0
