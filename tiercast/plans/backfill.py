@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from tiercast.config import CALENDAR, ELAPSED, DailyConfig
 from tiercast.operators.metrics import accepted_orders, customer_metrics_as_of
@@ -33,3 +34,18 @@ def rfm_backfill(
     )
     scores = add_scores(base, config.strategy, scratch=scratch)
     return with_detailed_labels(scores) if detailed else with_core_labels(scores)
+
+
+def first_affected(orders: DataFrame, config: DailyConfig, first: dt.date, last: dt.date) -> dt.date | None:
+    """The earliest date in [first, last] whose scores these late or corrected orders change, or
+    None if there is none.
+
+    A date is scored from all orders up to it and those without a date, so an accepted order changes
+    its own day and every later one, and one without a date changes them all. Give a corrected order
+    as it was and as it is.
+    """
+    accepted = accepted_orders(orders, config.excluded_status)
+    earliest = accepted.agg(
+        F.min(F.greatest(F.coalesce(F.to_date("created_at"), F.lit(first)), F.lit(first)))
+    ).first()[0]
+    return earliest if earliest is not None and earliest <= last else None

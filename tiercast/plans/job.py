@@ -12,7 +12,7 @@ from tiercast.operators import statistics
 from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
-from tiercast.plans.backfill import rfm_backfill
+from tiercast.plans.backfill import first_affected, rfm_backfill
 from tiercast.plans.daily import (
     rfm_base,
     scored,
@@ -122,3 +122,25 @@ def run_backfill(
         batch, rule = _batch(rows, detailed)
         records = upsert(batch, target, run_dates, rule, config.run_ts, unique_keys=True)
     return _summary(spark, records)
+
+
+def rerun_affected(
+    orders: DataFrame,
+    changed: DataFrame,
+    target: str,
+    first: dt.date,
+    last: dt.date,
+    config: DailyConfig = DailyConfig(),
+    detailed: bool = False,
+) -> DataFrame:
+    """``run_backfill`` of the dates in [first, last] that late or corrected orders change.
+
+    ``orders`` are all orders as they are now; ``changed`` the late ones, and the corrected ones as
+    they were and as they are. Snapshots of dates before the first change are left alone. As with any
+    upsert, a customer all of whose orders were withdrawn keeps the rows that are stored.
+    """
+    start = first_affected(changed, config, first, last)
+    if start is None:
+        schema = "run_date date, records long"
+        return orders.sparkSession.createDataFrame([], schema)
+    return run_backfill(orders, target, start, last, config, detailed)

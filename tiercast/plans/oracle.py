@@ -322,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "score_tier": _label("rfm_segment", TIER),
         "rfm_daily": _daily(ORDER_METRICS),
         "rfm_daily_incremental": _daily(ORDER_METRICS),
+        "rfm_daily_ingested": _daily(ORDER_METRICS),
         "rfm_daily_detailed": _detailed(EVENT_METRICS_ELAPSED),
         "rfm_daily_detailed_distributed": _detailed(EVENT_METRICS_ELAPSED),
         "upsert_core": UPSERT_CORE,
@@ -342,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_density": DENSITY,
         "rfm_backfill": _daily(BACKFILL_METRICS),
         "rfm_backfill_incremental": _daily(BACKFILL_METRICS),
+        "rfm_backfill_corrected": _daily(BACKFILL_METRICS),
         "rfm_backfill_distributed": _daily(BACKFILL_METRICS),
         "rfm_backfill_detailed": _detailed(BACKFILL_ELAPSED),
         "backfill_summary": f"""

@@ -24,6 +24,7 @@ from tiercast.operators.upsert import (
 )
 from tiercast.plans.backfill import rfm_backfill
 from tiercast.plans.daily import (
+    DAILY_COLUMNS,
     labelled,
     rfm_base,
     rfm_daily,
@@ -33,12 +34,13 @@ from tiercast.plans.daily import (
     with_detailed_labels,
     with_recency,
 )
-from tiercast.plans.job import incremental_base, run, run_backfill
+from tiercast.plans.job import incremental_base, rerun_affected, run, run_backfill
 from tiercast.sources.bucketed import BucketedSnapshot
 from tiercast.sources.orders import read_orders
 from tiercast.sources.snapshot import read_snapshot
 from tiercast.sources.stored_metrics import StoredMetrics
 from tiercast.sources.versions import VersionedSnapshot
+from tiercast.streaming.ingest import ingest_orders, read_order_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +61,7 @@ EVENTS_MID_MONTH = replace(EVENTS_ELAPSED, run_date=dt.date(2024, 1, 15))
 BACKFILL = (dt.date(2001, 7, 30), dt.date(2001, 8, 2))
 # The upsert queries score the orders before and from this moment as two batches of one day.
 BATCH_SPLIT = dt.datetime(1998, 7, 1)
+LATE_DAY = dt.date(2001, 7, 31)
 # The incremental queries get the orders of these years in this order: late ones last.
 ARRIVALS = ((1999, 2100), (1997, 1999), (0, 1997))
 FIRST_RUN = dt.datetime(2001, 8, 2, 2, 0)
@@ -215,6 +218,26 @@ def backfill_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_core_labels(scored(base, ORDERS_DAY))
 
 
+def daily_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order table as a file stream, into the stored metrics and the snapshot."""
+    root = Scratch(spark).path
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    # The stream lists a folder, or what a pattern matches.
+    stream = read_order_stream(spark, f"{sf_dir}/orders.parque[t]", schema, ORDERS)
+    ingest_orders(stream, f"{root}/checkpoint", f"{root}/metrics", f"{root}/daily", ORDERS_DAY)
+    return read_snapshot(spark, f"{root}/daily").select(*DAILY_COLUMNS)
+
+
+def rerun_after_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of the orders before a late one's day, then the dates which the late orders change."""
+    orders = _orders(spark, sf_dir)
+    target = f"{Scratch(spark).path}/customer_daily"
+    late = F.coalesce(F.to_date("created_at") == F.lit(LATE_DAY), F.lit(False))
+    run_backfill(orders.where(~late), target, *BACKFILL, ORDERS_DAY)
+    rerun_affected(orders, orders.where(late), target, *BACKFILL, ORDERS_DAY)
+    return read_snapshot(spark, target).select(*DAILY_COLUMNS)
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = f"{Scratch(spark).path}/customer_daily"
     return run(_orders(spark, sf_dir), target, ORDERS_DAY)
@@ -266,6 +289,7 @@ def queries() -> dict[str, Query]:
         "score_tier": _label("rfm_segment", score_tier),
         "rfm_daily": daily,
         "rfm_daily_incremental": daily_incremental,
+        "rfm_daily_ingested": daily_ingested,
         "rfm_daily_detailed": _daily_detailed(EVENTS_ELAPSED),
         "rfm_daily_detailed_distributed": _daily_detailed(
             replace(EVENTS_ELAPSED, strategy=DISTRIBUTED)
@@ -290,5 +314,6 @@ def queries() -> dict[str, Query]:
         "rfm_backfill_distributed": _backfill(distributed),
         "rfm_backfill_detailed": _backfill(ORDERS_DAY, detailed=True),
         "rfm_backfill_incremental": backfill_incremental,
+        "rfm_backfill_corrected": rerun_after_corrections,
         "backfill_summary": backfill_summary,
     }
