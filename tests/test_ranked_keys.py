@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -124,6 +125,21 @@ def test_scores_of_text_customers_equal_ntile(spark, rows, sort_rows):
     assert sorted(map(repr, by_window)) == sorted(map(repr, by_cuts))
 
 
+@pytest.mark.parametrize("sort_rows", [2, 10**6])
+def test_long_text_ids_among_short_ones(spark, sort_rows):
+    """One id of 100 KB, ids that agree for long, and ids that end within what others share."""
+    ids = [f"c{i}" for i in range(40)] + ["c1" * 50_000, "c1" * 50_000 + "x"]
+    ids += ["z" * 63 + tail for tail in ("", "\0", "a", "b", "ba", "é", "a\0")] + ["z" * n for n in range(15, 70)]
+    schema = BASE.replace("customer_id bigint", "customer_id string")
+    rows = [(DAY, who, 1, i % 2, Decimal(1)) for i, who in enumerate(dict.fromkeys(ids))]
+    base = spark.createDataFrame(rows, schema)
+    started = time.monotonic()
+    by_cuts = quintiles.add_scores(base, "distributed", sort_rows=sort_rows).collect()
+    assert time.monotonic() - started < 60
+    by_window = quintiles.add_scores(base, "window").collect()
+    assert sorted(map(repr, by_window)) == sorted(map(repr, by_cuts))
+
+
 def test_a_third_of_all_customers_tied(spark):
     n = 200_000
     base = spark.range(n).select(

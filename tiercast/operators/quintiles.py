@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tiercast.config import AUTO, BUCKETS, SMALL_PLAN_BYTES, WINDOW
-from tiercast.operators.ranked_keys import SORT_ROWS, Levels, keys_at_ranks
+from tiercast.operators.ranked_keys import SORT_ROWS, Levels, TextTie, keys_at_ranks
 from tiercast.operators.scratch import Scratch, plan_bytes, plan_table
 
 
@@ -38,8 +38,8 @@ MONEY_PARTS = ("money_major", "money_minor")
 # Place of missing values, the value in two parts, whether there is a customer id; the parts of
 # the id follow.
 VALUE_LEVELS = ("nulls", "major", "minor", "known")
-# Bytes of a text id in one bigint.
-ID_BYTES = 7
+# Bytes of a text id in one bigint, and those that are looked at together.
+ID_BYTES, ID_WINDOW = 7, 21
 
 
 def add_scores(
@@ -116,38 +116,43 @@ def value_parts(metric: str) -> tuple[Column, Column]:
     return F.lit(0).cast("bigint"), F.col(metric).cast("bigint")
 
 
-def id_parts(staged: DataFrame) -> dict[str, Column]:
-    """The customer id as bigints that order like it.
-
-    A text is cut into runs of seven bytes, as many as the longest id needs, and its length tells
-    an id from one that goes on with zero bytes.
-    """
+def _text_parts(offset: int) -> dict[str, Column]:
+    """Bigints that order like the ``ID_WINDOW`` bytes of a text id from an offset on: runs of seven
+    bytes, and the number of bytes, which tells an id from one that goes on with zero bytes."""
     customer = F.col("customer_id")
-    if staged.schema["customer_id"].dataType.simpleString() == "bigint":
-        return {"id": customer}
-    longest = staged.agg(F.max(F.octet_length("customer_id"))).first()[0] or 0
     text = F.encode(customer, "UTF-8")
 
     def part(i: int) -> Column:
-        digits = F.hex(F.substring(text, ID_BYTES * i + 1, ID_BYTES))
+        digits = F.hex(F.substring(text, offset + ID_BYTES * i + 1, ID_BYTES))
         return F.conv(F.rpad(digits, 2 * ID_BYTES, "0"), 16, 10).cast("bigint")
 
-    parts = {f"id_{i}": part(i) for i in range(-(-longest // ID_BYTES))}
-    return {**parts, "id_length": F.octet_length(customer).cast("bigint")}
+    left = F.greatest(F.octet_length(customer) - offset, F.lit(0))
+    return {
+        **{f"id_{i}": part(i) for i in range(ID_WINDOW // ID_BYTES)},
+        "id_length": F.least(left, F.lit(ID_WINDOW)).cast("bigint"),
+    }
 
 
-def _key(score: Score, ids: dict[str, Column]) -> dict[str, Column]:
+def id_levels(staged: DataFrame) -> tuple[dict[str, Column], TextTie | None]:
+    """The customer id as bigints that order like it, and what breaks their ties: a text id beyond
+    its first bytes."""
+    if staged.schema["customer_id"].dataType.simpleString() == "bigint":
+        return {"id": F.col("customer_id")}, None
+    return _text_parts(0), TextTie("customer_id", ID_WINDOW, _text_parts)
+
+
+def _value_key(score: Score) -> dict[str, Column]:
     sign = -1 if score.descending else 1
     absent = F.lit(0).cast("bigint")
     major, minor = (F.coalesce(part * sign, absent) for part in value_parts(score.metric))
     missing = F.col(score.metric).isNull()
-    customer = F.col("customer_id")
-    values = (missing != F.lit(score.descending), major, minor, customer.isNotNull())
-    levels = {
-        **dict(zip(VALUE_LEVELS, values)),
-        **{name: F.coalesce(part, absent) for name, part in ids.items()},
-    }
-    return {name: level.cast("bigint") for name, level in levels.items()}
+    values = (missing != F.lit(score.descending), major, minor, F.col("customer_id").isNotNull())
+    return {name: value.cast("bigint") for name, value in zip(VALUE_LEVELS, values)}
+
+
+def _key(score: Score, ids: dict[str, Column]) -> dict[str, Column]:
+    absent = F.lit(0).cast("bigint")
+    return _value_key(score) | {name: F.coalesce(part, absent) for name, part in ids.items()}
 
 
 def bucket_ends(n_rows: int) -> list[int]:
@@ -156,13 +161,16 @@ def bucket_ends(n_rows: int) -> list[int]:
     return [bucket * size + min(bucket, larger) for bucket in range(1, BUCKETS)]
 
 
-def score_entries(staged: DataFrame, ids: dict[str, Column]) -> DataFrame:
+def score_entries(
+    staged: DataFrame, ids: dict[str, Column], tie: TextTie | None
+) -> DataFrame:
     """One row per customer and metric, in the form ``keys_at_ranks`` orders."""
     per_metric = [
         staged.select(
             F.unix_date("run_date").alias("day"),
             F.lit(number).alias("metric"),
             *[level.alias(name) for name, level in _key(score, ids).items()],
+            *([tie.column] if tie else []),
         )
         for number, score in enumerate(SCORES)
     ]
@@ -171,17 +179,27 @@ def score_entries(staged: DataFrame, ids: dict[str, Column]) -> DataFrame:
 
 def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
     """Compare every row with the four bucket ends of each metric: no sort, no shuffle."""
-    ids = id_parts(staged)
+    ids, tie = id_levels(staged)
     levels: Levels = (*VALUE_LEVELS, *ids)
-    keys, totals = keys_at_ranks(score_entries(staged, ids), bucket_ends, sort_rows, levels)
+    entries = score_entries(staged, ids, tie)
+    keys, totals = keys_at_ranks(entries, bucket_ends, sort_rows, levels, tie)
     if not totals:
         return _by_window(staged).drop(*MONEY_PARTS)
-    at = {(k.day, k.metric, k.rank): dict(zip(levels, k.key)) for k in keys}
-    cuts_type = pa.list_(pa.struct([(level, pa.int64()) for level in levels]))
+    # The cuts hold whole ids, bigint or text.
+    at = {
+        (k.day, k.metric, k.rank): dict(zip(levels, k.key))
+        | {"id": k.text or "" if tie else k.key[-1]}
+        for k in keys
+    }
+    fields = [*[(level, pa.int64()) for level in VALUE_LEVELS], ("id", pa.string() if tie else pa.int64())]
+    cuts_type = pa.list_(pa.struct(fields))
     columns = [f"{score.name}_cuts" for score in SCORES]
 
+    names = [name for name, _ in fields]
+
     def cuts_of(day: int, number: int) -> list[dict]:
-        return [at[day, number, end] for end in bucket_ends(totals[day, number])]
+        ends = bucket_ends(totals[day, number])
+        return [{name: at[day, number, end][name] for name in names} for end in ends]
 
     cuts = plan_table(
         staged.sparkSession,
@@ -193,8 +211,11 @@ def _by_cuts(staged: DataFrame, sort_rows: int) -> DataFrame:
         pa.schema([("day", pa.int32()), *[(column, cuts_type) for column in columns]]),
     )
 
+    whole_id = F.coalesce("customer_id", F.lit("" if tie else 0))
+
     def bucket(score: Score, column: str) -> Column:
-        key = F.struct(*[level.alias(name) for name, level in _key(score, ids).items()])
+        parts = _value_key(score) | {"id": whole_id}
+        key = F.struct(*[part.alias(name) for name, part in parts.items()])
         passed = ((key > F.col(column)[i]).cast("int") for i in range(BUCKETS - 1))
         return sum_of([F.lit(1), *passed])
 

@@ -7,7 +7,10 @@ small whatever the distribution. When few rows are left around a rank, those are
 narrowed by the tie-breaker in the same way, so one value held by most rows is no obstacle.
 
 Entries are ordered by bigint columns, the levels, within the int columns ``(day, metric)``,
-which Spark packs into one long join key. The levels are given by name, the most significant first. The driver holds one row per wanted rank, never data.
+which Spark packs into one long join key. The levels are given by name, the most significant first.
+A text can break ties after all levels: it is taken window by window of so many bytes, and a later
+window is looked at only where more rows than one task may sort agree in everything before it. So one
+long text costs nothing but its own bytes. The driver holds one row per wanted rank, never data.
 """
 
 from __future__ import annotations
@@ -41,6 +44,16 @@ class RankedKey(NamedTuple):
     metric: int
     rank: int
     key: Key
+    text: str | None = None
+
+
+class TextTie(NamedTuple):
+    """A text column that breaks ties. ``parts(offset)`` gives the levels of the ``window`` bytes from
+    that offset on, the last of them how many of these the text has."""
+
+    column: str
+    window: int
+    parts: Callable[[int], dict[str, Column]]
 
 
 class Bracket(NamedTuple):
@@ -87,24 +100,79 @@ def keys_at_ranks(
     ranks_for: Callable[[int], list[int]],
     sort_rows: int,
     levels: Levels,
+    tie: TextTie | None = None,
 ) -> tuple[list[RankedKey], dict[tuple[int, int], int]]:
     """The keys at the 1-based ranks that ``ranks_for(row count)`` asks for, per day and metric,
     and those row counts.
 
-    ``entries`` is read once per pass and has to be stable: read it from a staged table.
+    ``entries`` is read once per pass and has to be stable: read it from a staged table. With a tie
+    it holds that column, and the levels end with those of the text's first window.
     """
-    points: list[Bracket] = []
-    short: list[Bracket] = []
     brackets = _whole_ranges(entries, ranks_for, levels)
     totals = {(b.day, b.metric): b.n_rows for b in brackets}
+    return _found(entries, brackets, sort_rows, levels, tie, 0), totals
+
+
+def _found(
+    entries: DataFrame,
+    brackets: list[Bracket],
+    sort_rows: int,
+    levels: Levels,
+    tie: TextTie | None,
+    offset: int,
+) -> list[RankedKey]:
+    points: list[Bracket] = []
+    short: list[Bracket] = []
     while brackets:
         points += [b for b in brackets if b.open_level == len(levels)]
         rest = [b for b in brackets if b.open_level < len(levels)]
         short += [b for b in rest if b.n_rows <= sort_rows]
         long = [b for b in rest if b.n_rows > sort_rows]
         brackets = _narrow(entries, long, levels) if long else []
-    found = [RankedKey(b.day, b.metric, r, b.low) for b in points for r in b.ranks]
-    return found + (_sorted_out(entries, short, levels) if short else []), totals
+    if tie is None:
+        found = [RankedKey(b.day, b.metric, r, b.low) for b in points for r in b.ranks]
+    else:
+        # Texts that end within the window are equal.
+        deep = [b for b in points if b.n_rows > sort_rows and b.low[-1] == tie.window]
+        short += [b for b in points if b not in deep]
+        found = _deeper(entries, deep, sort_rows, levels, tie, offset) if deep else []
+    return found + (_sorted_out(entries, short, levels, tie) if short else [])
+
+
+def _deeper(
+    entries: DataFrame,
+    brackets: list[Bracket],
+    sort_rows: int,
+    levels: Levels,
+    tie: TextTie,
+    offset: int,
+) -> list[RankedKey]:
+    """Go on with the next window of the text, among the rows of each bracket alone."""
+    offset += tie.window
+    parts = tie.parts(offset)
+    _, inside = _inside(entries, brackets, levels)
+    rows = inside.select(
+        F.col("bracket").alias("day"),
+        F.lit(0).alias("metric"),
+        tie.column,
+        *[part.alias(name) for name, part in parts.items()],
+    )
+    names = tuple(parts)
+    within = [
+        Bracket(
+            row.day,
+            0,
+            *_bounds(row, names),
+            brackets[row.day].before,
+            row.n_rows,
+            brackets[row.day].ranks,
+        )
+        for row in rows.groupBy(*GROUP).agg(*_summary(names)).collect()
+    ]
+    return [
+        key._replace(day=brackets[key.day].day, metric=brackets[key.day].metric, key=brackets[key.day].low)
+        for key in _found(rows, within, sort_rows, names, tie, offset)
+    ]
 
 
 def _summary(levels: Levels) -> list[Column]:
@@ -148,7 +216,8 @@ def _inside(
     """The numbered brackets, and the entries that fall into them."""
     rows = []
     for number, bracket in enumerate(brackets):
-        span = bracket.high[bracket.open_level] - bracket.low[bracket.open_level]
+        differ = [high - low for low, high in zip(bracket.low, bracket.high) if low != high]
+        span = differ[0] if differ else 0
         rows.append(
             {
                 "bracket": number,
@@ -230,16 +299,23 @@ def _narrow(entries: DataFrame, brackets: list[Bracket], levels: Levels) -> list
 
 
 def _sorted_out(
-    entries: DataFrame, brackets: list[Bracket], levels: Levels
+    entries: DataFrame, brackets: list[Bracket], levels: Levels, tie: TextTie | None
 ) -> list[RankedKey]:
     _, inside = _inside(entries, brackets, levels)
-    order = Window.partitionBy("bracket").orderBy(*levels)
+    texts = [tie.column] if tie else []
+    order = Window.partitionBy("bracket").orderBy(*levels, *texts)
     ranked = (
         inside.withColumn("rank", F.col("before") + F.row_number().over(order))
         .where(F.array_contains("ranks", F.col("rank")))
-        .select(*GROUP, "rank", *levels)
+        .select(*GROUP, "rank", *levels, *texts)
     )
     return [
-        RankedKey(row.day, row.metric, row.rank, tuple(row[level] for level in levels))
+        RankedKey(
+            row.day,
+            row.metric,
+            row.rank,
+            tuple(row[level] for level in levels),
+            row[tie.column] if tie else None,
+        )
         for row in ranked.collect()
     ]
