@@ -81,7 +81,7 @@ def similarity(
     return shared / max(int(left[1].sum() + right[1].sum()) - shared, 1)
 
 
-def _units(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def units(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """One hash per unit of weight."""
     owner = np.repeat(elements, weights)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(weights) - weights, weights)
@@ -111,9 +111,9 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
     todo = np.arange(len(sets))
     darts_wanted = k * (np.log(k) + 4)
     while len(todo):
-        units = [_units(*sets[i]) for i in todo]
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        flat = np.concatenate(units)
+        regions = [units(*sets[i]) for i in todo]
+        sizes = np.fromiter(map(len, regions), np.int64, len(regions))
+        flat = np.concatenate(regions)
         text = np.repeat(np.arange(len(todo)), sizes)
         rank, dart, place = _throw(flat, text, darts_wanted / sizes, k)
         # The last write wins, so the earliest dart is written last.

@@ -76,24 +76,31 @@ def _signed(rows: DataFrame) -> DataFrame:
     return in_arrow(narrow, sign, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts are similar enough."""
+def _sets(rows: DataFrame) -> DataFrame:
+    """``(row, units)`` of ``(row, text)``: a hash for each unit of weight of the text's shingles.
 
-    def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, hub_set = None, None
-        for batch in batches:
-            kept = []
-            a, b, left, right = (column.to_pylist() for column in batch.columns)
-            for i in range(batch.num_rows):
-                if b[i] != hub:
-                    hub, hub_set = b[i], darts.weighted(right[i])
-                kept.append(darts.similarity(darts.weighted(left[i]), hub_set) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+    The n-th occurrence of a shingle is a unit of its own, so the plain Jaccard similarity of these
+    sets is the weighted one of the texts.
+    """
 
-    left = texts.select(F.col("row").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("row").alias("b"), F.col("text").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return in_arrow(joined, similar, "a long, b long")
+    def hash_units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches, "text"):
+            units = [darts.units(*darts.weighted(text)).view("int64") for text in texts]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), pa.array(units, pa.list_(pa.int64()))], ["row", "units"]
+            )
+
+    return in_arrow(rows.select("row", "text"), hash_units, "row long, units array<long>")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose texts are similar enough."""
+    left = sets.select(F.col("row").alias("a"), F.col("units").alias("left"))
+    right = sets.select(F.col("row").alias("b"), F.col("units").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    union = F.greatest(F.size("left") + F.size("right") - shared, F.lit(1))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.where(shared / union >= least).select("a", "b")
 
 
 def _links(
@@ -114,12 +121,10 @@ def _links(
         return None
     # Only texts in some bucket with others are ever compared.
     candidates = scratch.stage(entries.select(F.col("rep").alias("row")).distinct(), "candidates")
-    texts = scratch.stage(
-        # The same join at any size, so that its cost is in proportion.
-        rows.select("row", F.col("doc.text").alias("text")).join(candidates.hint("merge"), "row"),
-        "texts",
-    )
-    found, tested, rooted, step = _verified(pairs, texts, least), pairs, None, 0
+    # The same join at any size, so that its cost is in proportion.
+    texts = rows.select("row", F.col("doc.text").alias("text")).join(candidates.hint("merge"), "row")
+    sets = scratch.stage(_sets(texts), "sets")
+    found, tested, rooted, step = _verified(pairs, sets, least), pairs, None, 0
     while True:
         found = scratch.stage(found, f"links-{step}")
         if rooted is None or not found.isEmpty():
@@ -138,9 +143,9 @@ def _links(
         if step <= len(DRAWS):
             met = _drawn(open_, DRAWS[step - 1], step)
         else:
-            met = _prefix_pairs(open_, same, texts, least, scratch)
+            met = _prefix_pairs(open_, same, sets, least, scratch)
         pairs = scratch.stage(met.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
-        found, tested = _verified(pairs, texts, least), tested.unionAll(pairs)
+        found, tested = _verified(pairs, sets, least), tested.unionAll(pairs)
 
 
 def _open_buckets(
@@ -196,74 +201,49 @@ def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
     )
 
 
-def _spread_shingles(texts: DataFrame) -> DataFrame:
-    """``(rep, shingle, weight)`` of whole texts."""
-
-    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in slices(batches, "text"):
-            for row, text in zip(part.column("row").to_pylist(), found):
-                elements, weights = darts.weighted(text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row] * len(elements), pa.int64()),
-                        pa.array(elements.view("int64")),
-                        pa.array(weights, pa.int64()),
-                    ],
-                    ["rep", "shingle", "weight"],
-                )
-
-    return in_arrow(texts.select("row", "text"), spread, "rep long, shingle long, weight long")
-
-
-def _prefixes(open_: DataFrame, texts: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """``(rep, shingle, total, shared)``: of each open text the shingles that few open texts hold, up to the
-    weight that a similar text may lack and one more; those that no other holds are left out."""
-    rows = texts.join(open_.select(F.col("rep").alias("row")).distinct(), "row", "left_semi")
-    shingles = scratch.stage(_spread_shingles(rows), "open-shingles")
-    # One row per shingle; no list of holders is built.
-    held = shingles.groupBy("shingle").agg(
-        F.count("*").alias("holders"), F.min("rep").alias("only"), F.min("weight").alias("own")
+def _prefixes(open_: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """``(rep, unit, total, shared)``: of each open text the units that few open texts hold, up to the
+    number that a similar text may lack and one more; those that no other holds are left out."""
+    members = open_.select(F.col("rep").alias("row")).distinct()
+    units = scratch.stage(
+        sets.join(members, "row", "left_semi").select(
+            F.col("row").alias("rep"), F.size("units").alias("total"), F.explode("units").alias("unit")
+        ),
+        "open-units",
     )
+    # One row per unit; no list of holders is built.
+    held = units.groupBy("unit").agg(F.count("*").alias("holders"), F.min("rep").alias("only"))
     held = scratch.stage(held, "open-holders")
     alone = (
         held.where(F.col("holders") == 1)
-        .groupBy(F.col("only").alias("of"))
-        .agg(F.sum("own").alias("own"))
-    )
-    totals = scratch.stage(
-        shingles.groupBy("rep")
-        .agg(F.sum("weight").alias("total"))
-        .join(alone, F.col("rep") == F.col("of"), "left")
-        .select(
-            "rep",
-            "total",
-            F.coalesce("own", F.lit(0)).alias("own"),
-            # A similar text has all but this of the weight, at least.
-            (F.col("total") * (1 - least) + SLACK).alias("lacking"),
-        )
-        .where(F.col("own") <= F.col("lacking")),
-        "open-totals",
+        .groupBy(F.col("only").alias("rep"))
+        .agg(F.count("*").alias("own"))
     )
-    shared = shingles.join(totals, "rep").join(
-        held.where(F.col("holders") > 1).select("shingle", "holders"), "shingle"
+    own, total = F.coalesce("own", F.lit(0)), F.col("total")
+    shared = (
+        units.join(held.where(F.col("holders") > 1).select("unit", "holders"), "unit")
+        .join(alone, "rep", "left")
+        .withColumn("own", own)
+        # A similar text has all but this many of the units, at least.
+        .withColumn("lacking", total * (1 - least) + SLACK)
+        .where(F.col("own") <= F.col("lacking"))
     )
-    # A window holds the shingles of one text.
-    rarest = Window.partitionBy("rep").orderBy("holders", "shingle")
-    before = F.sum("weight").over(rarest) - F.col("weight") + F.col("own")
+    # A window holds the units of one text.
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "unit"))
     return scratch.stage(
-        shared.withColumn("before", before)
-        .where(F.col("before") <= F.col("lacking"))
-        .select("rep", "shingle", "total", (F.col("total") - F.col("own")).alias("shared")),
+        shared.withColumn("place", place)
+        .where(F.col("own") + F.col("place") - 1 <= F.col("lacking"))
+        .select("rep", "unit", "total", (total - F.col("own")).alias("shared")),
         "open-prefixes",
     )
 
 
 def _prefix_pairs(
-    open_: DataFrame, same: DataFrame, texts: DataFrame, least: float, scratch: Scratch
+    open_: DataFrame, same: DataFrame, sets: DataFrame, least: float, scratch: Scratch
 ) -> DataFrame:
     """``(a, b)``: members of a bucket in different components, one of them outside the bucket's
     largest, that can be similar."""
-    prefixes = _prefixes(open_, texts, least, scratch)
+    prefixes = _prefixes(open_, sets, least, scratch)
     outside = F.max(F.col("component") != F.col("largest"))
     members = scratch.stage(
         open_.groupBy("rep")
@@ -280,7 +260,7 @@ def _prefix_pairs(
     enough = can_share >= least * (F.col("total") + F.col("other_total")) - SLACK
     met = left.join(
         right,
-        (F.col("shingle") == F.col("other_shingle"))
+        (F.col("unit") == F.col("other_unit"))
         & (F.col("component") != F.col("other_component"))
         & enough
         & in_one_bucket,
