@@ -1,10 +1,13 @@
 import html as entities
+import math
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tiercast.llm import html
+from tiercast.operators.scratch import Scratch
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>"<p>no</p>"</script>
 </head><body><header>Site</header><nav><ul><li>menu<li>two</ul></nav><div id="cookie-notice">We use
@@ -204,3 +207,80 @@ def test_time_is_linear_in_depth():
     ):
         assert len(html.main_text(page)) <= 2 * many
         html.styles(page)
+
+
+REPEATED = (
+    '<div class="site"><article class="post"><h1>T</h1><div class="entry-content"><p>The same text on'
+    ' all pages of this host.</p></div><div class="tags"><a href="/a">one</a> <a href="/b">two</a>'
+    "</div></article></div>"
+)
+
+
+def extracted(spark, pages):
+    rows = [(i, "http://a.example/x", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [row.text for row in html.extract_text(frame).orderBy("page_id").collect()]
+
+
+def test_repeated_articles_with_classes_stay_but_for_their_links(spark):
+    assert extracted(spark, [REPEATED] * 5) == ["T The same text on all pages of this host."] * 5
+    assert extracted(spark, [REPEATED]) == ["T The same text on all pages of this host. one two"]
+
+
+def test_headings_that_a_site_repeats_within_articles_stay(spark):
+    pages = [
+        f'<article><h1>Title {i}</h1><h2 class="sec">Summary</h2><p class="lead">words {i} here</p></article>'
+        for i in range(12)
+    ]
+    assert extracted(spark, pages) == [f"Title {i} Summary words {i} here" for i in range(12)]
+
+
+@pytest.mark.parametrize(
+    "name",
+    "comment-list user-comments cookie-banner site-footer main-nav ad-slot ad_unit post-comments-2"
+    " newsletter-box top-navigation left_sidebar".split(),
+)
+def test_parts_of_names_tell_noise(name):
+    page = f'<article><p>Main.</p><div class="x {name}"><p>Reader says a great deal more than that</p></div></article>'
+    assert html.main_text(page) == "Main."
+    page = f'<div><p>A main text without an article around it, long enough.</p><div id="{name}">noise</div></div>'
+    assert html.main_text(page) == "A main text without an article around it, long enough."
+
+
+@pytest.mark.parametrize(
+    "name", "with-sidebar no-ads has-comments category-social related-work social-contract badge loading".split()
+)
+def test_parts_of_names_that_tell_no_noise(name):
+    page = f'<article><p>Main.</p><div class="{name}"><p>More.</p></div></article>'
+    assert html.main_text(page) == "Main. More."
+
+
+def test_a_part_of_a_name_does_not_take_the_whole_text():
+    page = '<div class="page-comments"><p>All there is on this page.</p></div><div class="user-comments">x</div>'
+    assert html.main_text(page) == "All there is on this page."
+
+
+def test_importance_equals_the_entropies_by_hand(spark):
+    pages = [page for _, page, _ in site("a.example", 12)] + [REPEATED] * 3
+    frame = spark.createDataFrame([("h", page) for page in pages], "host string, html string")
+    found = {row.of_node for row in html._importance(frame, Scratch(spark)).collect()}
+    seen = {}
+    for page in pages:
+        for node, n_styles, presentation, content in html.styles(page):
+            seen.setdefault(node, []).append((n_styles, presentation, content))
+    expected = set()
+    for node, rows in seen.items():
+        m = len(rows)
+        if m < html.LEAST_PAGES:
+            continue
+
+        def entropy(values):
+            shares = [n / m for n in Counter(values).values()]
+            return -sum(p * math.log(p, m) for p in shares)
+
+        content = html.DAMPING ** max(n for n, _, _ in rows)
+        importance = (1 - content) * entropy([p for _, p, _ in rows]) + content * entropy([c for _, _, c in rows])
+        assert abs(importance - html.LEAST_IMPORTANCE) > 1e-9
+        if importance < html.LEAST_IMPORTANCE:
+            expected.add(node)
+    assert expected and found == expected

@@ -10,14 +10,18 @@ pages its host has: each page looks up its own nodes, so its list of removed bra
 these, and a page is known by its host and a digest of its HTML.
 
 Elements that say what they are need no statistics: scripts, styles, menus, forms and the like are
-removed by name, role or class. Only whole classes and ids count, in any case and without a number at
-the end, and neither for an article, a main element or what holds one, nor for headings; ids of
-sections and headings are anchors. Articles in an element of comments are comments, so such an element
-counts as holding an article only if the page has none elsewhere. Names that may as well stand for content
-are left to the statistics. Where a page has an article
-with at least as much text as all that is kept outside of articles, its main text lies within
-articles; otherwise the articles may be teasers, and all that is kept is the main text. Branches of
-plain elements within an article are kept, as a site may well repeat an article.
+removed by name, role or class. Classes and ids count in any case and without a number at the end:
+as a whole, and for the commonest names by their parts between hyphens and underscores, as in
+``comment-list`` or ``site-footer``, unless the first part says that something has or lacks the rest
+(``with-sidebar``). Names do not count for an article, a main element or what holds one, nor for
+headings; ids of sections and headings are anchors; a part of a name does not count where most of the
+page's text would go with it and no article would be left. Articles in an element of comments are
+comments, so such an element counts as holding an article only if the page has none elsewhere. Where
+a page has an article with at least as much text as all that is kept outside of articles, its main
+text lies within articles; otherwise the articles may be teasers, and all that is kept is the main
+text. A site may well repeat an article or its headings, so within an article a branch of low
+importance is removed only if it is made of links, by half of its characters or more, and no heading;
+what holds an article stays.
 
 Pages are parsed three times, for the statistics, for the lookup and for the text, which costs less
 than carrying the trees through a shuffle.
@@ -71,6 +75,12 @@ NOISE_NAMES = frozenset(
     " consent cookie cookies disqus footer gdpr masthead menu nav navbar navigation newsletter"
     " pagination popup promo promoted sidebar sitemap sponsor sponsored subscribe toolbar".split()
 )
+NOISE_PARTS = frozenset(
+    "ad ads advert advertisement adverts breadcrumb breadcrumbs comment comments cookie cookies disqus"
+    " footer gdpr nav navbar navigation newsletter sidebar sponsored".split()
+)
+# The first part of names that tell what something has, lacks or does with the rest.
+QUALIFIERS = frozenset("with without has have no non not is hide show toggle js".split())
 COMMENTS = frozenset("comment comments disqus".split())
 MAIN = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -99,6 +109,7 @@ _ATTRIBUTE = re.compile(
 )
 _NAME = re.compile(r"[a-z]+")
 _NUMBER = "-_0123456789"
+_PART = re.compile(r"[-_]+")
 
 
 class Block(NamedTuple):
@@ -111,7 +122,7 @@ class Block(NamedTuple):
 class Element:
     __slots__ = (
         "name", "parent", "depth", "node", "scope", "list", "style", "path", "noise", "named",
-        "in_comments", "holds", "plain", "children", "texts",
+        "parts", "in_comments", "holds", "plain", "children", "texts", "size", "linked",
     )
 
     def __init__(self, name: str, attributes: str, parent: Element | None) -> None:
@@ -149,13 +160,23 @@ class Element:
         self.named = (
             name not in MAIN and name not in HEADINGS and not NOISE_NAMES.isdisjoint(whole)
         )
+        parts: set[str] = set()
+        if name not in MAIN and name not in HEADINGS:
+            for one in whole:
+                first, *rest = _PART.split(one.strip(_NUMBER))
+                if rest and first not in QUALIFIERS:
+                    parts.update((first, *rest))
+        # Whether the part of a name says so.
+        self.parts = not NOISE_PARTS.isdisjoint(parts)
         self.in_comments = (parent is not None and parent.in_comments) or (
             self.named and not COMMENTS.isdisjoint(whole)
-        )
+        ) or not COMMENTS.isdisjoint(parts)
         # Whether it is an article or main element or one lies within, other than in comments there.
         self.holds = False
         self.children: list[str] = []
         self.texts: list[str] = []
+        # Characters of text below, and those of them in links.
+        self.size = self.linked = 0
         if parent is not None and self.node is self:
             parent.children.append(self.style)
 
@@ -172,6 +193,13 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
     # The depths of the open elements by name.
     opened: dict[str, list[int]] = {}
 
+    def add(text: str) -> None:
+        pending.append(text)
+        size = len(text) - text.count(" ")
+        stack[-1].size += size
+        if opened.get("a"):
+            stack[-1].linked += size
+
     def flush() -> None:
         text = _decoded("".join(pending))
         pending.clear()
@@ -192,10 +220,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
     while at < end:
         match = _TOKEN.search(page, at)
         if match is None:
-            pending.append(page[at:])
+            add(page[at:])
             break
         if match.start() > at:
-            pending.append(page[at : match.start()])
+            add(page[at : match.start()])
         at = match.end()
         name = match[2]
         if name is None:
@@ -242,6 +270,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             opened.setdefault(name, []).append(len(stack))
             stack.append(element)
     flush()
+    # Children come after their parents.
+    for element in reversed(elements):
+        element.parent.size += element.size
+        element.parent.linked += element.linked
     own = [main for main in mains if main.name == "main" or not main.in_comments]
     for element in own or mains:
         while element is not None and not element.holds:
@@ -302,6 +334,9 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
             low[element.path] = _hash(element.path) in removed
         return low[element.path]
 
+    total = sum(element.size for element in elements if element.depth == 1)
+    articles = any(element.holds for element in elements)
+
     def judged(element: Element, around: Kept) -> Kept:
         keep, inside, form, article = around
         if article is None and element.name == "article":
@@ -311,13 +346,15 @@ def main_text(page: str, removed: frozenset[int] | set[int] = frozenset()) -> st
         if element.name == "form" and not inside:
             # Some sites wrap their whole pages.
             return Kept(True, inside, True, article)
-        named = element.named and not element.holds
+        by_part = element.parts and (articles or 2 * element.size <= total)
+        named = (element.named or by_part) and not element.holds
         if element.noise or named or (element.name == "header" and not inside):
             keep = False
         elif element.name == "article" or (element.name == "main" and not inside):
             inside = True
-        elif element.node is element and is_low(element) and not (inside and element.plain):
-            keep = False
+        elif element.node is element and not element.holds and is_low(element):
+            links = 2 * element.linked >= element.size > 0 and element.name not in HEADINGS
+            keep = inside and not links
         return Kept(keep, inside, form, article)
 
     found: dict[Element | None, Kept] = {}
