@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 from decimal import Decimal
 
 import numpy as np
@@ -262,4 +263,27 @@ def test_labels_round_by_the_binary_value(spark):
 
 def test_days_and_counts_are_counted_before_their_kernels(metrics):
     plan = statistics.metric_density(metrics)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Generate explode") < plan.rindex("Aggregate [metric")
+    kernels = re.search(r"Aggregate \[metric#\d+, part#", plan)
+    values = re.search(r"Aggregate \[metric#\d+, value#", plan)
+    # The values are below what sums their kernels, and no value is repeated per grid point.
+    assert kernels.start() < values.start()
+    assert "explode" not in plan[values.start() :].split("\n", 1)[0]
+    assert len(re.findall(r"sum\(.*?EXP", plan[kernels.start() :].split("\n", 1)[0])) <= (
+        statistics.GRID_POINTS // statistics.GRID_PARTS
+    )
+
+
+def test_a_task_puts_out_no_more_than_the_grid(spark):
+    rows = spark.range(20_000).select(
+        F.lit(DAY).alias("run_date"),
+        F.col("id").alias("customer_id"),
+        (F.col("id") % 50).cast("int").alias("recency_days"),
+        (F.col("id") % 7).alias("frequency_orders"),
+        (F.col("id") * 3.17).cast("decimal(28,2)").alias("monetary_value"),
+    )
+    curve = statistics.metric_density(rows)
+    assert curve.groupBy("metric").count().where("count = 100").count() == 3
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    # What leaves a task has been summed by part of the grid.
+    assert re.search(r"HashAggregate\(keys=\[metric#\d+, part#\d+\], functions=\[partial_sum", plan)
+    assert statistics.GRID_PARTS <= statistics.GRID_POINTS

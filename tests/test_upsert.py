@@ -165,6 +165,20 @@ def test_backfill_counts_what_it_wrote(spark, target, check_dir):
     assert kept.where("customer_id >= 100").count() == kept.count() > 0
 
 
+def test_backfill_describes_each_date(spark, target, check_dir):
+    orders = read_orders(spark, f"{check_dir}/orders.parquet", ORDERS)
+    first, last = dt.date(2001, 7, 31), ORDERS_DAY.run_date
+    run_backfill(orders, f"{target}/t", first, last, ORDERS_DAY, statistics_path=f"{target}/s")
+    run(orders, f"{target}/t", ORDERS_DAY, statistics_path=f"{target}/one")
+    for name in ("metric_regression", "metric_histogram", "metric_density", "metric_significance"):
+        every = spark.read.parquet(f"{target}/s/{name}")
+        days = {row.run_date for row in every.select("run_date").distinct().collect()}
+        assert days == {first, dt.date(2001, 8, 1), last}
+        one = spark.read.parquet(f"{target}/one/{name}")
+        same = every.where(F.col("run_date") == F.lit(last)).drop("run_date")
+        assert same.columns == one.columns and same.count() == one.count()
+
+
 def test_records_of_several_writing_tasks_add_up(spark, target):
     batch = core_batch(spark, range(300), 1.0).repartition(7)
     days = [DAY, NEXT_DAY]

@@ -1,6 +1,8 @@
 """Statistics over pairs of metrics and over single metrics, as small tables.
 
-Input is the metrics table of one run date. Missing values are skipped, pairwise for pairs.
+Input is the metrics table of one run date, or of many: with ``by`` naming the date, every table has
+its rows for each date, from the same passes. Counts, means and co-moments merge across tasks, so a
+date costs a row per task and not a job. Missing values are skipped, pairwise for pairs.
 """
 
 from __future__ import annotations
@@ -32,15 +34,19 @@ PAIRS = tuple((x, y) for i, x in enumerate(METRICS) for y in METRICS[i + 1 :])
 MAX_BINS = 50
 GRID_POINTS = 100
 GRID_MARGIN = 3
-# exp(-z * z / 2) is 0.0 in double precision from here on, so nothing is lost by stopping.
-KERNEL_REACH = 39
+# Rows that the grid is summed in. More columns than this leaves in one would not be compiled.
+GRID_PARTS = 4
 
 
 def _number(metric: str) -> Column:
     return F.col(metric).cast("double")
 
 
-def pair_measures(metrics: DataFrame) -> DataFrame:
+# The columns that tell run dates apart; none for a table of one date.
+By = tuple[str, ...]
+
+
+def pair_measures(metrics: DataFrame, by: By = ()) -> DataFrame:
     """Count, correlation and least-squares line of each pair, from one aggregation.
 
     A pair without spread in one of its metrics has no correlation: r is NULL there.
@@ -60,7 +66,7 @@ def pair_measures(metrics: DataFrame) -> DataFrame:
         }
 
     found = [measures(_number(x), _number(y)) for x, y in PAIRS]
-    wide = metrics.agg(
+    wide = metrics.groupBy(*by).agg(
         *[column.alias(f"{name}_{i}") for i, of in enumerate(found) for name, column in of.items()]
     )
     rows = [
@@ -71,12 +77,12 @@ def pair_measures(metrics: DataFrame) -> DataFrame:
         )
         for i, (x, y) in enumerate(PAIRS)
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    return wide.select(*by, F.inline(F.array(*rows)))
 
 
-def _measured(metrics: DataFrame) -> DataFrame:
+def _measured(metrics: DataFrame, by: By) -> DataFrame:
     """The pair measures, or the table itself if it holds them already."""
-    return metrics if "slope" in metrics.columns else pair_measures(metrics)
+    return metrics if "slope" in metrics.columns else pair_measures(metrics, by)
 
 
 def _hundredths(size: Column) -> Column:
@@ -101,9 +107,9 @@ def correlation_label(r: Column) -> Column:
     return F.when(r.isNotNull(), text)
 
 
-def metric_correlation(metrics: DataFrame) -> DataFrame:
+def metric_correlation(metrics: DataFrame, by: By = ()) -> DataFrame:
     """Pearson's r of each pair, with its two-decimal label."""
-    return _measured(metrics).select("x", "y", "r", correlation_label(F.col("r")).alias("label"))
+    return _measured(metrics, by).select(*by, "x", "y", "r", correlation_label(F.col("r")).alias("label"))
 
 
 def _tail(from_z: Column, freedom: Column, reach: Column) -> Column:
@@ -124,9 +130,9 @@ def _tail(from_z: Column, freedom: Column, reach: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, value: acc + value) * width / 3
 
 
-def metric_significance(metrics: DataFrame) -> DataFrame:
+def metric_significance(metrics: DataFrame, by: By = ()) -> DataFrame:
     """Two-sided p-value of each pair's r against no correlation, from r and the row count."""
-    measured = _measured(metrics).withColumns(
+    measured = _measured(metrics, by).withColumns(
         {"z": F.atanh(F.abs("r")), "freedom": F.col("n").cast("double") - 2}
     )
     whole = 40 / F.sqrt("freedom")
@@ -142,36 +148,35 @@ def metric_significance(metrics: DataFrame) -> DataFrame:
         .when(F.abs("r") >= 1, 0.0)
         .otherwise(share)
     )
-    return measured.select("x", "y", "n", "r", p.alias("p_value"))
+    return measured.select(*by, "x", "y", "n", "r", p.alias("p_value"))
 
 
-def metric_regression(metrics: DataFrame) -> DataFrame:
+def metric_regression(metrics: DataFrame, by: By = ()) -> DataFrame:
     """Least-squares line of each pair, y over x."""
-    return _measured(metrics).select("x", "y", "slope", "intercept", "r2", "n")
+    return _measured(metrics, by).select(*by, "x", "y", "slope", "intercept", "r2", "n")
 
 
 # The metrics with few distinct values, which are counted before anything is done per value.
 COUNTED = ("recency_days", "frequency_orders")
 
 
-def _values_of(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
+def _values_of(metrics: DataFrame, names: Sequence[str], by: By) -> DataFrame:
     """One row per metric and present value."""
     rows = [F.struct(F.lit(m).alias("metric"), _number(m).alias("value")) for m in names]
-    return metrics.select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
+    return metrics.select(*by, F.inline(F.array(*rows))).where(F.col("value").isNotNull())
 
 
-def _weighted_values(metrics: DataFrame) -> DataFrame:
-    """``(metric, value, weight)``: days and counts once per distinct value, money row by row."""
-    counted = (
-        _values_of(metrics, COUNTED).groupBy("metric", "value").agg(F.count("*").alias("weight"))
-    )
-    rest = _values_of(metrics, [m for m in METRICS if m not in COUNTED])
+def _weighted_values(metrics: DataFrame, by: By) -> DataFrame:
+    """``(*by, metric, value, weight)``: days and counts once per distinct value, money row by row."""
+    values = _values_of(metrics, COUNTED, by)
+    counted = values.groupBy(*by, "metric", "value").agg(F.count("*").alias("weight"))
+    rest = _values_of(metrics, [m for m in METRICS if m not in COUNTED], by)
     return counted.unionAll(rest.withColumn("weight", F.lit(1).cast("bigint")))
 
 
-def _per_metric(metrics: DataFrame, measures: dict) -> DataFrame:
+def _per_metric(metrics: DataFrame, measures: dict, by: By) -> DataFrame:
     """One row per metric from one aggregation. ``measures`` maps a name to f(metric) -> Column."""
-    wide = metrics.agg(
+    wide = metrics.groupBy(*by).agg(
         *[
             measure(_number(m)).alias(f"{name}_{i}")
             for i, m in enumerate(METRICS)
@@ -182,7 +187,7 @@ def _per_metric(metrics: DataFrame, measures: dict) -> DataFrame:
         F.struct(F.lit(m).alias("metric"), *[F.col(f"{k}_{i}").alias(k) for k in measures])
         for i, m in enumerate(METRICS)
     ]
-    return wide.select(F.inline(F.array(*rows)))
+    return wide.select(*by, F.inline(F.array(*rows)))
 
 
 def _is_small(metrics: DataFrame) -> bool:
@@ -218,8 +223,13 @@ def _quartile(value: Column, share: float) -> Column:
     )
 
 
-def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
-    """The same quartiles, from the values at the neighbouring ranks alone."""
+def _quartiles_by_rank(staged: DataFrame, sort_rows: int, by: By) -> DataFrame:
+    """The same quartiles, from the values at the neighbouring ranks alone.
+
+    All dates share the passes; the driver holds a few ranks per date.
+    """
+    (date,) = by or (None,)
+    day = F.unix_date(date) if date else F.lit(0)
     scale = money_scale(staged)
 
     def positions(n: int) -> list[float]:
@@ -235,7 +245,7 @@ def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
         DataFrame.unionAll,
         [
             staged.where(F.col(m).isNotNull()).select(
-                F.lit(0).alias("day"),
+                day.alias("day"),
                 F.lit(i).alias("metric"),
                 *[part.alias(level) for level, part in zip(levels, (none, *value_parts(m)))],
             )
@@ -250,19 +260,21 @@ def _quartiles_by_rank(staged: DataFrame, sort_rows: int) -> DataFrame:
             return float(Decimal(major * MONEY_SPLIT + minor).scaleb(-scale))
         return float(minor)
 
-    at = {(k.metric, k.rank): value_of(METRICS[k.metric], k.key) for k in keys}
+    at = {(k.day, k.metric, k.rank): value_of(METRICS[k.metric], k.key) for k in keys}
 
-    def quartile(metric: int, position: float) -> float:
-        low, high = at[metric, math.floor(position) + 1], at[metric, math.ceil(position) + 1]
+    def quartile(day: int, metric: int, position: float) -> float:
+        low, high = (at[day, metric, rank(position) + 1] for rank in (math.floor, math.ceil))
         share = position - math.floor(position)
         return _between(low, high, share, lambda test, a, b: a if test else b)
 
     rows = []
-    for (_, metric), n in totals.items():
-        q1, q3 = (quartile(metric, position) for position in positions(n))
-        rows.append({"metric": METRICS[metric], "q1": q1, "q3": q3})
-    schema = pa.schema([("metric", pa.string()), ("q1", pa.float64()), ("q3", pa.float64())])
-    return plan_table(staged.sparkSession, rows, schema)
+    for (day, metric), n in totals.items():
+        q1, q3 = (quartile(day, metric, position) for position in positions(n))
+        rows.append({"day": day, "metric": METRICS[metric], "q1": q1, "q3": q3})
+    kinds = [("day", pa.int32()), ("metric", pa.string()), ("q1", pa.float64()), ("q3", pa.float64())]
+    table = plan_table(staged.sparkSession, rows, pa.schema(kinds))
+    dates = [F.date_from_unix_date("day").alias(date)] if date else []
+    return table.select(*dates, "metric", "q1", "q3")
 
 
 def metric_histogram(
@@ -270,6 +282,7 @@ def metric_histogram(
     strategy: str = AUTO,
     scratch: Scratch | None = None,
     sort_rows: int = SORT_ROWS,
+    by: By = (),
 ) -> DataFrame:
     """Density-normalised histogram of each metric, non-empty bins only.
 
@@ -283,11 +296,11 @@ def metric_histogram(
             name: lambda value, share=share: _quartile(value, share)
             for name, share in QUARTILES.items()
         }
-        extent = _per_metric(metrics, {**EXTENT, **quartiles})
+        extent = _per_metric(metrics, {**EXTENT, **quartiles}, by)
     else:
         metrics = stage_with_keys(metrics, scratch)
-        extent = _per_metric(metrics, EXTENT).join(
-            F.broadcast(_quartiles_by_rank(metrics, sort_rows)), "metric"
+        extent = _per_metric(metrics, EXTENT, by).join(
+            F.broadcast(_quartiles_by_rank(metrics, sort_rows, by)), [*by, "metric"]
         )
 
     spread = F.col("hi") - F.col("lo")
@@ -297,22 +310,24 @@ def metric_histogram(
     )
     binned = extent.withColumn("n_bins", F.greatest(F.least(wanted, F.lit(MAX_BINS)), F.lit(1)))
     layout = binned.withColumn("width", spread / F.col("n_bins")).select(
-        "metric", "n", "lo", "n_bins", "width"
+        *by, "metric", "n", "lo", "n_bins", "width"
     )
 
-    # Three rows, one per metric.
+    # Three rows per date, one per metric.
     place = F.coalesce(F.try_divide(F.col("value") - F.col("lo"), F.col("width")), F.lit(0.0))
     counted = (
-        _weighted_values(metrics)
-        .join(F.broadcast(layout), "metric")
+        _weighted_values(metrics, by)
+        .join(F.broadcast(layout), [*by, "metric"])
         .groupBy(
+            *by,
             "metric",
             F.least(F.floor(place), F.col("n_bins") - 1).cast("int").alias("bin"),
         )
         .agg(F.sum("weight").alias("n_rows"))
     )
     start = F.col("lo") + F.col("bin") * F.col("width")
-    return counted.join(F.broadcast(layout), "metric").select(
+    return counted.join(F.broadcast(layout), [*by, "metric"]).select(
+        *by,
         "metric",
         "bin",
         start.alias("bin_start"),
@@ -322,12 +337,15 @@ def metric_histogram(
     )
 
 
-def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def metric_density(
+    metrics: DataFrame, scratch: Scratch | None = None, by: By = ()
+) -> DataFrame:
     """Gaussian density curve of each metric with Scott's bandwidth, on an even grid.
 
-    A value contributes to the grid points its kernel reaches, weighted by how often it occurs:
-    recency and frequency have few distinct values, which are counted first. All contributions of a
-    task combine into at most one row per grid point before the shuffle.
+    A value adds to all points of the grid, weighted by how often it occurs: recency and frequency
+    have few distinct values, which are counted first. The grid is summed in ``GRID_PARTS`` rows of as
+    many sums each, so a task puts out that many rows per metric and date, however many values it
+    reads.
     """
     if not _is_small(metrics):
         # Read twice below.
@@ -335,41 +353,37 @@ def metric_density(metrics: DataFrame, scratch: Scratch | None = None) -> DataFr
     measures = {**EXTENT, "spread": F.stddev_samp}
     scale = F.col("spread") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     layout = (
-        _per_metric(metrics, measures)
+        _per_metric(metrics, measures, by)
         .withColumn("h", scale)
         # A metric without spread has no curve.
         .where(F.col("h") > 0)
         .withColumn("start", F.col("lo") - GRID_MARGIN * F.col("h"))
         .withColumn("end", F.col("hi") + GRID_MARGIN * F.col("h"))
         .withColumn("step", (F.col("end") - F.col("start")) / (GRID_POINTS - 1))
-        .select("metric", "n", "h", "start", "step")
+        .select(*by, "metric", "n", "h", "start", "step")
     )
+    each = GRID_POINTS // GRID_PARTS
+    parts = layout.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1))))
 
-    def nearest(distance: int, rounding) -> Column:
-        edge = F.col("value") + distance * F.col("h") - F.col("start")
-        point = rounding(edge / F.col("step"))
-        return F.greatest(F.lit(0), F.least(F.lit(GRID_POINTS - 1), point)).cast("int")
+    def mass(i: int) -> Column:
+        x = F.col("start") + (F.col("part") * each + i) * F.col("step")
+        z = (x - F.col("value")) / F.col("h")
+        return F.sum(F.col("weight") * F.exp(-0.5 * z * z))
 
-    x = F.col("start") + F.col("point") * F.col("step")
-    z = (x - F.col("value")) / F.col("h")
+    keys = [*by, "metric"]
+    # A few rows per date on the right side.
     sums = (
-        _weighted_values(metrics)
-        .join(F.broadcast(layout), "metric")
-        .withColumn(
-            "point",
-            F.explode(
-                F.sequence(nearest(-KERNEL_REACH, F.floor), nearest(KERNEL_REACH, F.ceil))
-            ),
-        )
-        .groupBy("metric", "point")
-        .agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("mass"))
+        _weighted_values(metrics, by)
+        .join(F.broadcast(parts), keys)
+        .groupBy(*keys, "part")
+        .agg(*[mass(i).alias(f"mass_{i}") for i in range(each)])
     )
-    grid = layout.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS - 1))))
+    masses = F.array(*[F.col(f"mass_{i}") for i in range(each)])
+    x = F.col("start") + F.col("point") * F.col("step")
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
-    # 300 rows on either side.
-    return grid.join(F.broadcast(sums), ["metric", "point"], "left").select(
-        "metric",
-        "point",
-        x.alias("x"),
-        (F.coalesce("mass", F.lit(0.0)) / norm).alias("density"),
+    return (
+        sums.select(*keys, "part", F.posexplode(masses).alias("place", "mass"))
+        .withColumn("point", (F.col("part") * each + F.col("place")).cast("int"))
+        .join(F.broadcast(layout), keys)
+        .select(*keys, "point", x.alias("x"), (F.col("mass") / norm).alias("density"))
     )

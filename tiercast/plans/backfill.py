@@ -15,6 +15,18 @@ from tiercast.operators.scratch import Scratch
 from tiercast.plans.daily import with_core_labels, with_detailed_labels, with_recency
 
 
+def backfill_base(
+    orders: DataFrame, first: dt.date, last: dt.date, config: DailyConfig
+) -> DataFrame:
+    """What ``rfm_base`` gives for every date in [first, last], each from the orders up to that date
+    and those without a date. The recency mode of the config has to be set."""
+    if first > last:
+        raise ValueError("first must not be after last")
+    accepted = accepted_orders(orders, config.excluded_status)
+    metrics = customer_metrics_as_of(accepted, first, last)
+    return with_recency(metrics, F.col("run_date"), config.recency_mode)
+
+
 def rfm_backfill(
     orders: DataFrame,
     first: dt.date,
@@ -25,13 +37,8 @@ def rfm_backfill(
 ) -> DataFrame:
     """The daily plan for every date in [first, last], each from the orders up to that date and
     those without a date."""
-    if first > last:
-        raise ValueError("first must not be after last")
     config = config.resolved(ELAPSED if detailed else CALENDAR)
-    accepted = accepted_orders(orders, config.excluded_status)
-    base = with_recency(
-        customer_metrics_as_of(accepted, first, last), F.col("run_date"), config.recency_mode
-    )
+    base = backfill_base(orders, first, last, config)
     scores = add_scores(base, config.strategy, scratch=scratch)
     return with_detailed_labels(scores) if detailed else with_core_labels(scores)
 

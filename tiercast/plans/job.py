@@ -12,7 +12,7 @@ from tiercast.operators import statistics
 from tiercast.operators.quintiles import stage_with_keys
 from tiercast.operators.scratch import Scratch, plan_table
 from tiercast.operators.upsert import CORE, DETAILED, upsert, with_logs
-from tiercast.plans.backfill import first_affected, rfm_backfill
+from tiercast.plans.backfill import backfill_base, first_affected
 from tiercast.plans.daily import (
     rfm_base,
     scored,
@@ -39,6 +39,15 @@ def _batch(rows: DataFrame, detailed: bool):
     return (with_logs(rows), DETAILED) if detailed else (rows, CORE)
 
 
+def _write_statistics(
+    base: DataFrame, path: str, scratch: Scratch, by: statistics.By
+) -> None:
+    pairs = scratch.stage(statistics.pair_measures(base, by), "pairs")
+    for measure in STATISTICS:
+        table = measure(pairs if measure in OF_PAIRS else base, by=by)
+        table.write.mode("overwrite").parquet(f"{path}/{measure.__name__}")
+
+
 def _summary(spark: SparkSession, records: dict[dt.date, int]) -> DataFrame:
     return plan_table(spark, [{"run_date": day, "records": n} for day, n in records.items()])
 
@@ -66,10 +75,7 @@ def run(
         batch, rule = _batch(labels(scores), detailed)
         records = upsert(batch, target, [config.run_date], rule, config.run_ts, unique_keys=True)
         if statistics_path is not None:
-            pairs = scratch.stage(statistics.pair_measures(base), "pairs")
-            for measure in STATISTICS:
-                table = measure(pairs if measure in OF_PAIRS else base)
-                table.write.mode("overwrite").parquet(f"{statistics_path}/{measure.__name__}")
+            _write_statistics(base, statistics_path, scratch, ())
     return _summary(spark, records)
 
 
@@ -111,16 +117,25 @@ def run_backfill(
     last: dt.date,
     config: DailyConfig = DailyConfig(),
     detailed: bool = False,
+    statistics_path: str | None = None,
 ) -> DataFrame:
     """Write the snapshots of every date in [first, last] in one job and return one row per date:
-    the date and the records processed, counted while they were written."""
+    the date and the records processed, counted while they were written.
+
+    With ``statistics_path`` the statistics tables of all dates are written there too, with a column
+    for the date."""
     spark = orders.sparkSession
     config = config.resolved(ELAPSED if detailed else CALENDAR)
     run_dates = [first + dt.timedelta(days=day) for day in range((last - first).days + 1)]
     with Scratch(spark) as scratch:
-        rows = rfm_backfill(orders, first, last, config, scratch, detailed)
-        batch, rule = _batch(rows, detailed)
+        base = backfill_base(orders, first, last, config)
+        if statistics_path is not None:
+            base = stage_with_keys(base, scratch)
+        labels = with_detailed_labels if detailed else with_core_labels
+        batch, rule = _batch(labels(scored(base, config, scratch)), detailed)
         records = upsert(batch, target, run_dates, rule, config.run_ts, unique_keys=True)
+        if statistics_path is not None:
+            _write_statistics(base, statistics_path, scratch, ("run_date",))
     return _summary(spark, records)
 
 

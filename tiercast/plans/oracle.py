@@ -286,6 +286,18 @@ def _recency(metrics: str) -> str:
     return f"select run_date, customer_id, recency_days from ({metrics})"
 
 
+def _by_date(statistic: str) -> str:
+    """A statistic of one date's metrics, for each date of the backfill."""
+    days = ("2001-07-30", "2001-07-31", "2001-08-01", "2001-08-02")
+    parts = []
+    for day in days:
+        metrics = f"select * from ({BACKFILL_METRICS}) where run_date = date '{day}'"
+        parts.append(
+            f"select date '{day}' as run_date, * from ({statistic.replace(ORDER_METRICS, metrics)})"
+        )
+    return " union all ".join(parts)
+
+
 UPSERT_CORE = _upsert(_daily, UPSERTED, ["comments", "logs"], False, "")
 UPSERT_DETAILED = _upsert(
     _detailed,
@@ -341,6 +353,11 @@ def oracle_sql() -> dict[str, str]:
         "metric_histogram": HISTOGRAM,
         "metric_histogram_distributed": HISTOGRAM,
         "metric_density": DENSITY,
+        "metric_correlation_by_date": _by_date(_correlation(ORDER_METRICS)),
+        "metric_significance_by_date": _by_date(_significance(ORDER_METRICS)),
+        "metric_regression_by_date": _by_date(REGRESSION),
+        "metric_histogram_by_date": _by_date(HISTOGRAM),
+        "metric_density_by_date": _by_date(DENSITY),
         "rfm_backfill": _daily(BACKFILL_METRICS),
         "rfm_backfill_incremental": _daily(BACKFILL_METRICS),
         "rfm_backfill_corrected": _daily(BACKFILL_METRICS),

@@ -22,7 +22,7 @@ from tiercast.operators.upsert import (
     upsert_files,
     with_logs,
 )
-from tiercast.plans.backfill import rfm_backfill
+from tiercast.plans.backfill import backfill_base, rfm_backfill
 from tiercast.plans.daily import (
     DAILY_COLUMNS,
     labelled,
@@ -258,6 +258,14 @@ def _statistic(
     return query
 
 
+def _by_date(measure: Callable[..., DataFrame], **options) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = backfill_base(_orders(spark, sf_dir), *BACKFILL, ORDERS_DAY.resolved())
+        return _comparable(measure(base, by=("run_date",), **options))
+
+    return query
+
+
 def significance_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Unlike those of the orders, these p-values are not all tiny.
     base = rfm_base(_events(spark, sf_dir), EVENTS_DAY)
@@ -310,6 +318,11 @@ def queries() -> dict[str, Query]:
             statistics.metric_histogram, strategy=DISTRIBUTED
         ),
         "metric_density": _statistic(statistics.metric_density),
+        "metric_correlation_by_date": _by_date(statistics.metric_correlation),
+        "metric_significance_by_date": _by_date(statistics.metric_significance),
+        "metric_regression_by_date": _by_date(statistics.metric_regression),
+        "metric_histogram_by_date": _by_date(statistics.metric_histogram, strategy=DISTRIBUTED),
+        "metric_density_by_date": _by_date(statistics.metric_density),
         "rfm_backfill": _backfill(ORDERS_DAY),
         "rfm_backfill_distributed": _backfill(distributed),
         "rfm_backfill_detailed": _backfill(ORDERS_DAY, detailed=True),
