@@ -39,7 +39,7 @@ def brute(rows, least=embeddings.LEAST_COSINE):
                 todo.append(j)
         ids = [rows[j][0] for j in seen if rows[j][0] is not None]
         least_id = min(ids) if ids else None
-        kept = True if rows[i][0] is None or least_id is None else rows[i][0] == least_id
+        kept = rows[i][0] == least_id
         found.append((rows[i][0], len(links[i]), least_id, kept))
     return sorted(found, key=repr)
 
@@ -49,6 +49,7 @@ def found(frame):
 
 
 ODD = [
+    (None, 1, [3.0, 0.0, 0.0]),
     (0, 1, [1.0, 0.0, 0.0]),
     (1, 1, [2.0, 0.0, 0.0]),
     (2, 1, [1.0, 0.0, 0.0]),

@@ -65,6 +65,49 @@ def test_keyed_access(spark, check_dir):
     assert found == expected
 
 
+def test_lookup_opens_the_shards_of_a_key_and_reads_a_few_places(spark, check_dir):
+    docs = spark.read.parquet(f"{check_dir}/documents.parquet")
+    twice = docs.unionAll(docs.where("doc_id % 7 = 0")).unionAll(documents(spark).select(docs.columns).where("doc_id is null"))
+    expected = {}
+    for doc_id, ids in wanted(twice):
+        expected.setdefault(doc_id, []).append(ids)
+    manifest = written(spark, twice, shard_bytes=50_000)
+    rows = manifest.orderBy("part", "number").collect()
+    assert len(rows) > 10
+    keyed = [row for row in rows if row.first_key is not None]
+    assert all(a.last_key <= b.first_key for a, b in zip(keyed, keyed[1:]))
+    for key in (0, 7, 500, 999):
+        assert [ids.tolist() for ids in token_files.lookup(manifest, key)] == expected[key]
+    assert token_files.lookup(manifest, 10**9) == token_files.lookup(manifest, -5) == []
+
+
+def test_reads_of_a_lookup_do_not_grow_with_the_shard(spark):
+    for n in (200, 20_000):
+        docs = spark.range(n).selectExpr("id * 3 as doc_id", "concat('text ', id % 50) as text").coalesce(1)
+        (row,) = written(spark, docs.hint("coalesce", 1), shard_bytes=1 << 30).limit(1).collect()
+        shard = token_files.KeyedShard(row.path)
+        opened = shard.reads
+        plain = token_files.Shard(row.path)
+        keys = [k for k in range(row.first_key, min(row.last_key, row.first_key + 900))]
+        for key in keys:
+            assert [a.tolist() for a in shard.of(key)] == [a.tolist() for a in plain.of(key)]
+        assert opened == 2
+        assert shard.reads - opened <= 6 * len(keys)
+
+
+def test_shards_end_by_documents_too(spark, monkeypatch):
+    docs = spark.range(500).selectExpr("id as doc_id", "'' as text")
+    assert token_files.SHARD_DOCS == 1 << 20
+    manifest = written(spark, docs)
+    assert manifest.agg({"n_docs": "sum"}).first()[0] == 500
+    monkeypatch.setattr(token_files, "READ_BYTES", 64)
+    check(spark, docs.limit(60))
+
+
+def test_ids_are_as_wide_as_the_tokenizer_needs():
+    assert tokens.Encoder(PATH).vocabulary == 50_257
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 100, 50_000])
 def test_perfect_hash(n):
     random = np.random.default_rng(n)

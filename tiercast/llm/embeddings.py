@@ -281,6 +281,6 @@ def near_vectors(
     alone = flat.where(~F.col("usable")).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    return linked.unionAll(alone).withColumn(
-        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
-    )
+    # A missing id stays only where no other id is reached.
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id"))
+    return linked.unionAll(alone).withColumn("kept", kept)

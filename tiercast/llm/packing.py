@@ -95,7 +95,10 @@ def _tokenised(docs: DataFrame, scratch: Scratch, tokenizer: str, end_id: int) -
         for rows, texts in slices(batches, "text"):
             ids, lengths = encoder(tokenizer).encode(texts)
             keys = curve_keys(ids, lengths)
-            closed = np.insert(ids, np.cumsum(lengths), end_id).astype("<u2")
+            closed = np.insert(ids, np.cumsum(lengths), end_id)
+            if closed.max(initial=0) >= 1 << 16:
+                raise ValueError("the tokenizer has ids of more than two bytes")
+            closed = closed.astype("<u2")
             ends = np.cumsum(lengths + 1)
             raw = closed.tobytes()
             cuts = zip((2 * (ends - lengths - 1)).tolist(), (2 * ends).tolist())

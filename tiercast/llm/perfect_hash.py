@@ -21,6 +21,11 @@ def hashed(keys: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def hash_bit(key: int, level: int, n_bits: int) -> int:
+    """The place of one key among the bits of a level."""
+    return int(hashed(np.array([key], np.int64), level)[0]) % n_bits
+
+
 def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (hashed(keys, MOST_LEVELS) >> _U(32)).astype(np.uint32)
 
@@ -31,7 +36,7 @@ class PerfectHash:
         self.words, self.sizes = words, sizes
         self._firsts = np.cumsum(sizes) - sizes
         set_bits = np.bitwise_count(words).astype(np.int64)
-        self._before = np.cumsum(set_bits) - set_bits
+        self.before = np.cumsum(set_bits) - set_bits
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
@@ -58,7 +63,7 @@ class PerfectHash:
             place = bit & _U(63)
             here = (self.words[word] >> place) & _U(1) == 1
             below = self.words[word] & ((_U(1) << place) - _U(1))
-            slot = self._before[word] + np.bitwise_count(below)
+            slot = self.before[word] + np.bitwise_count(below)
             found[open_[here]] = slot[here]
             open_ = open_[~here]
         return found

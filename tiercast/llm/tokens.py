@@ -136,6 +136,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        # Above all ids.
+        self.vocabulary = max(self._tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
         self._tokenizer.encode_special_tokens = not special
         own = self._tokenizer.get_added_tokens_decoder().values()
         self._specials = [t.content for t in own if t.special] if special else []
