@@ -42,7 +42,7 @@ COORDINATES, BANDS = 192, 32
 SLACK = 1e-6
 # By round: how often each member outside its bucket's largest component is compared with a member of
 # that one before prefixes are taken, and the number of members from which one is drawn.
-DRAWS = (1, 4, 16)
+DRAWS = (1, 4)
 DRAWN_FROM = 8
 
 
@@ -179,8 +179,8 @@ def _open_buckets(
 
 
 def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
-    """``(a, b)``: each member outside its bucket's largest component, with some of that, drawn by
-    hashes."""
+    """``(a, b)``: each member outside the largest component of a bucket, with some of that one,
+    drawn by hashes."""
     parts = F.ceil(F.col("in_largest") / DRAWN_FROM)
 
     def part(draw: Column) -> Column:
@@ -191,8 +191,17 @@ def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
         .groupBy("band", "key", part(F.lit(0)).alias("part"))
         .agg(F.min("rep").alias("hub"))
     )
-    outside = open_.where(F.col("component") != F.col("largest")).withColumn(
-        "part", F.explode(F.array_distinct(F.array(*[part(F.lit(i)) for i in range(1, draws + 1)])))
+    # Buckets of one largest component are alike, so a member draws in the widest of them.
+    widest = F.max(F.struct("in_largest", "band", "key")).alias("widest")
+    outside = (
+        open_.where(F.col("component") != F.col("largest"))
+        .groupBy("rep", "largest")
+        .agg(widest)
+        .select("rep", "widest.*")
+        .withColumn(
+            "part",
+            F.explode(F.array_distinct(F.array(*[part(F.lit(i)) for i in range(1, draws + 1)]))),
+        )
     )
     return (
         outside.join(hubs, ["band", "key", "part"])
@@ -202,8 +211,9 @@ def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
 
 
 def _prefixes(open_: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """``(rep, unit, total, shared)``: of each open text the units that few open texts hold, up to the
-    number that a similar text may lack and one more; those that no other holds are left out."""
+    """``(rep, unit, total, before)``: of each open text the units that few open texts hold, up to the
+    number that a similar text may lack and one more, and how many of its units come before; those
+    that no other holds come first and are left out."""
     members = open_.select(F.col("rep").alias("row")).distinct()
     units = scratch.stage(
         sets.join(members, "row", "left_semi").select(
@@ -231,9 +241,9 @@ def _prefixes(open_: DataFrame, sets: DataFrame, least: float, scratch: Scratch)
     # A window holds the units of one text.
     place = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "unit"))
     return scratch.stage(
-        shared.withColumn("place", place)
-        .where(F.col("own") + F.col("place") - 1 <= F.col("lacking"))
-        .select("rep", "unit", "total", (total - F.col("own")).alias("shared")),
+        shared.withColumn("before", F.col("own") + place - 1)
+        .where(F.col("before") <= F.col("lacking"))
+        .select("rep", "unit", "total", "before"),
         "open-prefixes",
     )
 
@@ -253,15 +263,19 @@ def _prefix_pairs(
     )
     placed = prefixes.join(members, "rep")
     left = placed.where("outside").drop("outside")
-    right = placed.drop("outside").toDF(*[f"other_{c}" for c in left.columns])
+    right = placed.toDF(*[f"other_{c}" for c in placed.columns])
+    # Where both are outside, once.
+    once = ~F.col("other_outside") | (F.col("rep") < F.col("other_rep"))
     in_one_bucket = F.exists(F.zip_with("bands", "other_bands", lambda a, b: a == b), lambda same: same)
-    # Two texts share no more than either shares with any.
-    can_share = F.least("shared", "other_shared") * (1 + least)
-    enough = can_share >= least * (F.col("total") + F.col("other_total")) - SLACK
+    # Of the units that two texts share, none comes before the first; so they share no more than
+    # either has from there on, and similar texts meet at least there.
+    rest = F.least(F.col("total") - F.col("before"), F.col("other_total") - F.col("other_before"))
+    enough = rest * (1 + least) >= least * (F.col("total") + F.col("other_total")) - SLACK
     met = left.join(
         right,
         (F.col("unit") == F.col("other_unit"))
         & (F.col("component") != F.col("other_component"))
+        & once
         & enough
         & in_one_bucket,
     )
