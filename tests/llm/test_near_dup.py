@@ -184,3 +184,58 @@ def test_pairs_grow_with_the_members_of_a_group(spark):
         if n == 300:
             assert found == brute_classes(rows)
     assert all(pairs <= 64 * n for n, pairs in compared.items())
+
+
+def group_around_a_text(n, seed):
+    """Near-copies of one text, most of them below the least similarity to most others: words left
+    out, put in, or swapped, with little that only one of them holds."""
+    rnd = random.Random(seed)
+    base = words(rnd, 130)
+    rows = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rnd.choice((1, 2, 3, 4, 5))):
+            at = rnd.randrange(len(text) - 1)
+            match rnd.randrange(3):
+                case 0:
+                    del text[at]
+                case 1:
+                    text.insert(at, rnd.choice(base[:4]))
+                case 2:
+                    text[at], text[at + 1] = text[at + 1], text[at]
+        rows.append(" ".join(text))
+    return list(enumerate(rows))
+
+
+def test_few_members_far_from_the_hub_meet_by_prefixes(spark):
+    for n in (300, 1500):
+        rows = group_around_a_text(n, 10)
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        with Scratch(spark) as scratch:
+            found = near_dup.near_duplicates(frame, scratch=scratch)
+            found = sorted(((r.doc_id, r.class_id, r.class_size) for r in found.collect()), key=repr)
+            met = spark.read.parquet(f"{scratch.path}/pairs-3").count()
+        if n == 300:
+            assert found == brute_classes(rows)
+        assert met <= 5 * n
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_of_odd_sizes_equal_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(near_dup, "DRAWS", ())
+    # With one coordinate per band, nearly all members share a bucket.
+    monkeypatch.setattr(near_dup, "COORDINATES", 16)
+    monkeypatch.setattr(near_dup, "BANDS", 16)
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(4):
+        base = words(rnd, rnd.choice((30, 60, 90)))
+        for _ in range(25):
+            text = base[rnd.randrange(12) :][: rnd.choice((len(base), len(base) - 8))]
+            for _ in range(rnd.randrange(3)):
+                at = rnd.randrange(len(text) - 1)
+                text[at : at + 1] = rnd.choice(([], ["new"], [text[at], text[at - 1]]))
+            rows.append(" ".join(text))
+    rnd.shuffle(rows)
+    rows = list(enumerate(rows))
+    assert classes(spark.createDataFrame(rows, "doc_id long, text string")) == brute_classes(rows)

@@ -2,16 +2,20 @@
 
 Texts of equal words collapse to one representative first, so copies cost one row per task. The
 representatives' signatures are cut into bands; texts that agree on a band share a bucket. No
-bucket is expanded into pairs: its smallest member is its hub, each other member is compared with
-the hub by exact weighted Jaccard similarity of their whole texts, and links form components.
+bucket is expanded into pairs: the member that meets most others over all its buckets is its hub,
+each other member is compared with the hub by exact weighted Jaccard similarity of their whole texts,
+and links form components. In a group of near copies that is a copy with few changes, to which
+most of the others link.
 Where a bucket then still holds several components, each member outside its largest one is compared
-with a few members of that one in turn. What is still open meets by exact prefixes: of two texts
-that are similar enough, the shingles that few open texts hold, taken up to the weight that the other
-text may lack, have one in common. Only members of one bucket in different components that share such
-a shingle and whose weights allow it are compared. Texts that the rounds do not link hold much that
-few others have, so their prefixes are rare shingles, and a shingle that many texts hold is in the
-prefix of few of them. So a pair in one bucket that is similar enough always ends up in one
-component, whatever the size of the bucket; true copies need one comparison each.
+with a few members of that one in turn. What is still open meets by exact prefixes of the differences
+from the hub, the units that either of the two texts lacks. Two texts differ from each other in just
+the units in which one of them alone differs from the hub. Either both are so close to the hub that
+they are linked with it, or they are similar only if they share differences, and then the ones that
+few texts of the hub have, taken up to the number that may not be shared, have one in common. Only
+members of one bucket in different components that share such a difference, and whose numbers allow
+it, are compared. What the whole group has in common is in no prefix. So a pair in one bucket that is
+similar enough always ends up in one component, whatever the size of the bucket; true copies need
+one comparison each.
 
 With 32 bands of 6, a pair at similarity 0.8 misses all buckets in 6 of 100,000 cases, and ones
 above that less often.
@@ -136,7 +140,7 @@ def _links(
             rooted = scratch.stage(rooted, f"rooted-{step}")
         if step > len(DRAWS):
             return rooted
-        open_ = _open_buckets(entries.select("band", "key", "rep"), rooted, scratch, f"open-{step}")
+        open_ = _open_buckets(entries, rooted, scratch, f"open-{step}")
         if open_ is None:
             return rooted
         step += 1
@@ -211,43 +215,63 @@ def _drawn(open_: DataFrame, draws: int, step: int) -> DataFrame:
 
 
 def _prefixes(open_: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """``(rep, unit, total, before)``: of each open text the units that few open texts hold, up to the
-    number that a similar text may lack and one more, and how many of its units come before; those
-    that no other holds come first and are left out."""
-    members = open_.select(F.col("rep").alias("row")).distinct()
+    """``(hub, rep, unit, total, hub_total, differing, before)``: of each open text and each of its hubs
+    the units that one of the two lacks, those in which few open texts differ from that hub first, up
+    to the number in which a similar text may not differ from it and one more, and how many come
+    before; those in which no other differs come first of all and are left out."""
+    text = sets.select(F.col("row").alias("rep"), F.col("units").alias("left"))
+    hub = sets.select(F.col("row").alias("hub"), F.col("units").alias("right"))
+    differing = F.concat(F.array_except("left", "right"), F.array_except("right", "left"))
     units = scratch.stage(
-        sets.join(members, "row", "left_semi").select(
-            F.col("row").alias("rep"), F.size("units").alias("total"), F.explode("units").alias("unit")
+        open_.select("hub", "rep")
+        .distinct()
+        .join(text, "rep")
+        .join(hub, "hub")
+        .select(
+            "hub",
+            "rep",
+            F.size("left").alias("total"),
+            F.size("right").alias("hub_total"),
+            differing.alias("units"),
+        )
+        .select(
+            *["hub", "rep", "total", "hub_total"],
+            F.size("units").alias("differing"),
+            F.explode("units").alias("unit"),
         ),
         "open-units",
     )
     # One row per unit; no list of holders is built.
-    held = units.groupBy("unit").agg(F.count("*").alias("holders"), F.min("rep").alias("only"))
+    held = units.groupBy("hub", "unit").agg(F.count("*").alias("holders"), F.min("rep").alias("only"))
     held = scratch.stage(held, "open-holders")
     alone = (
         held.where(F.col("holders") == 1)
-        .groupBy(F.col("only").alias("rep"))
+        .groupBy("hub", F.col("only").alias("rep"))
         .agg(F.count("*").alias("own"))
     )
-    own, total = F.coalesce("own", F.lit(0)), F.col("total")
+    own = F.coalesce("own", F.lit(0))
     shared = (
-        units.join(held.where(F.col("holders") > 1).select("unit", "holders"), "unit")
-        .join(alone, "rep", "left")
+        units.join(held.where(F.col("holders") > 1).select("hub", "unit", "holders"), ["hub", "unit"])
+        .join(alone, ["hub", "rep"], "left")
         .withColumn("own", own)
-        # A similar text has all but this many of the units, at least.
-        .withColumn("lacking", total * (1 - least) + SLACK)
-        .where(F.col("own") <= F.col("lacking"))
+        .where(_within(F.col("own"), least))
     )
-    # A window holds the units of one text.
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "unit"))
+    # A window holds the differences of one text.
+    place = F.row_number().over(Window.partitionBy("hub", "rep").orderBy("holders", "unit"))
     return scratch.stage(
         shared.withColumn("before", F.col("own") + place - 1)
-        .where(F.col("before") <= F.col("lacking"))
-        .select("rep", "unit", "total", "before"),
+        .where(_within(F.col("before"), least))
+        .select("hub", "rep", "unit", "total", "hub_total", "differing", "before"),
         "open-prefixes",
     )
 
 
+def _within(units: Column, least: float) -> Column:
+    """Whether a text of ``total`` units can differ in that many from a similar one, which has at
+    most ``total / least``."""
+    return units * least <= F.col("total") * (1 - least) + SLACK
+
+
 def _prefix_pairs(
     open_: DataFrame, same: DataFrame, sets: DataFrame, least: float, scratch: Scratch
 ) -> DataFrame:
@@ -256,26 +280,38 @@ def _prefix_pairs(
     prefixes = _prefixes(open_, sets, least, scratch)
     outside = F.max(F.col("component") != F.col("largest"))
     members = scratch.stage(
-        open_.groupBy("rep")
+        open_.groupBy("hub", "rep")
         .agg(F.first("component").alias("component"), outside.alias("outside"))
         .join(same.select("rep", "bands"), "rep"),
         "open-members",
     )
-    placed = prefixes.join(members, "rep")
-    left = placed.where("outside").drop("outside")
+    placed = prefixes.join(members, ["hub", "rep"])
+    # Of two texts, the one that differs less from the hub has at most half of what they differ in;
+    # less still if it is linked with the hub, since the other one is not and differs by so much more.
+    total, hub_total, differing = F.col("total"), F.col("hub_total"), F.col("differing")
+    linked = differing * (1 + least) <= (total + hub_total) * (1 - least) - SLACK
+    unshared = (2 * F.col("before") - differing) * (1 + least)
+    left = placed.where(
+        _within(2 * F.col("before"), least)
+        & (~linked | (unshared <= (total - hub_total) * (1 - least) + SLACK))
+    )
     right = placed.toDF(*[f"other_{c}" for c in placed.columns])
-    # Where both are outside, once.
-    once = ~F.col("other_outside") | (F.col("rep") < F.col("other_rep"))
+    less = F.struct("differing", "rep") < F.struct("other_differing", "other_rep")
     in_one_bucket = F.exists(F.zip_with("bands", "other_bands", lambda a, b: a == b), lambda same: same)
-    # Of the units that two texts share, none comes before the first; so they share no more than
-    # either has from there on, and similar texts meet at least there.
-    rest = F.least(F.col("total") - F.col("before"), F.col("other_total") - F.col("other_before"))
-    enough = rest * (1 + least) >= least * (F.col("total") + F.col("other_total")) - SLACK
+    # Of the differences that two texts share, none comes before the first; so they share no more
+    # than either has from there on, and differ in the others.
+    shared = F.least(
+        F.col("differing") - F.col("before"), F.col("other_differing") - F.col("other_before")
+    )
+    apart = F.col("differing") + F.col("other_differing") - 2 * shared
+    enough = apart * (1 + least) <= (F.col("total") + F.col("other_total")) * (1 - least) + SLACK
     met = left.join(
         right,
-        (F.col("unit") == F.col("other_unit"))
+        (F.col("hub") == F.col("other_hub"))
+        & (F.col("unit") == F.col("other_unit"))
+        & less
         & (F.col("component") != F.col("other_component"))
-        & once
+        & (F.col("outside") | F.col("other_outside"))
         & enough
         & in_one_bucket,
     )
@@ -294,13 +330,20 @@ def _classes(rows: DataFrame, least: float, scratch: Scratch) -> DataFrame:
     )
     keyed = same.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = scratch.stage(
-        keyed.groupBy("band", "key")
-        .agg(F.min("rep").alias("hub"), F.count("*").alias("members"))
-        .where(F.col("members") > 1)
-        .drop("members"),
+        keyed.groupBy("band", "key").agg(F.count("*").alias("members")).where(F.col("members") > 1),
         "shared",
     )
-    entries = scratch.stage(keyed.join(shared, ["band", "key"]), "entries")
+    met = scratch.stage(keyed.join(shared, ["band", "key"]), "met")
+    central = met.groupBy("rep").agg(F.sum("members").alias("met"))
+    hubs = (
+        met.join(central, "rep")
+        .groupBy("band", "key")
+        .agg(F.min(F.struct((-F.col("met")).alias("order"), "rep")).alias("first"))
+        .select("band", "key", F.col("first.rep").alias("hub"))
+    )
+    entries = scratch.stage(
+        met.drop("members").join(scratch.stage(hubs, "hubs"), ["band", "key"]), "entries"
+    )
     rooted = _links(entries, same, rows, least, scratch)
 
     member = words.select("row", "doc_id", "high", "low").join(
