@@ -186,6 +186,20 @@ def test_pairs_grow_with_the_members_of_a_group(spark):
     assert all(pairs <= 64 * n for n, pairs in compared.items())
 
 
+def test_members_of_a_group_have_few_hubs(spark):
+    rows = group_of_near_copies(300, 11)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    with Scratch(spark) as scratch:
+        found = near_dup.near_duplicates(frame, scratch=scratch)
+        found = sorted(((r.doc_id, r.class_id, r.class_size) for r in found.collect()), key=repr)
+        open_ = spark.read.parquet(f"{scratch.path}/open-members")
+        hubs, members = open_.count(), open_.select("rep").distinct().count()
+        prefixes = spark.read.parquet(f"{scratch.path}/open-prefixes").count()
+    assert found == brute_classes(rows)
+    assert hubs <= 2 * members
+    assert prefixes <= 20 * members
+
+
 def group_around_a_text(n, seed):
     """Near-copies of one text, most of them below the least similarity to most others: words left
     out, put in, or swapped, with little that only one of them holds."""

@@ -5,7 +5,9 @@ representatives' signatures are cut into bands; texts that agree on a band share
 bucket is expanded into pairs: the member that meets most others over all its buckets is its hub,
 each other member is compared with the hub by exact weighted Jaccard similarity of their whole texts,
 and links form components. In a group of near copies that is a copy with few changes, to which
-most of the others link.
+most of the others link. A hub that is linked with hubs that meet more others leaves its bucket to the
+first of them, and the members are compared with that one too. So a group has few hubs, and a member
+few of them, where it would else have one for every few of its buckets.
 Where a bucket then still holds several components, each member outside its largest one is compared
 with a few members of that one in turn. What is still open meets by exact prefixes of the differences
 from the hub, the units that either of the two texts lacks. Two texts differ from each other in just
@@ -112,23 +114,22 @@ def _links(
 ) -> DataFrame | None:
     """``(node, root)`` of the representatives that have links.
 
-    ``entries``: staged ``(band, key, hub, rep)`` of the buckets with several members; ``same``:
-    the representatives with all their band keys.
+    ``entries``: staged ``(band, key, hub, met, rep)`` of the buckets with several members, with the
+    number of others that the hub meets; ``same``: the representatives with all their band keys.
     """
-    pairs = scratch.stage(
-        entries.where(F.col("rep") != F.col("hub"))
-        .select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-        .distinct(),
-        "pairs-0",
-    )
-    if pairs.isEmpty():
+    tested = scratch.stage(_with_hubs(entries), "pairs-hubs")
+    if tested.isEmpty():
         return None
     # Only texts in some bucket with others are ever compared.
     candidates = scratch.stage(entries.select(F.col("rep").alias("row")).distinct(), "candidates")
     # The same join at any size, so that its cost is in proportion.
     texts = rows.select("row", F.col("doc.text").alias("text")).join(candidates.hint("merge"), "row")
     sets = scratch.stage(_sets(texts), "sets")
-    found, tested, rooted, step = _verified(pairs, sets, least), pairs, None, 0
+    found = scratch.stage(_verified(tested, sets, least), "links-hubs")
+    entries = _led(entries, found, scratch)
+    pairs = scratch.stage(_with_hubs(entries).join(tested, ["a", "b"], "left_anti"), "pairs-0")
+    found, tested = found.unionAll(_verified(pairs, sets, least)), tested.unionAll(pairs)
+    rooted, step = None, 0
     while True:
         found = scratch.stage(found, f"links-{step}")
         if rooted is None or not found.isEmpty():
@@ -152,6 +153,36 @@ def _links(
         found, tested = _verified(pairs, sets, least), tested.unionAll(pairs)
 
 
+def _with_hubs(entries: DataFrame) -> DataFrame:
+    """``(a, b)``: each member of a bucket with its hub."""
+    return (
+        entries.where(F.col("rep") != F.col("hub"))
+        .select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
+        .distinct()
+    )
+
+
+def _led(entries: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(band, key, rep, hub)``: the entries, each bucket's hub replaced by the one that meets most
+    others of the hubs of other buckets with which it is linked."""
+    first = F.min(F.struct((-F.col("met")).alias("order"), "hub"))
+    linked = entries.withColumns({"a": F.greatest("rep", "hub"), "b": F.least("rep", "hub")})
+    leads = (
+        linked.join(links, ["a", "b"], "left_semi")
+        .groupBy(F.col("rep").alias("hub"))
+        .agg(first.alias("first"))
+        .select("hub", F.col("first.hub").alias("lead"))
+    )
+    # A hub has one bucket per band at most.
+    hubs = (
+        entries.where(F.col("rep") == F.col("hub"))
+        .join(leads, "hub", "left")
+        .select("band", "key", F.coalesce("lead", "hub").alias("hub"))
+    )
+    members = entries.select("band", "key", "rep")
+    return scratch.stage(members.join(scratch.stage(hubs, "leads"), ["band", "key"]), "led")
+
+
 def _open_buckets(
     entries: DataFrame, rooted: DataFrame, scratch: Scratch, name: str
 ) -> DataFrame | None:
@@ -285,7 +316,8 @@ def _prefix_pairs(
         .join(same.select("rep", "bands"), "rep"),
         "open-members",
     )
-    placed = prefixes.join(members, ["hub", "rep"])
+    # Once for both sides.
+    placed = scratch.stage(prefixes.join(members, ["hub", "rep"]), "open-placed")
     # Of two texts, the one that differs less from the hub has at most half of what they differ in;
     # less still if it is linked with the hub, since the other one is not and differs by so much more.
     total, hub_total, differing = F.col("total"), F.col("hub_total"), F.col("differing")
@@ -339,7 +371,7 @@ def _classes(rows: DataFrame, least: float, scratch: Scratch) -> DataFrame:
         met.join(central, "rep")
         .groupBy("band", "key")
         .agg(F.min(F.struct((-F.col("met")).alias("order"), "rep")).alias("first"))
-        .select("band", "key", F.col("first.rep").alias("hub"))
+        .select("band", "key", F.col("first.rep").alias("hub"), (-F.col("first.order")).alias("met"))
     )
     entries = scratch.stage(
         met.drop("members").join(scratch.stage(hubs, "hubs"), ["band", "key"]), "entries"
